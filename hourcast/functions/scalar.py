@@ -80,9 +80,13 @@ def add_hours(ts: ColumnOrName, hours: ColumnOrName | int) -> Column:
     return _c(ts) + F.make_dt_interval(hours=h.cast("int"))
 
 
-def floor_div(x: ColumnOrName, k: int) -> Column:
-    """Exact integer floor division of a long (no detour through double)."""
-    return F.floor(_c(x).cast("decimal(38,0)") / F.lit(k).cast("decimal(20,0)")).cast("long")
+def floor_div(x: ColumnOrName, k: ColumnOrName | int) -> Column:
+    """Exact floor division of longs: subtract the remainder, then divide an
+    exact multiple in decimal (no rounding through double)."""
+    a = _c(x).cast("long")
+    b = F.lit(k) if isinstance(k, int) else _c(k).cast("long")
+    multiple = (a - F.pmod(a, b)).cast("decimal(38,0)")
+    return (multiple / b.cast("decimal(38,0)")).cast("long")
 
 
 EPOCH_UNITS = {"s": 1_000_000, "ms": 1_000, "us": 1, "ns": None}

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import add_hours
 from ..schemas import SERIES_KEYS, lag_name
+from ..session import ensure_checkpoint_dir
 
 
 def series_window(keys: Sequence[str] = SERIES_KEYS, order: Sequence[str] | str = "datetime") -> Window:
@@ -221,16 +222,20 @@ def distributed_row_number(
        slice's offset in its group.
     4. Position = offset + index - first index.
 
-    ``order`` must be a total order (add a unique tiebreak), which also makes
-    a recomputed partition after an executor loss identical to the first.
+    ``order`` must be a total order (add a unique tiebreak). Range bounds are
+    sampled from the input, so the numbered rows are written once with a
+    reliable ``checkpoint()`` (shared checkpoint folder) before the slice
+    table is derived from them: both sides of the final join see the same
+    partitions, also after an executor loss.
     """
     groups, order = list(groups), list(order)
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *groups, *order).sortWithinPartitions(*groups, *order)
     ids = ranged.withColumn("_mid", F.monotonically_increasing_id()).withColumn(
         "_part", F.shiftright(F.col("_mid"), 33)
-    )
+    ).checkpoint()
     slices = ids.groupBy("_part", *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     w = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1

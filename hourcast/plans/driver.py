@@ -14,14 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import calendar as cal
-from ..functions.scalar import (
-    clean_name,
-    epoch_to_timestamp,
-    numeric_or_null,
-    positive_part,
-    null_to_zero,
-    timestamp_to_epoch,
-)
+from ..functions.scalar import epoch_to_timestamp, timestamp_to_epoch
 from ..operators.conform import conform, union_aligned
 from ..operators.enrich import (
     forecast_weather_by_county,
@@ -47,7 +40,12 @@ from ..operators.series import (
     since_min_of,
     upsert,
 )
+from ..operators.evaluate import cv_summary, fold_scores, mae, numeric_params
+from ..operators.split import assign_folds
 from ..plans.features import build_features, zero_power_at_dst
+from ..plans.forecast import block_recursive_forecast, column_model, seasonal_naive, submission, to_power
+from ..plans.model import SideModels, random_search
+from ..streaming.incremental import DailyLoop
 from ..schemas import (
     FW_OUTPUT,
     HISTORICAL_WEATHER_MEASURES,
@@ -324,6 +322,104 @@ def retrain_features(spark, sf):
     return round_doubles(build_features(new, "retrain", history=history, lags=DRIVER_LAGS))
 
 
+# ---------------------------------------------------------------- evaluation and ordering
+
+
+def ts_split(spark, sf):
+    df = _fact(spark, sf).select("row_id", "datetime", "is_consumption")
+    folded = assign_folds(df, 3, order=["datetime", "row_id"], groups=["is_consumption"])
+    return folded.select("row_id", "is_consumption", "pos", "n_rows", "test_fold", "train_from_fold")
+
+
+def _naive_scored(spark, sf) -> DataFrame:
+    """Capacity-factor lags -> seasonal naive -> power forecast (row_id, target)."""
+    df = add_positional_lags(_with_capacity(spark, sf), ["capacity_factor"], DRIVER_LAGS)
+    return df.withColumn("target", to_power(seasonal_naive("capacity_factor", [168, 24, 12])))
+
+
+def seasonal_naive_mae(spark, sf):
+    scored = _naive_scored(spark, sf)
+    return round_doubles(mae(_fact(spark, sf), scored, "row_id", "power", "target"))
+
+
+def cv_summary_q(spark, sf):
+    scored = _naive_scored(spark, sf)
+    folded = assign_folds(scored, 3, order=["datetime", "row_id"], groups=["is_consumption"])
+    scores = fold_scores(folded, "test_fold", ["is_consumption"])
+    return round_doubles(cv_summary(scores, "is_consumption", {True: "consumption", False: "production"}))
+
+
+def group_order(spark, sf):
+    ev = analog.table(spark, sf, "events")
+    first = ev.groupBy("user_id").agg(F.min("event_id").alias("first_seq"))
+    return distributed_row_number(first, ["first_seq"], [], name="position")
+
+
+def top_sample(spark, sf):
+    f = _fact(spark, sf)
+    return round_doubles(f.orderBy(F.desc("power"), F.asc("row_id")).limit(10).select("row_id", "datetime", "power"))
+
+
+def param_rows(spark, sf):
+    part = analog.table(spark, sf, "part")
+    names = ["p_size", "p_retailprice", "p_name", "p_brand"]
+    text = part.select(F.col("p_partkey").alias("run_id"), *[F.col(c).cast("string").alias(c) for c in names])
+    long = text.unpivot(["run_id"], names, "param", "value_text").withColumn(
+        "param", F.regexp_replace("param", "^p_", "param."))
+    return round_doubles(numeric_params(long).select("run_id", "metric", "value"))
+
+
+def source_audit_q(spark, sf):
+    tables = {t: analog.table(spark, sf, t) for t in analog.DRIVER_TABLES}
+    return source_audit(spark, tables, analog.DRIVER_TABLES).select("table_name", "n_rows")
+
+
+# ---------------------------------------------------------------- forecasting
+
+
+def recursive_forecast(spark, sf):
+    f = _fact(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power")
+    cut = F.col("datetime") >= F.lit(HORIZON_TS).cast("timestamp_ntz")
+    out = block_recursive_forecast(
+        f.filter(~cut), f.filter(cut), "power", column_model(lambda: F.col("power_lag_12")), [12],
+    )
+    return round_doubles(out.select("row_id", "datetime", *SERIES_KEYS, "prediction"))
+
+
+def _train_test_features(spark, sf):
+    merged = star_merge(_tables(spark, sf))
+    cut = F.col("datetime") >= F.lit(HORIZON_TS).cast("timestamp_ntz")
+    history, future = merged.filter(~cut), merged.filter(cut)
+    train = build_features(history, "train", lags=DRIVER_LAGS)
+    test = build_features(future.withColumn("power", F.lit(None).cast("double"))
+                          .withColumn("capacity_factor", F.lit(None).cast("double")),
+                          "test", history=history, lags=DRIVER_LAGS)
+    return train, test
+
+
+def gbt_predict(spark, sf):
+    train, test = _train_test_features(spark, sf)
+    params = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1}
+    models = SideModels(params={"consumption": params, "production": params}).fit(train)
+    scored = models.transform(test)
+    return submission(scored, to_power(F.col("_pred")))
+
+
+def param_search(spark, sf):
+    train, _ = _train_test_features(spark, sf)
+    space = {"maxIter": (5, 15, "int"), "maxDepth": (2, 4, "int"), "stepSize": (0.05, 0.3, "log")}
+    _, table = random_search(train, n_trials=2, n_splits=2, space=space)
+    return table.select("side", "trial", "params", "mean_mae")
+
+
+def incremental_days(spark, sf):
+    f = _fact(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power")
+    loop = DailyLoop(spark, f, "power", lags=[24])
+    days = ["2024-01-28", "2024-01-29", "2024-01-30"]
+    loop.seed_history(days[0])
+    return round_doubles(loop.run(days).select("row_id", "datetime", "prediction"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_orders": conform_orders,
     "parse_ts_text": parse_ts_text,
@@ -354,4 +450,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_merge": star_merge_q,
     "train_features": train_features,
     "retrain_features": retrain_features,
+    "ts_split": ts_split,
+    "seasonal_naive_mae": seasonal_naive_mae,
+    "cv_summary": cv_summary_q,
+    "group_order": group_order,
+    "top_sample": top_sample,
+    "param_rows": param_rows,
+    "source_audit": source_audit_q,
+    "recursive_forecast": recursive_forecast,
+    "gbt_predict": gbt_predict,
+    "param_search": param_search,
+    "incremental_days": incremental_days,
 }

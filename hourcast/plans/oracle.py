@@ -426,6 +426,70 @@ from (select f.row_id, f.datetime, e.electricity_price from fact f left join ele
                                  + " from merged")
     o["train_features"] = features_sql(LAGS3)
     o["retrain_features"] = features_sql(LAGS3, f"datetime >= {SPLIT}")
+    naive = f"""
+  select row_id, datetime, is_consumption, power,
+         case when coalesce(l168, l24, l12) * installed_capacity is null then null
+              else greatest(coalesce(l168, l24, l12) * installed_capacity, 0) end as target
+  from (select *, {_lag('cf', 168)} as l168, {_lag('cf', 24)} as l24, {_lag('cf', 12)} as l12
+        from (select *, power / nullif(installed_capacity, 0) as cf from with_capacity) x) y"""
+    o["seasonal_naive_mae"] = with_views(["with_capacity"], """
+select round(avg(abs(target - power)), 6) as mae, count(*) as n_rows
+from naive where power is not null and target is not null""", [("naive", naive)])
+    folds = """
+  select *, case when t > 0 and pos >= first then (pos - first) // t end as test_fold
+  from (select *, n_rows // 4 as t, n_rows - 3 * (n_rows // 4) as first
+        from (select *, row_number() over (partition by is_consumption order by datetime, row_id) - 1 as pos,
+                     count(*) over (partition by is_consumption) as n_rows
+              from {src}) a) b"""
+    o["ts_split"] = with_views(["fact"], """
+select row_id, is_consumption, pos, n_rows, test_fold,
+       case when t <= 0 then null when pos < first then 0 when test_fold + 1 < 3 then test_fold + 1 end
+         as train_from_fold
+from folds""", [("folds", folds.format(src="fact"))])
+    o["cv_summary"] = with_views(["with_capacity"], """
+select case when grouping(is_consumption) = 1 then 'all'
+            when is_consumption then 'consumption' else 'production' end as group_name,
+       round(avg(mae), 6) as mean_mae, round(stddev_pop(mae), 6) as std_mae, count(*) as n_folds
+from (select is_consumption, test_fold, avg(abs(target - power)) as mae
+      from folds where test_fold is not null and power is not null and target is not null
+      group by 1, 2) s
+group by grouping sets ((is_consumption), ())""", [("naive", naive), ("folds", folds.format(src="naive"))])
+    o["group_order"] = """
+select user_id, first_seq, row_number() over (order by first_seq) - 1 as position
+from (select user_id, min(event_id) as first_seq from events group by 1) g"""
+    o["top_sample"] = with_views(["fact"], """
+select row_id, datetime, round(power, 6) as power from fact order by power desc, row_id asc limit 10""")
+    o["param_rows"] = """
+with t as (select p_partkey as run_id, cast(p_size as varchar) as p_size,
+                  cast(p_retailprice as varchar) as p_retailprice, p_name, p_brand from part),
+u as (unpivot t on p_size, p_retailprice, p_name, p_brand into name param value value_text)
+select run_id,
+       regexp_replace(regexp_replace(param, '^p_', 'param.'), '[^0-9A-Za-z_.]', '_', 'g') as metric,
+       round(try_cast(value_text as double), 6) as value
+from u where try_cast(value_text as double) is not null"""
+    from ..sources.analog import DRIVER_TABLES
+    o["source_audit"] = "\nunion all\n".join(
+        f"select '{t}' as table_name, count(*) as n_rows from {t}" for t in DRIVER_TABLES)
+    o["recursive_forecast"] = with_views(["fact"], f"""
+select t.row_id, t.datetime, t.prediction_unit_id, t.is_consumption, round(s.power, 6) as prediction
+from steps t left join idx s
+  on s.prediction_unit_id = t.prediction_unit_id and s.is_consumption = t.is_consumption
+ and s.idx = t.idx - 12 * (t.step // 12 + 1)
+where t.step >= 0""", [
+        ("idx", f"""
+  select row_id, datetime, prediction_unit_id, is_consumption, power,
+         row_number() over ({SERIES_W}) - 1 as idx from fact"""),
+        ("first_h", """
+  select prediction_unit_id, is_consumption, min(idx) as i0 from idx
+  where datetime >= timestamp '2024-01-29 00:00:00' group by 1, 2"""),
+        ("steps", """
+  select i.*, i.idx - h.i0 as step from idx i
+  join first_h h on i.prediction_unit_id = h.prediction_unit_id and i.is_consumption = h.is_consumption"""),
+    ])
+    o["incremental_days"] = with_views(["fact"], f"""
+select row_id, datetime, round(coalesce(lag(power, 24) over ({SERIES_W}), 0.0), 6) as prediction
+from fact
+qualify datetime >= timestamp '2024-01-28 00:00:00'""")
     return o
 
 

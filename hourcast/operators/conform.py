@@ -46,6 +46,8 @@ def _conform_column(
 ) -> Column:
     col = F.col(f"`{name}`")
     source = df.schema[name].dataType
+    if isinstance(source, StringType) and not isinstance(target, StringType):
+        col = F.nullif(col, F.lit(""))  # an empty field is a missing value, as in CSV
     if isinstance(source, StringType) and isinstance(target, TimestampNTZType):
         fmt = formats.get(name, TIMESTAMP_FORMAT)
         if fmt == DATE_FORMAT:

@@ -138,7 +138,7 @@ def forward_fill_global(
         ts_col, *[F.coalesce(F.col(c), F.col(f"_carry_{c}")).alias(f"_ff_{c}") for c in cols]
     )
     out = df.join(per_ts, ts_col, "left")
-    return out.withColumns({c: F.col(f"_ff_{c}") for c in cols}).drop(*[f"_ff_{c}" for c in cols])
+    return out.withColumns({c: F.col(f"_ff_{c}") for c in cols}).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def keep_last(

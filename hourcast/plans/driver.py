@@ -309,9 +309,13 @@ def star_merge_q(spark, sf):
     return round_doubles(star_merge(_tables(spark, sf)))
 
 
-def train_features(spark, sf):
+def training_frame(spark, sf, lags=DRIVER_LAGS):
     merged = star_merge(_tables(spark, sf))
-    return round_doubles(build_features(merged, "train", lags=DRIVER_LAGS))
+    return round_doubles(build_features(merged, "train", lags=list(lags)))
+
+
+def train_features(spark, sf):
+    return training_frame(spark, sf, DRIVER_LAGS)
 
 
 def retrain_features(spark, sf):

@@ -38,6 +38,7 @@ from ..schemas import (
     SERIES_KEYS,
     TABLE_KEYS,
     check_mode,
+    feature_columns,
 )
 
 PRICE_COLUMNS = ["electricity_price", "gas_price"]
@@ -122,7 +123,9 @@ def build_features(
         df = since_min_of(df, merged)
     if mode != "test":
         df = drop_rows_with_null(df)
-    return df if keep_power else df.drop("power")
+    ordered = feature_columns(list(lags))
+    extra = [c for c in df.columns if c not in ordered and c != "power"]
+    return df.select(*ordered, *extra, *(["power"] if keep_power else []))
 
 
 def labels(features_with_power: DataFrame) -> DataFrame:

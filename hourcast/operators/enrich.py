@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import abs_scaled, add_hours, floor_at_zero, mid_price, safe_divide, scale_and_cap
@@ -128,55 +128,37 @@ def observed_weather_by_county(historical_weather: DataFrame, mapping: DataFrame
     )
 
 
-def weighted_median(
-    df: DataFrame, by: Sequence[str], weight: str, cols: Sequence[str]
-) -> DataFrame:
-    """Exact median of each column per ``by`` group, where each row stands for
-    ``weight`` copies of its value (interpolated midpoint for an even count).
-
-    Works on a pre-aggregated table (one row per group and value source), so a
-    group never holds the raw rows.
-    """
-    long = df.unpivot([*by, weight], list(cols), "_name", "_v").filter(F.col("_v").isNotNull())
-    part = [*by, "_name"]
-    run = Window.partitionBy(*part).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = long.withColumn("_end", F.sum(weight).over(run)).withColumn(
-        "_n", F.sum(weight).over(Window.partitionBy(*part))
-    )
-    start = F.col("_end") - F.col(weight)
-    lo_k = F.floor((F.col("_n") - 1) / 2)
-    hi_k = F.floor(F.col("_n") / 2)
-    at = lambda k: F.max(F.when((start <= k) & (F.col("_end") > k), F.col("_v")))
-    med = ranked.groupBy(*part).agg(at(lo_k).alias("_lo"), at(hi_k).alias("_hi"))
-    med = med.select(*part, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * 0.5).alias("_med"))
-    return med.groupBy(*by).pivot("_name", list(cols)).agg(F.first("_med"))
-
-
 def join_weather_with_median_fill(
     fact: DataFrame,
-    weather: DataFrame,
-    cols: Sequence[str],
+    weather: DataFrame | Sequence[tuple[DataFrame, Sequence[str]]],
+    cols: Sequence[str] | None = None,
     keys: Sequence[str] = WEATHER_JOIN_KEYS,
     by: str = "datetime",
 ) -> DataFrame:
     """Left join per-county weather, then fill each missing value with the
     median of that column over all fact rows at the same ``by`` instant.
 
-    The median over fact rows equals a weighted median over the (county,
-    instant) table with weight = fact rows per (county, instant). Those
-    counts come from a partial aggregate of the fact, so no instant ever
-    gathers its fact rows in one task.
+    ``weather`` is one table (with ``cols``) or a list of (table, cols): all
+    of them are joined first and their medians come from one aggregate.
+
+    Scale: the medians are a ``groupBy(by)`` exact ``median`` over the joined
+    fact rows. Spark's median keeps a value -> count map per group and merges
+    it map-side; the values at one instant come from one aggregate per county,
+    so each group's map holds at most (counties + 1) entries, however many
+    fact rows share the instant. The per-instant table is then joined back
+    (AQE broadcasts it when its measured size is small).
     """
+    tables = [(weather, list(cols or []))] if isinstance(weather, DataFrame) else [(w, list(c)) for w, c in weather]
     keys = list(keys)
-    w = weather.select(*keys, *cols)
-    joined = fact.join(w, keys, "left")
-    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_w"))
-    medians = weighted_median(counts.join(w, keys, "inner"), [by], "_w", cols)
-    medians = medians.select(by, *[F.col(f"`{c}`").alias(f"_med_{c}") for c in cols])
+    joined = fact
+    all_cols: list[str] = []
+    for w, wcols in tables:
+        joined = joined.join(w.select(*keys, *wcols), keys, "left")
+        all_cols += wcols
+    medians = joined.groupBy(by).agg(*[F.median(c).alias(f"_med_{c}") for c in all_cols])
     filled = joined.join(medians, by, "left")
-    return filled.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in cols}).drop(
-        *[f"_med_{c}" for c in cols]
-    )
+    out = filled.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in all_cols})
+    return out.drop(*[f"_med_{c}" for c in all_cols])
 
 
 def lookup_names(df: DataFrame, names: DataFrame, key: str = "county") -> DataFrame:
@@ -193,8 +175,9 @@ def star_merge(tables: dict[str, DataFrame], compat_cloud: bool = False, check_u
     df = join_price(df, gas_hourly(tables["gas"]), "datetime", "gas_price", "gas_price",
                     check_unique=check_unique)
     fw = forecast_weather_by_county(tables["forecast_weather"], tables["mapping"], compat_cloud=compat_cloud)
-    df = join_weather_with_median_fill(df, fw, FW_OUTPUT)
     hw = observed_weather_by_county(tables["historical_weather"], tables["mapping"])
-    df = join_weather_with_median_fill(df, hw, HW_AGGREGATED)
+    # Fill values depend only on the joined rows at each instant, so both weather
+    # tables share one median aggregate.
+    df = join_weather_with_median_fill(df, [(fw, FW_OUTPUT), (hw, HW_AGGREGATED)])
     df = df.withColumn("capacity_factor", safe_divide("power", "installed_capacity"))
     return df.select(*MERGED_COLUMNS)

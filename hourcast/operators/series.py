@@ -118,25 +118,18 @@ def forward_fill_global(
     """Forward fill across all series in time order, for columns that are a
     function of the instant (prices joined on ``datetime``).
 
-    Works on the distinct instants, never on the fact: (1) one value per
-    instant; (2) fill within each day, partitioned by day; (3) carry each day's
-    last value over the (few) days in order; (4) join back on the instant.
+    The fill runs on the per-instant table, never on the fact: (1) one value
+    per instant (a partial aggregate, so a busy instant is reduced map-side);
+    (2) last non-null value in time order over that table; (3) join back on
+    the instant. Step (2) orders one row per instant in one task: its size is
+    the length of the time span in hours (87,600 rows for ten years), however
+    large the fact grows.
     """
     cols = list(cols)
-    per_ts = df.groupBy(ts_col).agg(*[F.max(c).alias(c) for c in cols]).withColumn("_day", F.to_date(ts_col))
-    in_day = Window.partitionBy("_day").orderBy(ts_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = per_ts.withColumns({c: F.last(F.col(c), ignorenulls=True).over(in_day) for c in cols})
-    # After the in-day fill, the value at a day's last instant is its tail.
-    tails = filled.groupBy("_day").agg(*[F.max_by(F.col(c), F.col(ts_col)).alias(f"_tail_{c}") for c in cols])
-    # One row per day: ordering the day tails in a single task is bounded by the
-    # number of days in the span, not by data volume.
-    before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select(
-        "_day", *[F.last(F.col(f"_tail_{c}"), ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols]
-    )
-    per_ts = filled.join(carry, "_day", "left").select(
-        ts_col, *[F.coalesce(F.col(c), F.col(f"_carry_{c}")).alias(f"_ff_{c}") for c in cols]
-    )
+    per_ts = df.groupBy(ts_col).agg(*[F.max(c).alias(f"_ff_{c}") for c in cols])
+    so_far = Window.orderBy(ts_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_ts = per_ts.select(ts_col, *[F.last(f"_ff_{c}", ignorenulls=True).over(so_far).alias(f"_ff_{c}")
+                                     for c in cols])
     out = df.join(per_ts, ts_col, "left")
     return out.withColumns({c: F.col(f"_ff_{c}") for c in cols}).select(*[F.col(f"`{c}`") for c in df.columns])
 

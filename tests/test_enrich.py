@@ -8,7 +8,6 @@ from hourcast.operators.enrich import (
     gas_hourly,
     join_price,
     join_weather_with_median_fill,
-    weighted_median,
 )
 from hourcast.schemas import FORECAST_WEATHER_SCHEMA, GAS_SCHEMA, MAPPING_SCHEMA
 
@@ -94,6 +93,11 @@ def test_weighted_median_equals_row_median(spark):
     assert all(out[rid] is None for rid, _ in by_hour["2024-01-01 02:00:00"])
 
 
-def test_weighted_median_even_count(spark):
-    df = spark.createDataFrame([(1, 2, 1.0), (1, 2, 3.0)], "g int, w long, v double")
-    assert weighted_median(df, ["g"], "w", ["v"]).first()["v"] == 2.0
+def test_median_even_count(spark):
+    fact = spark.createDataFrame([(1, 0, "2024-01-01 00:00:00"), (2, 1, "2024-01-01 00:00:00"),
+                                  (3, 2, "2024-01-01 00:00:00")], "row_id long, county int, d string").select(
+        "row_id", "county", _ts("d").alias("datetime"))
+    w = spark.createDataFrame([(0, "2024-01-01 00:00:00", 1.0), (1, "2024-01-01 00:00:00", 3.0)],
+                              "county int, d string, x double").select("county", _ts("d").alias("datetime"), "x")
+    out = {r["row_id"]: r["x"] for r in join_weather_with_median_fill(fact, w, ["x"]).collect()}
+    assert out == {1: 1.0, 2: 3.0, 3: 2.0}

@@ -88,3 +88,13 @@ def run_record(
     df = spark.createDataFrame(rows, "run_id string, kind string, name string, value double, fold int")
     return df.withColumn("recorded_at", F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast(
         "timestamp_ntz"))
+
+
+def observe_rows(df: DataFrame, name: str, *extra):
+    """Row count (and extra aggregate columns) collected as a side metric of the
+    next action on ``df``: no extra job. Returns (df, observation); read
+    ``observation.get`` after the action."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra), obs

@@ -109,3 +109,21 @@ class DailyLoop:
         )
         query.awaitTermination()
         return self.spark.read.parquet(self.output).drop("batch_id")
+
+
+def group_frames(frames: dict[str, DataFrame], group_col: str, group_id, keep_group: bool = False) -> dict[str, DataFrame]:
+    """The rows of every frame that belong to one group id (one replay step);
+    the group column is dropped unless ``keep_group``."""
+    out = {}
+    for name, df in frames.items():
+        part = df.filter(F.col(group_col) == F.lit(group_id))
+        out[name] = part if keep_group else part.drop(group_col)
+    return out
+
+
+def group_order(df: DataFrame, group_col: str, seq_col: str) -> DataFrame:
+    """Group ids in order of first appearance: (group, first_seq, position)."""
+    from ..operators.series import distributed_row_number
+
+    first = df.groupBy(group_col).agg(F.min(seq_col).alias("first_seq"))
+    return distributed_row_number(first, ["first_seq", group_col], [], name="position")

@@ -125,11 +125,17 @@ class SideModels:
         self.features = self.features or feature_list(df)
         if not self.features:
             raise RuntimeError("no feature columns")
-        prepared = _prepare(df, self.features)
-        for side, flag in SIDES.items():
-            part = prepared.filter(F.col(SIDE_COL) == F.lit(flag))
-            pipe = build_pipeline(self.features, self.params[side], self.seed, self.max_bins)
-            self.models[side] = pipe.fit(part)
+        # Fitting reads its input several times (indexers, every boosting
+        # round); keep only the model columns, computed once.
+        cols = [SIDE_COL, LABEL, *[_fcol(c) for c in self.features]]
+        prepared = _prepare(df, self.features).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for side, flag in SIDES.items():
+                part = prepared.filter(F.col(SIDE_COL) == F.lit(flag))
+                pipe = build_pipeline(self.features, self.params[side], self.seed, self.max_bins)
+                self.models[side] = pipe.fit(part)
+        finally:
+            prepared.unpersist()
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -202,7 +208,9 @@ def random_search(
     trials = [draw_params(rng, space) for _ in range(n_trials)]
     rows, best = [], {}
     for side, flag in SIDES.items():
-        folded = assign_folds(prepared.filter(F.col(SIDE_COL) == F.lit(flag)), n_splits, groups=[])
+        side_rows = prepared.filter(F.col(SIDE_COL) == F.lit(flag)).select(
+            "datetime", "row_id", LABEL, *[_fcol(c) for c in features])
+        folded = assign_folds(side_rows, n_splits, groups=[])
         folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
         frames = [fold_frames(folded, k) for k in range(n_splits)]
 

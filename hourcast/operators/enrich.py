@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import abs_scaled, add_hours, floor_at_zero, mid_price, safe_divide, scale_and_cap
+from ..session import broadcast_if_small, materialize
 from ..schemas import (
     CLIENT_JOIN_KEYS,
     FORECAST_WEATHER_MEASURES,
@@ -166,8 +167,19 @@ def lookup_names(df: DataFrame, names: DataFrame, key: str = "county") -> DataFr
     return df.join(F.broadcast(names), key, "left")
 
 
-def star_merge(tables: dict[str, DataFrame], compat_cloud: bool = False, check_unique: bool = False) -> DataFrame:
-    """The 27-column merged frame: fact + capacity + prices + weather + capacity factor."""
+def star_merge(
+    tables: dict[str, DataFrame],
+    compat_cloud: bool = False,
+    check_unique: bool = False,
+    materialize_weather: bool = True,
+) -> DataFrame:
+    """The 27-column merged frame: fact + capacity + prices + weather + capacity factor.
+
+    ``materialize_weather`` writes the two per-county weather tables once
+    (they are read by the join and by the median aggregate) and broadcasts
+    each only if its measured size is under the broadcast threshold; this
+    runs two small jobs when called.
+    """
     fact = tables["power"].withColumnRenamed("target", "power")
     df = join_capacity(fact, tables["client"])
     df = join_price(df, tables["electricity"], "forecast_date", "euros_per_mwh", "electricity_price",
@@ -176,6 +188,8 @@ def star_merge(tables: dict[str, DataFrame], compat_cloud: bool = False, check_u
                     check_unique=check_unique)
     fw = forecast_weather_by_county(tables["forecast_weather"], tables["mapping"], compat_cloud=compat_cloud)
     hw = observed_weather_by_county(tables["historical_weather"], tables["mapping"])
+    if materialize_weather:
+        fw, hw = (broadcast_if_small(materialize(w)) for w in (fw, hw))
     # Fill values depend only on the joined rows at each instant, so both weather
     # tables share one median aggregate.
     df = join_weather_with_median_fill(df, [(fw, FW_OUTPUT), (hw, HW_AGGREGATED)])

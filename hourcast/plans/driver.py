@@ -36,6 +36,7 @@ from ..operators.series import (
     exclude_range,
     forward_fill,
     forward_fill_global,
+    positional_lags_by_join,
     row_index,
     since_min_of,
     upsert,
@@ -54,6 +55,7 @@ from ..schemas import (
     TABLE_KEYS,
     make_schema,
 )
+from ..session import materialize
 from ..sources import analog
 from ..sources.files import county_names, source_audit
 
@@ -309,8 +311,14 @@ def star_merge_q(spark, sf):
     return round_doubles(star_merge(_tables(spark, sf)))
 
 
+def _merged(spark, sf) -> DataFrame:
+    """The merged stage output, written once: the feature steps read it from
+    several branches (fills per instant, history and new rows)."""
+    return materialize(star_merge(_tables(spark, sf)))
+
+
 def training_frame(spark, sf, lags=DRIVER_LAGS):
-    merged = star_merge(_tables(spark, sf))
+    merged = _merged(spark, sf)
     return round_doubles(build_features(merged, "train", lags=list(lags)))
 
 
@@ -319,7 +327,7 @@ def train_features(spark, sf):
 
 
 def retrain_features(spark, sf):
-    merged = star_merge(_tables(spark, sf))
+    merged = _merged(spark, sf)
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
     history = merged.filter(F.col("datetime") < split)
     new = merged.filter(F.col("datetime") >= split)
@@ -391,7 +399,7 @@ def recursive_forecast(spark, sf):
 
 
 def _train_test_features(spark, sf):
-    merged = star_merge(_tables(spark, sf))
+    merged = _merged(spark, sf)
     cut = F.col("datetime") >= F.lit(HORIZON_TS).cast("timestamp_ntz")
     history, future = merged.filter(~cut), merged.filter(cut)
     train = build_features(history, "train", lags=DRIVER_LAGS)
@@ -424,6 +432,16 @@ def incremental_days(spark, sf):
     return round_doubles(loop.run(days).select("row_id", "datetime", "prediction"))
 
 
+def test_features(spark, sf):
+    _, test = _train_test_features(spark, sf)
+    return round_doubles(test)
+
+
+def lag_by_join(spark, sf):
+    df = _with_capacity(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power")
+    return round_doubles(positional_lags_by_join(df, ["power"], DRIVER_LAGS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_orders": conform_orders,
     "parse_ts_text": parse_ts_text,
@@ -465,4 +483,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gbt_predict": gbt_predict,
     "param_search": param_search,
     "incremental_days": incremental_days,
+    "test_features": test_features,
+    "lag_by_join": lag_by_join,
 }

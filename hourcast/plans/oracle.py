@@ -288,6 +288,22 @@ def feature_output_columns(lags: list[int]) -> tuple[list[str], list[str]]:
     return cols, [c for c in cols if c not in non_double]
 
 
+def test_features_sql(lags: list[int], horizon: str) -> str:
+    """Test mode: rows from ``horizon`` on have no target; no DST zero, no row
+    drops, no ratio recompute; lags over history + rows; trimmed to the rows."""
+    cols, doubles = feature_output_columns(lags)
+    masked = ("\n  select * replace (case when datetime >= " + horizon + " then null else power end as power,"
+              "\n    case when datetime >= " + horizon + " then null else capacity_factor end as capacity_factor)"
+              "\n  from merged")
+    ctes = dict(feature_ctes(lags))
+    cal = ctes["cal"].replace("from merged", "from masked")
+    filled = ctes["filled"].replace("from kept", "from cal")
+    lagged = ctes["lagged"].replace("from ratio", "from filled")
+    sel = ", ".join(r6(c) if c in doubles else c for c in cols)
+    body = f"select {sel}\nfrom lagged\nwhere datetime >= {horizon}"
+    return with_views(["merged"], body, [("masked", masked), ("cal", cal), ("filled", filled), ("lagged", lagged)])
+
+
 def features_sql(lags: list[int], where: str = "") -> str:
     cols, doubles = feature_output_columns(lags)
     not_null = " and ".join(f"{c} is not null" for c in [*cols, "power"])
@@ -490,6 +506,11 @@ where t.step >= 0""", [
 select row_id, datetime, round(coalesce(lag(power, 24) over ({SERIES_W}), 0.0), 6) as prediction
 from fact
 qualify datetime >= timestamp '2024-01-28 00:00:00'""")
+    o["test_features"] = test_features_sql(LAGS3, "timestamp '2024-01-29 00:00:00'")
+    o["lag_by_join"] = with_views(["with_capacity"], f"""
+select row_id, datetime, prediction_unit_id, is_consumption, round(power, 6) as power,
+       {', '.join(f"round({_lag('power', n)}, 6) as power_lag_{n}" for n in LAGS3)}
+from with_capacity""")
     return o
 
 

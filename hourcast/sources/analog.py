@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.scalar import add_hours, hour_floor
 from ..operators.conform import conform_table
@@ -43,8 +44,19 @@ DRIVER_TABLES = [
 ]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Its schema is inferred once per path and then passed
+    explicitly, so later reads start no footer-reading job."""
+    path = f"{sf_dir}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 def _origin_ts() -> Column:

@@ -425,7 +425,8 @@ def param_search(spark, sf):
 
 
 def incremental_days(spark, sf):
-    f = _fact(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power")
+    # The fact is a stored table in the daily loop: write the derived view once.
+    f = materialize(_fact(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power"))
     loop = DailyLoop(spark, f, "power", lags=[24])
     days = ["2024-01-28", "2024-01-29", "2024-01-30"]
     loop.seed_history(days[0])

@@ -30,12 +30,17 @@ from ..schemas import SERIES_KEYS, lag_name
 from ..session import scratch_path
 
 
+MANIFEST_SCHEMA = "day string, seq long, reveal string"
+
+
 def write_manifest(spark: SparkSession, folder: str, day_ids: Sequence[str]) -> None:
     """One small JSON file per day id, written in day order (one append each),
     so the file source, which hands files out by modification time, replays
-    the days in order. Works on any file system Spark writes to."""
+    the days in order. Each record also names the day whose actuals it reveals
+    (the previous replayed day). Works on any file system Spark writes to."""
     for i, day in enumerate(day_ids):
-        spark.createDataFrame([(day, i)], "day string, seq long").coalesce(1).write.mode("append").json(folder)
+        reveal = day_ids[i - 1] if i > 0 else None
+        spark.createDataFrame([(day, i, reveal)], MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(folder)
         time.sleep(0.01)
 
 
@@ -75,9 +80,9 @@ class DailyLoop:
             self.history)
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
-        days = [r["day"] for r in batch.select("day").distinct().collect()]
-        for day in sorted(days):
-            prev = self.fact.filter(F.col("_day") < day).agg(F.max("_day")).first()[0]
+        # The manifest batch holds one control record per day (never data rows).
+        steps = sorted((r["day"], r["reveal"]) for r in batch.select("day", "reveal").collect())
+        for day, prev in steps:
             if prev is not None:
                 # Reveal the previous day's actuals (whole partition, idempotent).
                 self.fact.filter(F.col("_day") == prev).write.mode("overwrite").option(
@@ -97,7 +102,7 @@ class DailyLoop:
         """Replay ``days`` (one micro-batch each) and return all forecasts."""
         write_manifest(self.spark, self.manifest, list(days))
         stream = (
-            self.spark.readStream.schema("day string, seq long")
+            self.spark.readStream.schema(MANIFEST_SCHEMA)
             .option("maxFilesPerTrigger", 1)
             .json(self.manifest)
         )

@@ -62,6 +62,6 @@ def test_stream_equals_batch_and_replay(spark, tmp_out):
     want = {r["row_id"]: r["p"] for r in batch.collect()}
     assert got == want
     # replaying a batch id rewrites its partition only: the output is unchanged
-    loop._process(spark.createDataFrame([(days[1], 1)], "day string, seq long"), 1)
+    loop._process(spark.createDataFrame([(days[1], 1, days[0])], "day string, seq long, reveal string"), 1)
     again = {r["row_id"]: r["prediction"] for r in spark.read.parquet(loop.output).collect()}
     assert again == want

@@ -443,6 +443,16 @@ def lag_by_join(spark, sf):
     return round_doubles(positional_lags_by_join(df, ["power"], DRIVER_LAGS))
 
 
+def recursive_gbt(spark, sf):
+    """The trained per-side models drive the block recursion on capacity factor."""
+    train, test = _train_test_features(spark, sf)
+    params = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}
+    models = SideModels(params={"consumption": params, "production": params}).fit(train)
+    history = train.select("row_id", "datetime", *SERIES_KEYS, "capacity_factor")
+    out = block_recursive_forecast(history, test, "capacity_factor", models.transform, DRIVER_LAGS)
+    return submission(out, to_power(F.col("prediction")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_orders": conform_orders,
     "parse_ts_text": parse_ts_text,
@@ -486,4 +496,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_days": incremental_days,
     "test_features": test_features,
     "lag_by_join": lag_by_join,
+    "recursive_gbt": recursive_gbt,
 }

@@ -17,7 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import null_to_zero, positive_part
+from ..functions.scalar import add_hours, null_to_zero, positive_part
 from ..operators.series import add_positional_lags, row_index
 from ..schemas import SERIES_KEYS, lag_name
 from ..session import ensure_checkpoint_dir
@@ -54,6 +54,7 @@ def block_recursive_forecast(
     out_col: str = "prediction",
     pred_col: str = "_pred",
     checkpoint: bool = True,
+    history_hours: int | None = None,
 ) -> DataFrame:
     """Forecast ``value_col`` for the ``horizon`` rows, feeding predictions back
     into the value's positional lags.
@@ -62,6 +63,10 @@ def block_recursive_forecast(
     columns (plus every other column of the rows) and returns them with a
     ``pred_col`` column: a fitted Spark ML model's ``transform`` or
     :func:`column_model`. Returns the horizon rows with ``out_col``.
+
+    ``history_hours`` reads only that much history before the first horizon
+    instant (partition-prunable). It is exact when every series has a row in
+    each of its last ``max(lags)`` hours; ``None`` numbers the whole history.
     """
     keys = list(keys)
     lags = sorted(set(lags))
@@ -69,6 +74,9 @@ def block_recursive_forecast(
     max_lag = lags[-1]
     ensure_checkpoint_dir(history.sparkSession)
     lag_cols = [lag_name(value_col, n) for n in lags]
+    if history_hours is not None:
+        start = horizon.agg(F.min(order)).scalar()
+        history = history.filter(F.col(order) >= add_hours(start, -int(history_hours)))
     h = history.withColumn("_is_h", F.lit(False))
     z = horizon.withColumn(value_col, F.lit(None).cast("double")).withColumn("_is_h", F.lit(True))
     both = row_index(h.unionByName(z, allowMissingColumns=True), keys, order, "_idx")

@@ -62,6 +62,7 @@ class DailyLoop:
         lags: Sequence[int] = (24,),
         model: Callable[[DataFrame], Column] | None = None,
         root: str | None = None,
+        lookback_days: int | None = None,
     ):
         self.spark = spark
         self.fact = fact.withColumn("_day", F.date_format(F.col(ts_col), "yyyy-MM-dd"))
@@ -73,6 +74,9 @@ class DailyLoop:
         self.output = os.path.join(self.root, "predictions")
         self.manifest = os.path.join(self.root, "manifest")
         self.checkpoint = os.path.join(self.root, "checkpoint")
+        # Days of history read per batch (partition pruning on the day column);
+        # None reads all of it, which keeps positional lags exact over gaps.
+        self.lookback_days = lookback_days
 
     def seed_history(self, before_day: str) -> None:
         """History = every fact row before the first replayed day."""
@@ -88,6 +92,9 @@ class DailyLoop:
                 self.fact.filter(F.col("_day") == prev).write.mode("overwrite").option(
                     "partitionOverwriteMode", "dynamic").partitionBy("_day").parquet(self.history)
             history = self.spark.read.parquet(self.history).filter(F.col("_day") < day)
+            if self.lookback_days is not None:
+                first = F.date_format(F.date_sub(F.lit(day).cast("date"), self.lookback_days), "yyyy-MM-dd")
+                history = history.filter(F.col("_day") >= first)
             todo = self.fact.filter(F.col("_day") == day).withColumn(
                 self.value_col, F.lit(None).cast("double")).withColumn("_new", F.lit(True))
             both = history.withColumn("_new", F.lit(False)).unionByName(todo)

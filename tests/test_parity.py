@@ -28,4 +28,4 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_model():
-    assert set(QUERIES) - set(ORACLE) == {"gbt_predict", "param_search"}
+    assert set(QUERIES) - set(ORACLE) == {"gbt_predict", "param_search", "recursive_gbt"}

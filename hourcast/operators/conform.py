@@ -22,7 +22,8 @@ DATE_TEXT_COLUMNS: dict[str, dict[str, str]] = {"gas": {"forecast_date": DATE_FO
 
 def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     """Raise ``ValueError`` naming every missing column (checked at analysis time)."""
-    missing = [c for c in required if c not in df.columns]
+    present = set(df.columns)
+    missing = [c for c in required if c not in present]
     if missing:
         raise ValueError(f"Missing columns: {', '.join(missing)}")
     return df
@@ -42,10 +43,9 @@ def parse_date(col: Column, fmt: str = DATE_FORMAT, lenient: bool = False) -> Co
 
 
 def _conform_column(
-    df: DataFrame, name: str, target, formats: Mapping[str, str], lenient: bool
+    source, name: str, target, formats: Mapping[str, str], lenient: bool
 ) -> Column:
     col = F.col(f"`{name}`")
-    source = df.schema[name].dataType
     if isinstance(source, StringType) and not isinstance(target, StringType):
         col = F.nullif(col, F.lit(""))  # an empty field is a missing value, as in CSV
     if isinstance(source, StringType) and isinstance(target, TimestampNTZType):
@@ -76,8 +76,10 @@ def conform(
         df = df.withColumnsRenamed(dict(renames))
     require_columns(df, schema.names)
     formats = dict(formats or {})
+    source = {f.name: f.dataType for f in df.schema.fields}  # one schema round trip
     return df.select(
-        *[_conform_column(df, f.name, f.dataType, formats, lenient).alias(f.name) for f in schema.fields]
+        *[_conform_column(source[f.name], f.name, f.dataType, formats, lenient).alias(f.name)
+          for f in schema.fields]
     )
 
 
@@ -94,8 +96,9 @@ def align_to(df: DataFrame, template: StructType) -> DataFrame:
     """Project onto a template schema: missing columns become typed nulls,
     extra columns are dropped, order follows the template."""
     cols = []
+    present = set(df.columns)
     for f in template.fields:
-        if f.name in df.columns:
+        if f.name in present:
             cols.append(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
@@ -116,4 +119,5 @@ def union_aligned(frames: Iterable[DataFrame], template: StructType | None = Non
 
 def drop_columns(df: DataFrame, *cols: str) -> DataFrame:
     """Drop columns; absent names are ignored."""
-    return df.drop(*[c for c in cols if c in df.columns])
+    present = set(df.columns)
+    return df.drop(*[c for c in cols if c in present])

@@ -144,7 +144,8 @@ class SideModels:
             raise RuntimeError("Models not trained. Call fit() or load() first.")
         if not self.features:
             raise RuntimeError("Features not defined.")
-        missing = [c for c in self.features if c not in df.columns]
+        present = set(df.columns)
+        missing = [c for c in self.features if c not in present]
         if missing:
             raise ValueError(f"Missing feature columns: {', '.join(missing)}")
         prepared = _prepare(df, self.features)

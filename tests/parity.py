@@ -43,6 +43,19 @@ def normalise(columns: list[str], rows) -> tuple[list[str], Counter]:
     return names, Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                 "double": "DOUBLE", "float": "FLOAT", "boolean": "BOOLEAN", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_mismatches(df, con, sql: str) -> dict:
+    """Columns whose Spark and DuckDB types differ."""
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    rel = con.sql(sql)
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def compare(spark, con, name: str, build, sql: str | None, sf_dir: str) -> dict:
     t0 = time.time()
     df = build(spark, sf_dir)
@@ -62,7 +75,11 @@ def compare(spark, con, name: str, build, sql: str | None, sf_dir: str) -> dict:
     d_names, d_set = normalise(d_cols, d_rows)
     out["cols_ok"] = s_names == d_names
     out["rows_ok"] = s_set == d_set
-    out["ok"] = out["cols_ok"] and out["rows_ok"]
+    types = type_mismatches(df, con, sql)
+    out["types_ok"] = not types
+    if types:
+        out["types"] = types
+    out["ok"] = out["cols_ok"] and out["rows_ok"] and out["types_ok"]
     if not out["cols_ok"]:
         out["cols"] = (sorted(set(s_names) - set(d_names)), sorted(set(d_names) - set(s_names)))
     elif not out["rows_ok"]:

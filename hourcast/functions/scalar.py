@@ -70,9 +70,19 @@ def iso_weekday(ts: ColumnOrName) -> Column:
     return F.weekday(_c(ts)) + 1
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+_HOUR_US = 3_600_000_000
+
+
 def hour_floor(ts: ColumnOrName) -> Column:
-    """Truncate a ``TIMESTAMP_NTZ`` to the hour and keep it NTZ."""
-    return F.date_trunc("hour", _c(ts)).cast("timestamp_ntz")
+    """Truncate a ``TIMESTAMP_NTZ`` to the hour, staying NTZ.
+
+    Pure wall-clock arithmetic (``date_trunc`` would pass through the
+    session time zone), so the result is the same in every session zone.
+    """
+    t = _c(ts)
+    us = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), t)
+    return F.timestamp_add("MICROSECOND", -F.pmod(us, F.lit(_HOUR_US)), t)
 
 
 def add_hours(ts: ColumnOrName, hours: ColumnOrName | int) -> Column:

@@ -60,7 +60,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when the session has none (a unit test on one machine) do we make a
     fresh scratch folder and register it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -48,3 +48,17 @@ def test_iso_weekday_and_cyclic(spark):
     assert [r["day_of_week"] for r in parts] == [1, 7]
     cyc = df.select(*[v.alias(k) for k, v in cal.cyclic_columns(F.col("datetime")).items()]).first()
     assert abs(cyc["hour_sin"] - 1.0) < 1e-12 and abs(cyc["hour_cos"]) < 1e-12
+
+
+def test_hour_floor_any_zone(spark):
+    from hourcast.functions.scalar import hour_floor
+
+    df = spark.createDataFrame([("2024-03-31 02:37:05.123456",), ("2024-01-01 23:59:59",)], "s string").select(
+        F.to_timestamp_ntz("s").alias("t"))
+    try:
+        for zone in ("UTC", "Asia/Kolkata", "Europe/Tallinn", "Australia/Adelaide"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [str(r[0]) for r in df.select(hour_floor("t")).collect()]
+            assert got == ["2024-03-31 02:00:00", "2024-01-01 23:00:00"], zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

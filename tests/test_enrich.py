@@ -9,7 +9,7 @@ from hourcast.operators.enrich import (
     join_price,
     join_weather_with_median_fill,
 )
-from hourcast.schemas import FORECAST_WEATHER_SCHEMA, GAS_SCHEMA, MAPPING_SCHEMA
+from hourcast.schemas import FORECAST_WEATHER_SCHEMA, MAPPING_SCHEMA
 
 
 def _ts(c):

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from hourcast.operators.enrich import star_merge
-from hourcast.plans.features import build_features, merge_history
+from hourcast.plans.features import merge_history
 from hourcast.session import broadcast_if_small, materialize
 from hourcast.sources import analog
 from tests.conftest import SF_SMALL

@@ -259,3 +259,43 @@ def positional_lags_by_join(
         )
         out = out.join(shifted, [*keys, "_idx"], "left")
     return out.drop("_idx")
+
+
+def forward_fill_by_slices(
+    df: DataFrame,
+    cols: Sequence[str],
+    keys: Sequence[str] = SERIES_KEYS,
+    order: Sequence[str] = ("datetime",),
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Same values as :func:`forward_fill`, for series too long for one task
+    (a segmented scan).
+
+    1. Range-partition on (series, order), number the rows and write them once
+       (``checkpoint``): a long series is cut into slices, one per partition.
+    2. Fill inside each (slice, series): a window over at most one
+       partition's rows.
+    3. Each slice's last value after the fill is its tail; the carry into a
+       slice is the last non-null tail of the earlier slices of the same series
+       (a window over at most partitions-many rows per series).
+    4. Join the carry back on (slice, series) and fill what is still null.
+    ``order`` must be a total order within a series.
+    """
+    keys, order, cols = list(keys), list(order), list(cols)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+    ids = ranged.withColumn("_mid", F.monotonically_increasing_id()).withColumn(
+        "_part", F.shiftright(F.col("_mid"), 33)
+    ).checkpoint()
+    in_slice = Window.partitionBy("_part", *keys).orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    filled = ids.withColumns({c: F.last(F.col(c), ignorenulls=True).over(in_slice) for c in cols})
+    tails = filled.groupBy("_part", *keys).agg(*[F.max_by(F.col(c), F.col("_mid")).alias(f"_t_{c}") for c in cols])
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tails.select(
+        "_part", *keys, *[F.last(F.col(f"_t_{c}"), ignorenulls=True).over(before).alias(f"_c_{c}") for c in cols]
+    )
+    out = filled.join(carry, ["_part", *keys], "left")
+    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_c_{c}")) for c in cols})
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -24,8 +24,10 @@ from ..operators.series import (
     drop_rows_with_null,
     exclude_range,
     forward_fill,
+    forward_fill_by_slices,
     forward_fill_global,
     keep_last,
+    positional_lags_by_join,
     since_min_of,
 )
 from ..schemas import (
@@ -39,6 +41,7 @@ from ..schemas import (
     TABLE_KEYS,
     check_mode,
     feature_columns,
+    lag_name,
 )
 
 PRICE_COLUMNS = ["electricity_price", "gas_price"]
@@ -54,7 +57,10 @@ def zero_power_at_dst(df: DataFrame) -> DataFrame:
 
 
 def missing_value_policy(
-    df: DataFrame, mode: str = "train", excluded: tuple[str, str] | None = EXCLUDED_RANGE
+    df: DataFrame,
+    mode: str = "train",
+    excluded: tuple[str, str] | None = EXCLUDED_RANGE,
+    long_series: bool = False,
 ) -> DataFrame:
     check_mode(mode)
     if mode != "test":
@@ -64,7 +70,10 @@ def missing_value_policy(
         if excluded:
             df = exclude_range(df, *excluded)
     df = forward_fill_global(df, PRICE_COLUMNS)
-    df = forward_fill(df, SERIES_FILL_COLUMNS)
+    if long_series:
+        df = forward_fill_by_slices(df, SERIES_FILL_COLUMNS, SERIES_KEYS, ["datetime", "row_id"])
+    else:
+        df = forward_fill(df, SERIES_FILL_COLUMNS)
     if mode != "test":
         ratio = safe_divide("power", "installed_capacity")
         df = df.withColumn(
@@ -103,22 +112,32 @@ def build_features(
     years: tuple[int, int] = CALENDAR_YEARS,
     keep_power: bool = False,
     lookback_hours: int | None = None,
+    long_series: bool = False,
 ) -> DataFrame:
     """The feature frame: merged columns (+ flags, cyclic parts, lags).
 
     ``lag_mode`` defaults to plain lags in ``train`` and to ``fill`` (keep an
     existing lag, compute the rest) otherwise; ``current_or_lag`` reproduces
     the alternative reading where a present value is its own lag.
+
+    ``long_series=True`` swaps the per-series windows for their sliced forms
+    (:func:`forward_fill_by_slices`, :func:`positional_lags_by_join`), which
+    split a series over many tasks; same result, more shuffles. Use it when a
+    single series may not fit one task. It supports the ``lag`` mode.
     """
     check_mode(mode)
     df = merged
     if mode != "train" and history is not None:
         df = merge_history(history, merged, lookback_hours)
     df = add_calendar_features(df, "datetime", years)
-    df = missing_value_policy(df, mode, excluded)
-    df = add_positional_lags(
-        df, lag_cols, lags, SERIES_KEYS, "datetime", lag_mode or ("lag" if mode == "train" else "fill")
-    )
+    df = missing_value_policy(df, mode, excluded, long_series)
+    mode_of_lags = lag_mode or ("lag" if mode == "train" else "fill")
+    if long_series and mode_of_lags in ("lag", "fill") and not any(
+        lag_name(c, n) in df.columns for c in lag_cols for n in lags
+    ):
+        df = positional_lags_by_join(df, list(lag_cols), lags, SERIES_KEYS, ["datetime", "row_id"])
+    else:
+        df = add_positional_lags(df, lag_cols, lags, SERIES_KEYS, "datetime", mode_of_lags)
     if mode != "train":
         df = since_min_of(df, merged)
     if mode != "test":

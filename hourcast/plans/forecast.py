@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import add_hours, null_to_zero, positive_part
-from ..operators.series import add_positional_lags, row_index
+from ..operators.series import add_positional_lags, distributed_row_number, row_index
 from ..schemas import SERIES_KEYS, lag_name
 from ..session import ensure_checkpoint_dir
 
@@ -55,6 +55,7 @@ def block_recursive_forecast(
     pred_col: str = "_pred",
     checkpoint: bool = True,
     history_hours: int | None = None,
+    long_series: bool = False,
 ) -> DataFrame:
     """Forecast ``value_col`` for the ``horizon`` rows, feeding predictions back
     into the value's positional lags.
@@ -67,6 +68,9 @@ def block_recursive_forecast(
     ``history_hours`` reads only that much history before the first horizon
     instant (partition-prunable). It is exact when every series has a row in
     each of its last ``max(lags)`` hours; ``None`` numbers the whole history.
+    ``long_series=True`` numbers the rows with a distributed row number (a
+    long series is split over many tasks) instead of a per-series window;
+    the rounds then work on the bounded state only.
     """
     keys = list(keys)
     lags = sorted(set(lags))
@@ -79,7 +83,12 @@ def block_recursive_forecast(
         history = history.filter(F.col(order) >= add_hours(start, -int(history_hours)))
     h = history.withColumn("_is_h", F.lit(False))
     z = horizon.withColumn(value_col, F.lit(None).cast("double")).withColumn("_is_h", F.lit(True))
-    both = row_index(h.unionByName(z, allowMissingColumns=True), keys, order, "_idx")
+    union = h.unionByName(z, allowMissingColumns=True)
+    if long_series:
+        tiebreak = ["row_id"] if "row_id" in union.columns else []
+        both = distributed_row_number(union, [order, *tiebreak], keys, "_idx")
+    else:
+        both = row_index(union, keys, order, "_idx")
     first = both.filter("_is_h").groupBy(*keys).agg(F.min("_idx").alias("_i0"))
     # Bounded state: the last max_lag history rows of each series plus its horizon.
     state = both.join(first, keys, "inner").withColumn("_step", F.col("_idx") - F.col("_i0"))

@@ -72,3 +72,10 @@ def test_random_search_rows(spark, merged):
                                 space={"maxIter": (2, 3, "int"), "maxDepth": (2, 3, "int")})
     assert set(best) == {"consumption", "production"}
     assert table.count() == 4
+
+
+def test_long_series_path_equals_default(merged):
+    default = build_features(merged, "train", lags=[12, 24])
+    sliced = build_features(merged, "train", lags=[12, 24], long_series=True)
+    assert sliced.columns == default.columns
+    assert default.exceptAll(sliced).count() == 0 and sliced.exceptAll(default).count() == 0

@@ -85,3 +85,18 @@ def test_distributed_row_number(spark):
     hot = spark.range(0, 3000).select(F.lit(1).alias("g"), F.col("id").alias("o"))
     got = distributed_row_number(hot, ["o"], ["g"], num_partitions=5).filter("pos != o").count()
     assert got == 0
+
+
+def test_forward_fill_by_slices_equals_window(spark):
+    from hourcast.operators.series import forward_fill_by_slices
+
+    rows = []
+    for s in range(3):
+        for h in range(400):
+            v = None if (h % 7 and h % 11) else float(h * (s + 1))
+            rows.append((s * 1000 + h, s, True, h, v))
+    rows.append((9999, 9, True, 0, None))
+    df = _series(spark, rows)
+    want = {r["row_id"]: r["v"] for r in forward_fill(df, ["v"]).collect()}
+    got = {r["row_id"]: r["v"] for r in forward_fill_by_slices(df, ["v"], num_partitions=9).collect()}
+    assert got == want

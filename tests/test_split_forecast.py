@@ -46,6 +46,9 @@ def test_block_recursion_equals_row_recursion(spark):
     bounded = block_recursive_forecast(frame(hist), frame(horizon).drop("power"), "power", model, [12, 24],
                                        history_hours=24)
     assert {r["row_id"]: r["prediction"] for r in bounded.collect()} == got
+    sliced = block_recursive_forecast(frame(hist), frame(horizon).drop("power"), "power", model, [12, 24],
+                                      long_series=True)
+    assert {r["row_id"]: r["prediction"] for r in sliced.collect()} == got
 
 
 def test_back_transform_guards(spark):

@@ -35,6 +35,7 @@ from ..operators.series import (
     drop_rows_with_null,
     exclude_range,
     forward_fill,
+    forward_fill_by_slices,
     forward_fill_global,
     positional_lags_by_join,
     row_index,
@@ -453,6 +454,20 @@ def recursive_gbt(spark, sf):
     return submission(out, to_power(F.col("prediction")))
 
 
+def ffill_by_slices(spark, sf):
+    t = _tables(spark, sf)
+    df = join_price(_with_capacity(spark, sf), t["electricity"], "forecast_date", "euros_per_mwh",
+                    "electricity_price", absolute=True)
+    df = forward_fill_by_slices(df, ["installed_capacity", "electricity_price"], SERIES_KEYS, ["datetime", "row_id"])
+    return round_doubles(df.select("row_id", "installed_capacity", "electricity_price"))
+
+
+def train_features_long(spark, sf):
+    """The training frame through the sliced (long-series) operators."""
+    merged = _merged(spark, sf)
+    return round_doubles(build_features(merged, "train", lags=DRIVER_LAGS, long_series=True))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_orders": conform_orders,
     "parse_ts_text": parse_ts_text,
@@ -497,4 +512,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "test_features": test_features,
     "lag_by_join": lag_by_join,
     "recursive_gbt": recursive_gbt,
+    "ffill_by_slices": ffill_by_slices,
+    "train_features_long": train_features_long,
 }

@@ -507,6 +507,8 @@ select row_id, datetime, round(coalesce(lag(power, 24) over ({SERIES_W}), 0.0),
 from fact
 qualify datetime >= timestamp '2024-01-28 00:00:00'""")
     o["test_features"] = test_features_sql(LAGS3, "timestamp '2024-01-29 00:00:00'")
+    o["ffill_by_slices"] = o["ffill_series"]
+    o["train_features_long"] = o["train_features"]
     o["lag_by_join"] = with_views(["with_capacity"], f"""
 select row_id, datetime, prediction_unit_id, is_consumption, round(power, 6) as power,
        {', '.join(f"round({_lag('power', n)}, 6) as power_lag_{n}" for n in LAGS3)}

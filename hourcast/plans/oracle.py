@@ -61,16 +61,17 @@ BASE = {
   from orders group by 1, 2, 3, 4""",
     "electricity": f"""
   select {T0} + to_hours(cast(c_custkey % 720 as integer)) as forecast_date,
-         avg(c_acctbal) as euros_per_mwh
-  from customer where (c_custkey % 720) % 13 <> 0 group by 1""",
+         avg(case when (c_custkey % 720) % 13 <> 0 then c_acctbal end) as euros_per_mwh
+  from customer group by 1""",
     "gas": f"""
   select cast({D0} + cast(p_partkey % 30 as integer) as timestamp) as forecast_date,
          min(p_retailprice) as lowest_price_per_mwh,
          max(p_retailprice) as highest_price_per_mwh
   from part group by 1""",
     "mapping": f"""
-  select cast(s_nationkey % 6 as tinyint) as county, {_LAT_S} as latitude, {_LON_S} as longitude
-  from supplier where s_nationkey % 6 <> 5""",
+  select cast(case when s_nationkey % 6 <> 5 then s_nationkey % 6 end as tinyint) as county,
+         {_LAT_S} as latitude, {_LON_S} as longitude
+  from supplier""",
     "forecast_weather": f"""
   select {_LAT_L} as latitude, {_LON_L} as longitude,
          {T0} + to_hours(cast((l_orderkey * 7 + l_partkey) % 720 as integer)) as forecast_datetime,
@@ -95,7 +96,7 @@ BASE = {
          cast(l_partkey % 360 as float) as winddirection_10m,
          cast(l_extendedprice / 1000 as float) as direct_solar_radiation,
          cast(l_quantity * 2 as float) as diffuse_radiation
-  from lineitem where l_returnflag = 'R'""",
+  from lineitem""",
 }
 
 _fw_means = ",\n         ".join(f"avg({q(c)}) as {q('fw_' + c)}" for c in FORECAST_WEATHER_MEASURES)

@@ -104,13 +104,12 @@ def client(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def electricity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly prices with holes (every 13th hour slot missing) and negatives."""
+    """Hourly prices with holes (every 13th hour slot has no price) and
+    negatives; every customer row is read, a hole is a null price."""
     c = table(spark, sf_dir, "customer")
     slot = F.col("c_custkey") % N_HOURS
-    return (
-        c.filter(slot % 13 != 0)
-        .groupBy(add_hours(_origin_ts(), slot).alias("forecast_date"))
-        .agg(F.avg("c_acctbal").alias("euros_per_mwh"))
+    return c.groupBy(add_hours(_origin_ts(), slot).alias("forecast_date")).agg(
+        F.avg(F.when(slot % 13 != 0, F.col("c_acctbal"))).alias("euros_per_mwh")
     )
 
 
@@ -125,12 +124,12 @@ def gas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grid point -> county; nations with key % 6 = 5 are unmapped."""
+    """Grid point -> county for every supplier; grid points of nations with
+    key % 6 = 5 belong to no county (null), like an unmapped point."""
     s = table(spark, sf_dir, "supplier")
     lat, lon = _grid(F.col("s_suppkey"))
-    return s.filter(F.col("s_nationkey") % 6 != 5).select(
-        (F.col("s_nationkey") % 6).alias("county"), lat.alias("latitude"), lon.alias("longitude")
-    )
+    county = F.when(F.col("s_nationkey") % 6 != 5, F.col("s_nationkey") % 6)
+    return s.select(county.alias("county"), lat.alias("latitude"), lon.alias("longitude"))
 
 
 def forecast_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,8 +154,8 @@ def forecast_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def historical_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observed weather from returned line items."""
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    """Observed weather: one observation per line item, at another hour."""
+    li = table(spark, sf_dir, "lineitem")
     lat, lon = _grid(F.col("l_suppkey"))
     slot = (F.col("l_orderkey") * 11 + F.col("l_partkey")) % N_HOURS
     return li.select(

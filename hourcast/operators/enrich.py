@@ -15,6 +15,7 @@ never meets the raw per-grid-point rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -189,7 +190,9 @@ def star_merge(
     fw = forecast_weather_by_county(tables["forecast_weather"], tables["mapping"], compat_cloud=compat_cloud)
     hw = observed_weather_by_county(tables["historical_weather"], tables["mapping"])
     if materialize_weather:
-        fw, hw = (broadcast_if_small(materialize(w)) for w in (fw, hw))
+        # Two independent jobs: run them concurrently from driver threads.
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            fw, hw = pool.map(lambda w: broadcast_if_small(materialize(w)), (fw, hw))
     # Fill values depend only on the joined rows at each instant, so both weather
     # tables share one median aggregate.
     df = join_weather_with_median_fill(df, [(fw, FW_OUTPUT), (hw, HW_AGGREGATED)])

@@ -44,6 +44,9 @@ def build_session(
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Local mode runs everything in the driver JVM: give it a real heap.
+        conf["spark.driver.memory"] = os.environ.get("HOURCAST_DRIVER_MEMORY", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

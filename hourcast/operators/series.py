@@ -168,6 +168,33 @@ def upsert(
     return kept.drop(rank_col)
 
 
+def upsert_unique_history(
+    history: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    seq: Sequence[str] = (),
+) -> DataFrame:
+    """Same result as :func:`upsert` when ``history`` has unique keys (it is
+    the output of earlier upserts), without shuffling the history.
+
+    The new batch is de-duplicated on its own (keep-last by ``seq``). History
+    rows whose key appears in the batch are removed with a left-anti join
+    against the batch's keys, then the batch is appended. The key set is
+    broadcast only after its measured size is under the threshold
+    (``broadcast_if_small``); then the history is scanned once with no
+    exchange. Otherwise the join shuffles as usual.
+    """
+    from ..session import broadcast_if_small, materialize
+    from .conform import align_to
+
+    keys = list(keys)
+    batch = keep_last(new, keys, list(seq)) if seq else new
+    batch = materialize(align_to(batch, history.schema))
+    batch_keys = broadcast_if_small(batch.select(*keys).distinct())
+    kept = history.join(batch_keys, keys, "left_anti")
+    return kept.unionByName(batch)
+
+
 def drop_rows_with_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Keep rows where every listed column is not null (NaN counts as a value)."""
     cols = list(cols) if cols is not None else df.columns

@@ -332,7 +332,8 @@ def retrain_features(spark, sf):
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
     history = merged.filter(F.col("datetime") < split)
     new = merged.filter(F.col("datetime") >= split)
-    return round_doubles(build_features(new, "retrain", history=history, lags=DRIVER_LAGS))
+    # The history is a stored merged frame (one row per key): upsert by anti-join.
+    return round_doubles(build_features(new, "retrain", history=history, lags=DRIVER_LAGS, history_unique=True))
 
 
 # ---------------------------------------------------------------- evaluation and ordering

@@ -29,6 +29,7 @@ from ..operators.series import (
     keep_last,
     positional_lags_by_join,
     since_min_of,
+    upsert_unique_history,
 )
 from ..schemas import (
     CALENDAR_YEARS,
@@ -86,16 +87,25 @@ def missing_value_policy(
 
 
 def merge_history(
-    history: DataFrame, new: DataFrame, lookback_hours: int | None = None, seq: str = "row_id"
+    history: DataFrame,
+    new: DataFrame,
+    lookback_hours: int | None = None,
+    seq: str = "row_id",
+    history_unique: bool = False,
 ) -> DataFrame:
     """[history, new] with the newest version of each fact key.
 
     ``lookback_hours`` bounds the history read to what the lags can reach
     (exact for gap-free series); ``None`` reads all of it.
+    ``history_unique=True`` (the history is an earlier upsert's output, one
+    row per key) replaces the keep-last shuffle over the whole history with
+    an anti-join against the new batch's keys (:func:`upsert_unique_history`).
     """
     if lookback_hours is not None:
         first_new = new.agg(F.min("datetime")).scalar()
         history = history.filter(F.col("datetime") >= add_hours(first_new, -lookback_hours))
+    if history_unique:
+        return upsert_unique_history(history, new, TABLE_KEYS["power"], [seq])
     h = history.withColumn("_src", F.lit(0))
     n = align_to(new, history.schema).withColumn("_src", F.lit(1))
     return keep_last(h.unionByName(n), TABLE_KEYS["power"], ["_src", seq]).drop("_src")
@@ -113,6 +123,7 @@ def build_features(
     keep_power: bool = False,
     lookback_hours: int | None = None,
     long_series: bool = False,
+    history_unique: bool = False,
 ) -> DataFrame:
     """The feature frame: merged columns (+ flags, cyclic parts, lags).
 
@@ -128,7 +139,7 @@ def build_features(
     check_mode(mode)
     df = merged
     if mode != "train" and history is not None:
-        df = merge_history(history, merged, lookback_hours)
+        df = merge_history(history, merged, lookback_hours, history_unique=history_unique)
     df = add_calendar_features(df, "datetime", years)
     df = missing_value_policy(df, mode, excluded, long_series)
     mode_of_lags = lag_mode or ("lag" if mode == "train" else "fill")

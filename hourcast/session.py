@@ -25,6 +25,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Delete checkpoint files once nothing references them (long sessions).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -100,3 +100,14 @@ def test_forward_fill_by_slices_equals_window(spark):
     want = {r["row_id"]: r["v"] for r in forward_fill(df, ["v"]).collect()}
     got = {r["row_id"]: r["v"] for r in forward_fill_by_slices(df, ["v"], num_partitions=9).collect()}
     assert got == want
+
+
+def test_upsert_unique_history_equals_keep_last(spark):
+    from hourcast.operators.series import upsert_unique_history
+
+    hist = spark.createDataFrame([(k, f"h{k}", float(k), 0) for k in range(50)], "k int, s string, v double, seq int")
+    new = spark.createDataFrame([(3, "n3a", None, 1), (3, "n3b", 7.0, 2), (60, "n60", 1.0, 1), (10, "n10", 2.0, 5)],
+                                "k int, s string, v double, seq int")
+    want = {tuple(r) for r in upsert(hist, new, ["k"], seq=["seq"]).collect()}
+    got = {tuple(r) for r in upsert_unique_history(hist, new, ["k"], seq=["seq"]).collect()}
+    assert got == want and (3, "n3b", 7.0, 2) in got and len(got) == 51

@@ -129,11 +129,14 @@ class SideModels:
         # round); keep only the model columns, computed once.
         cols = [SIDE_COL, LABEL, *[_fcol(c) for c in self.features]]
         prepared = _prepare(df, self.features).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+        def fit_side(side: str) -> PipelineModel:
+            part = prepared.filter(F.col(SIDE_COL) == F.lit(SIDES[side]))
+            return build_pipeline(self.features, self.params[side], self.seed, self.max_bins).fit(part)
+
         try:
-            for side, flag in SIDES.items():
-                part = prepared.filter(F.col(SIDE_COL) == F.lit(flag))
-                pipe = build_pipeline(self.features, self.params[side], self.seed, self.max_bins)
-                self.models[side] = pipe.fit(part)
+            # The two sides are independent: fit them as concurrent Spark jobs.
+            with ThreadPoolExecutor(max_workers=len(SIDES)) as pool:
+                self.models = dict(zip(SIDES, pool.map(fit_side, SIDES)))
         finally:
             prepared.unpersist()
         return self
@@ -198,7 +201,8 @@ def random_search(
 ) -> tuple[dict[str, dict], DataFrame]:
     """Seeded random search per side, scored by mean MAE over expanding-window
     folds. Fold frames are persisted once per side and reused by every trial;
-    trials run as concurrent Spark jobs from a small driver thread pool.
+    the two sides, and ``parallelism`` trials within a side, run as concurrent
+    Spark jobs from small driver thread pools.
 
     Returns (best params per side, one row per side and trial).
     """
@@ -207,21 +211,27 @@ def random_search(
     prepared = _prepare(df, features)
     rng = random.Random(seed)
     trials = [draw_params(rng, space) for _ in range(n_trials)]
-    rows, best = [], {}
-    for side, flag in SIDES.items():
-        side_rows = prepared.filter(F.col(SIDE_COL) == F.lit(flag)).select(
+    def search_side(side: str) -> list[tuple[float, list[float]]]:
+        side_rows = prepared.filter(F.col(SIDE_COL) == F.lit(SIDES[side])).select(
             "datetime", "row_id", LABEL, *[_fcol(c) for c in features])
-        folded = assign_folds(side_rows, n_splits, groups=[])
-        folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+        folded = assign_folds(side_rows, n_splits, groups=[]).persist(StorageLevel.MEMORY_AND_DISK)
         frames = [fold_frames(folded, k) for k in range(n_splits)]
 
-        def score(params, frames=frames):
+        def score(params):
             maes = [_fold_mae(tr, te, features, params, seed, max_bins) for tr, te in frames]
             return sum(maes) / len(maes), maes
 
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            results = list(pool.map(score, trials))
-        folded.unpersist()
+        try:
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                return list(pool.map(score, trials))
+        finally:
+            folded.unpersist()
+
+    # Sides are independent searches: run them concurrently too.
+    with ThreadPoolExecutor(max_workers=len(SIDES)) as sides_pool:
+        by_side = dict(zip(SIDES, sides_pool.map(search_side, SIDES)))
+    rows, best = [], {}
+    for side, results in by_side.items():
         for i, (params, (mean_mae, maes)) in enumerate(zip(trials, results)):
             rows.append((side, i, json.dumps(params, sort_keys=True), float(mean_mae), [float(m) for m in maes]))
         j = min(range(len(trials)), key=lambda i: (math.isnan(results[i][0]), results[i][0]))

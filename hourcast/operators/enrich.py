@@ -136,6 +136,7 @@ def join_weather_with_median_fill(
     cols: Sequence[str] | None = None,
     keys: Sequence[str] = WEATHER_JOIN_KEYS,
     by: str = "datetime",
+    materialize_medians: bool = True,
 ) -> DataFrame:
     """Left join per-county weather, then fill each missing value with the
     median of that column over all fact rows at the same ``by`` instant.
@@ -147,8 +148,9 @@ def join_weather_with_median_fill(
     fact rows. Spark's median keeps a value -> count map per group and merges
     it map-side; the values at one instant come from one aggregate per county,
     so each group's map holds at most (counties + 1) entries, however many
-    fact rows share the instant. The per-instant table is then joined back
-    (AQE broadcasts it when its measured size is small).
+    fact rows share the instant. The per-instant table is written once and
+    joined back, broadcast when its measured size is under the threshold
+    (``materialize_medians``; one small job when called).
     """
     tables = [(weather, list(cols or []))] if isinstance(weather, DataFrame) else [(w, list(c)) for w, c in weather]
     keys = list(keys)
@@ -158,6 +160,11 @@ def join_weather_with_median_fill(
         joined = joined.join(w.select(*keys, *wcols), keys, "left")
         all_cols += wcols
     medians = joined.groupBy(by).agg(*[F.median(c).alias(f"_med_{c}") for c in all_cols])
+    if materialize_medians:
+        # One row per instant: write it once and broadcast it when its measured
+        # size allows, so the fact is joined in place instead of being shuffled
+        # by instant (AQE could only switch to a broadcast after that shuffle).
+        medians = broadcast_if_small(materialize(medians))
     filled = joined.join(medians, by, "left")
     out = filled.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in all_cols})
     return out.drop(*[f"_med_{c}" for c in all_cols])

@@ -113,7 +113,7 @@ def forward_fill(
 
 
 def forward_fill_global(
-    df: DataFrame, cols: Sequence[str], ts_col: str = "datetime"
+    df: DataFrame, cols: Sequence[str], ts_col: str = "datetime", materialize_instants: bool = True
 ) -> DataFrame:
     """Forward fill across all series in time order, for columns that are a
     function of the instant (prices joined on ``datetime``).
@@ -123,13 +123,19 @@ def forward_fill_global(
     (2) last non-null value in time order over that table; (3) join back on
     the instant. Step (2) orders one row per instant in one task: its size is
     the length of the time span in hours (87,600 rows for ten years), however
-    large the fact grows.
+    large the fact grows. With ``materialize_instants`` the filled per-instant
+    table is written once and broadcast when its measured size allows, so the
+    fact is joined in place rather than shuffled by instant.
     """
     cols = list(cols)
     per_ts = df.groupBy(ts_col).agg(*[F.max(c).alias(f"_ff_{c}") for c in cols])
     so_far = Window.orderBy(ts_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     per_ts = per_ts.select(ts_col, *[F.last(f"_ff_{c}", ignorenulls=True).over(so_far).alias(f"_ff_{c}")
                                      for c in cols])
+    if materialize_instants:
+        from ..session import broadcast_if_small, materialize
+
+        per_ts = broadcast_if_small(materialize(per_ts))
     out = df.join(per_ts, ts_col, "left")
     return out.withColumns({c: F.col(f"_ff_{c}") for c in cols}).select(*[F.col(f"`{c}`") for c in df.columns])
 

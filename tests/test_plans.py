@@ -36,15 +36,16 @@ def test_all_lags_in_one_window_and_one_exchange(spark, tmp_out):
     assert len([c for c in lagged.columns if "_lag_" in c]) == 44
 
 
-def test_features_plan_has_no_fact_sized_single_partition(spark, tmp_out):
+def test_features_plan_shuffles_the_fact_once(spark, tmp_out):
     merged = _merged_on_disk(spark, tmp_out)
     plan = _physical(build_features(merged, "train", lags=[12, 24]))
-    # One single-partition exchange: the per-instant price table (one row per hour).
-    singles = [m.start() for m in re.finditer(r"Exchange SinglePartition", plan)]
-    assert len(singles) == 1
-    below = plan[singles[0]:]
-    assert re.search(r"HashAggregate\(keys=\[datetime#\d+\]", below)
-    # Series fill and lags share one series exchange.
+    # The per-instant price table was written and broadcast after a size check:
+    # the fact is neither shuffled by instant nor gathered in one partition.
+    assert "Exchange SinglePartition" not in plan
+    assert not re.search(r"Exchange hashpartitioning\(datetime#\d+", plan)
+    assert "BroadcastHashJoin" in plan
+    # Series fill and lags share the only fact exchange.
+    assert len(re.findall(r"Exchange hashpartitioning\(", plan)) == 1
     assert len(re.findall(r"Exchange hashpartitioning\(prediction_unit_id#\d+, is_consumption#\d+", plan)) == 1
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import add_hours
 from ..schemas import SERIES_KEYS, lag_name
-from ..session import ensure_checkpoint_dir
+from ..session import broadcast_if_small, ensure_checkpoint_dir, materialize
 
 
 def series_window(keys: Sequence[str] = SERIES_KEYS, order: Sequence[str] | str = "datetime") -> Window:
@@ -267,7 +267,10 @@ def distributed_row_number(
         Window.unboundedPreceding, -1
     )
     slices = slices.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).cast("long"))
-    out = ids.join(slices.select("_part", *groups, "_off", "_first"), ["_part", *groups], "inner")
+    # At most partitions + groups rows: written once and broadcast after a size
+    # check, so the numbered rows are not shuffled to receive their offsets.
+    slices = broadcast_if_small(materialize(slices.select("_part", *groups, "_off", "_first")))
+    out = ids.join(slices, ["_part", *groups], "inner")
     return out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long")).drop(
         "_mid", "_part", "_off", "_first"
     )
@@ -329,6 +332,8 @@ def forward_fill_by_slices(
     carry = tails.select(
         "_part", *keys, *[F.last(F.col(f"_t_{c}"), ignorenulls=True).over(before).alias(f"_c_{c}") for c in cols]
     )
+    # One row per (slice, series): written once, broadcast after a size check.
+    carry = broadcast_if_small(materialize(carry))
     out = filled.join(carry, ["_part", *keys], "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_c_{c}")) for c in cols})
     return out.select(*[F.col(f"`{c}`") for c in df.columns])

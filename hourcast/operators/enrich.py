@@ -179,27 +179,32 @@ def star_merge(
     tables: dict[str, DataFrame],
     compat_cloud: bool = False,
     check_unique: bool = False,
-    materialize_weather: bool = True,
+    materialize_dims: bool = True,
 ) -> DataFrame:
     """The 27-column merged frame: fact + capacity + prices + weather + capacity factor.
 
-    ``materialize_weather`` writes the two per-county weather tables once
-    (they are read by the join and by the median aggregate) and broadcasts
-    each only if its measured size is under the broadcast threshold; this
-    runs two small jobs when called.
+    ``materialize_dims`` writes the five tables the fact is joined with
+    (daily capacity, hourly electricity and gas prices, forecast and observed
+    weather per county) once, as concurrent jobs, and broadcasts each only if
+    its measured size is under the broadcast threshold. The joins are then
+    planned as broadcast joins from measured sizes, not estimates, and the fact
+    is never shuffled for them. A table over the threshold stays a shuffle join.
     """
     fact = tables["power"].withColumnRenamed("target", "power")
-    df = join_capacity(fact, tables["client"])
-    df = join_price(df, tables["electricity"], "forecast_date", "euros_per_mwh", "electricity_price",
-                    absolute=True, check_unique=check_unique)
-    df = join_price(df, gas_hourly(tables["gas"]), "datetime", "gas_price", "gas_price",
-                    check_unique=check_unique)
+    client = tables["client"].select(*CLIENT_JOIN_KEYS, "installed_capacity")
+    electricity = tables["electricity"].select(
+        F.col("forecast_date").alias("datetime"), F.abs(F.col("euros_per_mwh")).alias("electricity_price"))
+    gas = gas_hourly(tables["gas"])
     fw = forecast_weather_by_county(tables["forecast_weather"], tables["mapping"], compat_cloud=compat_cloud)
     hw = observed_weather_by_county(tables["historical_weather"], tables["mapping"])
-    if materialize_weather:
-        # Two independent jobs: run them concurrently from driver threads.
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            fw, hw = pool.map(lambda w: broadcast_if_small(materialize(w)), (fw, hw))
+    if materialize_dims:
+        # Independent small jobs: run them concurrently from driver threads.
+        with ThreadPoolExecutor(max_workers=5) as pool:
+            client, electricity, gas, fw, hw = pool.map(
+                lambda d: broadcast_if_small(materialize(d)), (client, electricity, gas, fw, hw))
+    df = join_capacity(fact, client)
+    df = join_price(df, electricity, "datetime", "electricity_price", "electricity_price", check_unique=check_unique)
+    df = join_price(df, gas, "datetime", "gas_price", "gas_price", check_unique=check_unique)
     # Fill values depend only on the joined rows at each instant, so both weather
     # tables share one median aggregate.
     df = join_weather_with_median_fill(df, [(fw, FW_OUTPUT), (hw, HW_AGGREGATED)])

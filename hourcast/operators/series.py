@@ -235,9 +235,11 @@ def distributed_row_number(
     groups: Sequence[str] = (),
     name: str = "pos",
     num_partitions: int | None = None,
+    count_col: str | None = None,
 ) -> DataFrame:
     """0-based position of each row within its group in ``order``, without a
-    single-task window.
+    single-task window. ``count_col`` also attaches the group's row count
+    (from the same slice table, no extra join).
 
     1. Range-partition on (groups, order) and sort inside each partition: a
        hot group is split over many partitions.
@@ -267,9 +269,14 @@ def distributed_row_number(
         Window.unboundedPreceding, -1
     )
     slices = slices.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).cast("long"))
+    extra = []
+    if count_col:
+        whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+        slices = slices.withColumn(count_col, F.sum("_cnt").over(whole).cast("long"))
+        extra = [count_col]
     # At most partitions + groups rows: written once and broadcast after a size
     # check, so the numbered rows are not shuffled to receive their offsets.
-    slices = broadcast_if_small(materialize(slices.select("_part", *groups, "_off", "_first")))
+    slices = broadcast_if_small(materialize(slices.select("_part", *groups, "_off", "_first", *extra)))
     out = ids.join(slices, ["_part", *groups], "inner")
     return out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long")).drop(
         "_mid", "_part", "_off", "_first"

@@ -30,12 +30,9 @@ def assign_folds(
     if n_splits < 2:
         raise ValueError("n_splits must be at least 2")
     groups = list(groups)
-    ranked = distributed_row_number(df, list(order), groups, name="pos")
-    if groups:
-        sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_rows"))
-        out = ranked.join(sizes, groups, "inner")
-    else:
-        out = ranked.withColumn("n_rows", df.agg(F.count(F.lit(1))).scalar())
+    # Positions and group sizes come from one distributed numbering: no join of
+    # the rows with a per-group table (which would hash them on a few keys).
+    out = distributed_row_number(df, list(order), groups, name="pos", count_col="n_rows")
     t = floor_div("n_rows", n_splits + 1)
     first = F.col("n_rows") - t * n_splits
     in_test = (t > 0) & (F.col("pos") >= first)

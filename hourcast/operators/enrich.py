@@ -1,12 +1,14 @@
 """Enrichment: the star join of the hourly fact with capacity, prices and weather.
 
 Join strategy. Every join here is a left equi-join of the large fact with a
-table keyed by time (and county). None of those right sides carries a
-broadcast hint: their size grows with the time span, so AQE decides at run time
-from the measured shuffle size (broadcast when under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``, sort-merge otherwise). Only
-tables whose size is fixed by construction (24 hours, 16 county names) are
-broadcast explicitly.
+table keyed by time (and county). Those tables grow with the time span, not
+with the fact, so no size is assumed: ``star_merge`` writes each of them once
+and broadcasts it only when its *measured* size is under the session's
+threshold (``session.broadcast_if_small``); a larger one stays a shuffle join.
+The same holds for the per-instant median table of the fill. Planning the
+broadcast from a measurement matters: AQE can turn a sort-merge join into a
+broadcast only after the fact's shuffle has already been written. Tables whose
+size is fixed by construction (16 county names) are broadcast directly.
 
 Weather is aggregated to (county, datetime) *before* the join, so the fact
 never meets the raw per-grid-point rows.

@@ -63,7 +63,13 @@ class DailyLoop:
         model: Callable[[DataFrame], Column] | None = None,
         root: str | None = None,
         lookback_days: int | None = None,
+        features: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+        hidden: Sequence[str] | None = None,
     ):
+        """``features(history, day_rows)`` builds the rows to score (e.g.
+        test-mode :func:`hourcast.plans.features.build_features`); by default
+        the value's positional lags over history + day. ``hidden`` columns are
+        unknown for the day's rows and set to null (default: the value)."""
         self.spark = spark
         self.fact = fact.withColumn("_day", F.date_format(F.col(ts_col), "yyyy-MM-dd"))
         self.value_col, self.ts_col, self.keys = value_col, ts_col, list(keys)
@@ -77,6 +83,8 @@ class DailyLoop:
         # Days of history read per batch (partition pruning on the day column);
         # None reads all of it, which keeps positional lags exact over gaps.
         self.lookback_days = lookback_days
+        self.features = features
+        self.hidden = list(hidden) if hidden is not None else [value_col]
 
     def seed_history(self, before_day: str) -> None:
         """History = every fact row before the first replayed day."""
@@ -95,11 +103,14 @@ class DailyLoop:
             if self.lookback_days is not None:
                 first = F.date_format(F.date_sub(F.lit(day).cast("date"), self.lookback_days), "yyyy-MM-dd")
                 history = history.filter(F.col("_day") >= first)
-            todo = self.fact.filter(F.col("_day") == day).withColumn(
-                self.value_col, F.lit(None).cast("double")).withColumn("_new", F.lit(True))
-            both = history.withColumn("_new", F.lit(False)).unionByName(todo)
-            feats = add_positional_lags(both, [self.value_col], self.lags, self.keys, self.ts_col)
-            preds = feats.filter("_new").select(
+            todo = self.fact.filter(F.col("_day") == day).withColumns(
+                {c: F.lit(None).cast("double") for c in self.hidden})
+            if self.features is not None:
+                feats = self.features(history.drop("_day"), todo.drop("_day"))
+            else:
+                both = history.withColumn("_new", F.lit(False)).unionByName(todo.withColumn("_new", F.lit(True)))
+                feats = add_positional_lags(both, [self.value_col], self.lags, self.keys, self.ts_col).filter("_new")
+            preds = feats.select(
                 "row_id", self.ts_col, F.coalesce(self.model(feats), F.lit(0.0)).alias("prediction"),
                 F.lit(batch_id).alias("batch_id"))
             preds.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(

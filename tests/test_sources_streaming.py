@@ -65,3 +65,34 @@ def test_stream_equals_batch_and_replay(spark, tmp_out):
     loop._process(spark.createDataFrame([(days[1], 1, days[0])], "day string, seq long, reveal string"), 1)
     again = {r["row_id"]: r["prediction"] for r in spark.read.parquet(loop.output).collect()}
     assert again == want
+
+
+def test_stream_with_feature_hook_equals_batch(spark, tmp_out):
+    from hourcast.operators.enrich import star_merge
+    from hourcast.plans.features import build_features
+    from hourcast.plans.forecast import seasonal_naive, to_power
+    from hourcast.session import materialize
+
+    merged = materialize(star_merge(analog.source_tables(spark, SF_SMALL)))
+    hidden = ["power", "capacity_factor"]
+
+    def features(history, rows):
+        return build_features(rows, "test", history=history, lags=[12, 24])
+
+    def model(df):
+        return to_power(seasonal_naive("capacity_factor", [24, 12]))
+
+    days = ["2024-01-29", "2024-01-30"]
+    loop = DailyLoop(spark, merged, "power", model=model, features=features, hidden=hidden,
+                     root=os.path.join(tmp_out, "loop2"))
+    loop.seed_history(days[0])
+    got = {r["row_id"]: r["prediction"] for r in loop.run(days).collect()}
+    want = {}
+    for day in days:
+        start = F.lit(day).cast("timestamp_ntz")
+        rows = merged.filter((F.col("datetime") >= start) & (F.col("datetime") < F.date_add(start, 1).cast(
+            "timestamp_ntz"))).withColumns({c: F.lit(None).cast("double") for c in hidden})
+        feats = features(merged.filter(F.col("datetime") < start), rows)
+        want.update({r["row_id"]: r["p"] for r in feats.select(
+            "row_id", F.coalesce(model(feats), F.lit(0.0)).alias("p")).collect()})
+    assert len(got) > 0 and got == want

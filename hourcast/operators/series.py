@@ -196,7 +196,8 @@ def upsert_unique_history(
     keys = list(keys)
     batch = keep_last(new, keys, list(seq)) if seq else new
     batch = materialize(align_to(batch, history.schema))
-    batch_keys = broadcast_if_small(batch.select(*keys).distinct())
+    # An anti-join only tests existence: repeated keys need no distinct pass.
+    batch_keys = broadcast_if_small(batch.select(*keys))
     kept = history.join(batch_keys, keys, "left_anti")
     return kept.unionByName(batch)
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,39 +62,40 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared file system path that the launcher sets.
-    Only when the session has none (a unit test on one machine) do we make a
-    fresh scratch folder and register it.
+    On a cluster the launcher sets this to a path that the driver and every
+    executor share. Only a local session (a test on one machine) gets a fresh
+    scratch folder when none is set; on any other master a missing setting is
+    an error, because a machine-local folder would lose files with an executor.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote (Connect) session: the server owns the folder
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
+    if configured:
+        if not current:
+            sc.setCheckpointDir(configured)
+        return configured
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="hourcast-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="hourcast-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "hourcast", *parts)
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "hourcast", *parts])
 
 
 def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and continue from the
-    written copy (lineage cut; survives executor loss). Use it for a stage
-    output that later steps read several times, e.g. the merged frame that
-    feeds history, new rows and per-instant fills."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet in the shared checkpoint folder and continue
+    from the written table. The lineage is cut, the files survive the loss of
+    an executor, and later steps still prune columns and push filters into the
+    scan. Use it for a stage output that later steps read several times."""
+    spark = df.sparkSession
+    path = scratch_path(spark, uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _threshold(spark: SparkSession) -> int:

@@ -25,7 +25,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import ship, text_hash, text_of, text_slices, with_columns, written
@@ -33,6 +34,7 @@ from hourcast.llm.components import connected_components
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 VALUES, TREES, LEAST_DEPTH = 64, 16, 4
+NEIGHBOURS = 2
 _rng = np.random.default_rng(20240501)
 TIMES = _rng.integers(0, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 PLUS = _rng.integers(0, 1 << 63, VALUES, dtype=np.uint64)
@@ -50,8 +52,6 @@ class WordHash(dict):
     """64-bit hashes of words, kept up to a fixed number."""
 
     def __missing__(self, word: bytes) -> int:
-        import xxhash
-
         if len(self) >= 400_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
@@ -136,7 +136,7 @@ def regions(nodes: DataFrame, largest: int = 4096) -> DataFrame:
     return out
 
 
-def neighbour_pairs(members: DataFrame, each: int = 2) -> DataFrame:
+def neighbour_pairs(members: DataFrame, each: int = NEIGHBOURS) -> DataFrame:
     """(a, b): every member with its ``each`` next members in its region's sorted
     order, and with its region's hub. Sorted ranges cut regions of any size."""
     parts = max(8, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
@@ -209,7 +209,8 @@ def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, likely:
     placed = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     main = (placed.groupBy("tree", "region", "component").agg(F.count("*").alias("n")).groupBy("tree", "region")
             .agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("members")))
-    mixed_regions = main.where(F.col("parts") > 1).withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
+    # Regions of up to three members have had all their pairs as neighbours.
+    mixed_regions = main.where((F.col("parts") > 1) & (F.col("members") > NEIGHBOURS + 1)).withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
     rows = placed.join(mixed_regions, ["tree", "region"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.join(nodes.select("node", "sig"), "node")
     others = rows.where(F.col("component") != F.col("main"))

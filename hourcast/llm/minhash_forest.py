@@ -242,7 +242,7 @@ def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, likely:
     return _distinct_pairs(left.unionByName(right).groupBy(*keys).applyInPandas(pair_up, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """Component of every document under near-duplicate links.
 
     Two documents are linked if 100 times the size of their sets' intersection

@@ -108,9 +108,9 @@ def best_of(points: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame
     dim = len(points["vector"].iloc[0]) // 8
     x = np.frombuffer(b"".join(points["vector"]), np.float64).reshape(-1, dim)[order]
     q = np.frombuffer(b"".join(queries["vector"]), np.float64).reshape(-1, dim)
-    shift = BITS - queries["level"].to_numpy()
+    shift = BITS - queries["level"].to_numpy().astype(np.int64)
     low = queries["key"].to_numpy() >> shift << shift
-    a, b = np.searchsorted(keys, low), np.searchsorted(keys, low + (1 << shift))
+    a, b = np.searchsorted(keys, low), np.searchsorted(keys, low + (np.int64(1) << shift))
     found = []
     names = queries["id"].to_numpy()
     slices, group = np.unique(np.stack([a, b], axis=1), axis=0, return_inverse=True)

@@ -5,14 +5,13 @@ from .operators.enrich import star_merge
 from .plans.features import build_features
 from .plans.forecast import block_recursive_forecast, seasonal_naive
 from .plans.model import SideModels, random_search
-from .session import broadcast_if_small, build_session, ensure_checkpoint_dir, materialize
+from .session import build_session, ensure_checkpoint_dir, materialize
 from .streaming.incremental import DailyLoop
 
 __all__ = [
     "DailyLoop",
     "SideModels",
     "block_recursive_forecast",
-    "broadcast_if_small",
     "build_features",
     "build_session",
     "conform",

@@ -1,9 +1,9 @@
 """Calendar features: holidays, the eve of a holiday, DST hours and cyclic parts.
 
-The holiday calendar is built from a rule (fixed dates plus Easter offsets),
-so it covers any year range; it is a list of at most a few hundred dates and
-is used as an ``IN`` set, which Catalyst turns into a hash-set lookup inside
-codegen: no join and no shuffle.
+The holiday calendar is a rule (fixed dates plus Easter offsets) written as
+column arithmetic, so it holds in every year, inside codegen: no date list, no
+join and no shuffle. All comparisons are wall-clock arithmetic and don't depend
+on the session zone.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import CALENDAR_YEARS, CYCLIC_PERIODS
-from .scalar import cyclic, iso_weekday
+from .scalar import HOUR_US, cyclic, iso_weekday, timestamp_to_epoch
 
 # National public holidays (Estonia).
 # Same date every year, as (month, day): New Year's Day, Independence Day,
@@ -52,33 +52,59 @@ def holiday_dates(years: tuple[int, int] = CALENDAR_YEARS) -> list[dt.date]:
     return sorted(out)
 
 
-def is_holiday(ts: Column, years: tuple[int, int] = CALENDAR_YEARS) -> Column:
-    return F.to_date(ts).isin(holiday_dates(years))
+def _within(ts: Column, years: tuple[int, int] | None) -> Column:
+    """The rules hold for every year; ``years`` restricts them on request."""
+    return F.lit(True) if years is None else F.year(ts).between(*years)
 
 
-def is_day_before_holiday(ts: Column, years: tuple[int, int] = CALENDAR_YEARS) -> Column:
-    return F.date_add(F.to_date(ts), 1).isin(holiday_dates(years))
+def easter_day(date: Column) -> Column:
+    """Easter Sunday of a date's year, as a column (the same computus)."""
+    y = F.year(date)
+    div = lambda a, b: F.floor(a / b).cast("int")
+    a, b = y % 19, div(y, 100)
+    c, d, e = y % 100, div(b, 4), b % 4
+    g = div(b - div(b + 8, 25) + 1, 3)
+    h = (a * 19 + b - d - g + 15) % 30
+    i, k = div(c, 4), c % 4
+    l_ = (e * 2 + i * 2 + 32 - h - k) % 7
+    m = div(a + h * 11 + l_ * 22, 451)
+    days = h + l_ - m * 7 + 114
+    return F.make_date(y, div(days, 31), days % 31 + 1)
 
 
-def _last_sunday_at(ts: Column, month: int, years: tuple[int, int]) -> Column:
-    # The last Sunday of a 31-day month falls on day 25..31.
+def _is_holiday_date(date: Column) -> Column:
+    fixed = (F.month(date) * 100 + F.dayofmonth(date)).isin([100 * m + d for m, d in FIXED_HOLIDAYS])
+    return fixed | F.datediff(date, easter_day(date)).isin(EASTER_OFFSETS)
+
+
+def is_holiday(ts: Column, years: tuple[int, int] | None = None) -> Column:
+    return _is_holiday_date(F.to_date(ts)) & _within(ts, years)
+
+
+def is_day_before_holiday(ts: Column, years: tuple[int, int] | None = None) -> Column:
+    after = F.date_add(F.to_date(ts), 1)
+    return _is_holiday_date(after) & _within(after, years)
+
+
+def _last_sunday_at(ts: Column, month: int, years: tuple[int, int] | None) -> Column:
+    # The last Sunday of a 31-day month falls on day 25..31. The instant is
+    # compared in microseconds of the wall clock: a cast would pass through the
+    # session zone, in which the spring hour does not exist.
+    into_day = F.pmod(timestamp_to_epoch(ts, "us"), F.lit(24 * HOUR_US))
     return (
         (F.month(ts) == month)
         & (F.dayofmonth(ts) >= 25)
         & (F.dayofweek(ts) == 1)
-        & (F.hour(ts) == DST_HOUR)
-        & (F.minute(ts) == 0)
-        & (F.second(ts) == 0)
-        & (F.date_trunc("second", ts).cast("timestamp_ntz") == ts)
-        & F.year(ts).between(years[0], years[1])
+        & (into_day == DST_HOUR * HOUR_US)
+        & _within(ts, years)
     )
 
 
-def is_dst_spring_forward(ts: Column, years: tuple[int, int] = CALENDAR_YEARS) -> Column:
+def is_dst_spring_forward(ts: Column, years: tuple[int, int] | None = None) -> Column:
     return _last_sunday_at(ts, 3, years)
 
 
-def is_dst_fall_backward(ts: Column, years: tuple[int, int] = CALENDAR_YEARS) -> Column:
+def is_dst_fall_backward(ts: Column, years: tuple[int, int] | None = None) -> Column:
     return _last_sunday_at(ts, 10, years)
 
 
@@ -113,7 +139,7 @@ def cyclic_columns(ts: Column) -> dict[str, Column]:
     return out
 
 
-def calendar_flags(ts: Column, years: tuple[int, int] = CALENDAR_YEARS) -> dict[str, Column]:
+def calendar_flags(ts: Column, years: tuple[int, int] | None = None) -> dict[str, Column]:
     return {
         "is_holiday": is_holiday(ts, years),
         "is_day_before_holiday": is_day_before_holiday(ts, years),
@@ -123,7 +149,7 @@ def calendar_flags(ts: Column, years: tuple[int, int] = CALENDAR_YEARS) -> dict[
 
 
 def add_calendar_features(
-    df: DataFrame, ts_col: str = "datetime", years: tuple[int, int] = CALENDAR_YEARS
+    df: DataFrame, ts_col: str = "datetime", years: tuple[int, int] | None = None
 ) -> DataFrame:
     """Four flags and ten cyclic encodings in one projection."""
     ts = F.col(ts_col)

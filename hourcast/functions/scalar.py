@@ -70,8 +70,15 @@ def iso_weekday(ts: ColumnOrName) -> Column:
     return F.weekday(_c(ts)) + 1
 
 
-_EPOCH_NTZ = "1970-01-01 00:00:00"
-_HOUR_US = 3_600_000_000
+HOUR_US = 3_600_000_000
+
+
+def wall_clock_us(ts: ColumnOrName) -> Column:
+    """Microseconds of a ``TIMESTAMP_NTZ`` since 1970 on its own clock. Built from
+    its fields: a difference of timestamps would pass through the session zone."""
+    t = _c(ts)
+    seconds = (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
+    return F.unix_date(t.cast("date")).cast("long") * (24 * HOUR_US) + F.hour(t).cast("long") * HOUR_US + F.minute(t).cast("long") * 60_000_000 + seconds
 
 
 def hour_floor(ts: ColumnOrName) -> Column:
@@ -81,8 +88,7 @@ def hour_floor(ts: ColumnOrName) -> Column:
     session time zone), so the result is the same in every session zone.
     """
     t = _c(ts)
-    us = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), t)
-    return F.timestamp_add("MICROSECOND", -F.pmod(us, F.lit(_HOUR_US)), t)
+    return F.timestamp_add("MICROSECOND", -F.pmod(wall_clock_us(t), F.lit(HOUR_US)), t)
 
 
 def add_hours(ts: ColumnOrName, hours: ColumnOrName | int) -> Column:
@@ -115,7 +121,7 @@ def timestamp_to_epoch(ts: ColumnOrName, unit: str = "us") -> Column:
     """``TIMESTAMP_NTZ`` to an epoch number in ``unit`` (wall clock read as UTC)."""
     if unit not in EPOCH_UNITS:
         raise ValueError(f"unit must be one of {sorted(EPOCH_UNITS)}, got {unit!r}")
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(ts))
+    micros = wall_clock_us(ts)
     if unit == "ns":
         return micros * 1000
     return floor_div(micros, EPOCH_UNITS[unit]) if unit != "us" else micros

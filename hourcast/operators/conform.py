@@ -32,7 +32,10 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
 def parse_timestamp(col: Column, fmt: str = TIMESTAMP_FORMAT, lenient: bool = False) -> Column:
     """Text to ``TIMESTAMP_NTZ`` in local wall-clock time (no zone shift)."""
     if lenient:
-        return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
+        # As instants in UTC whatever the session zone, then the same wall clock
+        # without a zone: no hour is shifted.
+        stamp = F.try_to_timestamp(F.concat(col, F.lit(" +0000")), F.lit(f"{fmt} xx"))
+        return F.timestamp_add("MICROSECOND", F.unix_micros(stamp), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     return F.to_timestamp_ntz(col, F.lit(fmt))
 
 

@@ -2,13 +2,9 @@
 
 Join strategy. Every join here is a left equi-join of the large fact with a
 table keyed by time (and county). Those tables grow with the time span, not
-with the fact, so no size is assumed: ``star_merge`` writes each of them once
-and broadcasts it only when its *measured* size is under the session's
-threshold (``session.broadcast_if_small``); a larger one stays a shuffle join.
-The same holds for the per-instant median table of the fill. Planning the
-broadcast from a measurement matters: AQE can turn a sort-merge join into a
-broadcast only after the fact's shuffle has already been written. Tables whose
-size is fixed by construction (16 county names) are broadcast directly.
+with the fact. ``star_merge`` writes each of them once, and Spark plans the join
+from the written size: a table under the session's broadcast threshold is
+broadcast, a larger one is a shuffle join. No join is hinted.
 
 Weather is aggregated to (county, datetime) *before* the join, so the fact
 never meets the raw per-grid-point rows.
@@ -23,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import abs_scaled, add_hours, floor_at_zero, mid_price, safe_divide, scale_and_cap
-from ..session import broadcast_if_small, materialize
 from ..schemas import (
     CLIENT_JOIN_KEYS,
     FORECAST_WEATHER_MEASURES,
@@ -33,6 +28,8 @@ from ..schemas import (
     MERGED_COLUMNS,
     WEATHER_JOIN_KEYS,
 )
+from ..session import materialize
+from .series import join_same
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> DataFrame:
@@ -49,10 +46,6 @@ def join_capacity(fact: DataFrame, client: DataFrame, keys: Sequence[str] = CLIE
     return with_date.join(client.select(*keys, "installed_capacity"), list(keys), "left")
 
 
-def capacity_factor(power: str = "power", capacity: str = "installed_capacity", compat_inf: bool = False):
-    return safe_divide(power, capacity, compat_inf).alias("capacity_factor")
-
-
 def join_price(
     fact: DataFrame,
     prices: DataFrame,
@@ -146,35 +139,32 @@ def join_weather_with_median_fill(
     ``weather`` is one table (with ``cols``) or a list of (table, cols): all
     of them are joined first and their medians come from one aggregate.
 
-    Scale: the medians are a ``groupBy(by)`` exact ``median`` over the joined
-    fact rows. Spark's median keeps a value -> count map per group and merges
-    it map-side; the values at one instant come from one aggregate per county,
-    so each group's map holds at most (counties + 1) entries, however many
-    fact rows share the instant. The per-instant table is written once and
-    joined back, broadcast when its measured size is under the threshold
-    (``materialize_medians``; one small job when called).
+    Scale: both the joined values and the medians depend on the fact only
+    through how many rows stand at each (``keys``). The fact is first reduced to
+    those counts (a partial aggregate); the weather is joined to that small
+    table, the median is a percentile weighted by the counts, and one join brings
+    the filled values to the fact, which is read once more but never sorted or
+    shuffled by instant. With ``materialize_medians`` the filled table is written
+    once, so that Spark picks the last join from its real size.
     """
     tables = [(weather, list(cols or []))] if isinstance(weather, DataFrame) else [(w, list(c)) for w, c in weather]
-    keys = list(keys)
-    joined = fact
+    places = list(dict.fromkeys([*keys, by]))
+    joined = fact.groupBy(*places).agg(F.count(F.lit(1)).alias("_rows"))
     all_cols: list[str] = []
     for w, wcols in tables:
-        joined = joined.join(w.select(*keys, *wcols), keys, "left")
+        joined = joined.join(w.select(*keys, *wcols), list(keys), "left")
         all_cols += wcols
-    medians = joined.groupBy(by).agg(*[F.median(c).alias(f"_med_{c}") for c in all_cols])
+    medians = joined.groupBy(by).agg(*[F.percentile(c, 0.5, F.col("_rows")).alias(f"_med_{c}") for c in all_cols])
+    filled = join_same(joined, medians, [by])
+    filled = filled.select(*places, *[F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) for c in all_cols])
     if materialize_medians:
-        # One row per instant: write it once and broadcast it when its measured
-        # size allows, so the fact is joined in place instead of being shuffled
-        # by instant (AQE could only switch to a broadcast after that shuffle).
-        medians = broadcast_if_small(materialize(medians))
-    filled = joined.join(medians, by, "left")
-    out = filled.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in all_cols})
-    return out.drop(*[f"_med_{c}" for c in all_cols])
+        filled = materialize(filled)
+    return join_same(fact, filled, places)
 
 
 def lookup_names(df: DataFrame, names: DataFrame, key: str = "county") -> DataFrame:
-    """Code -> name for a fixed, small code table (broadcast: its size is bounded)."""
-    return df.join(F.broadcast(names), key, "left")
+    """Code -> name; a code table is small, and Spark broadcasts it by its size."""
+    return df.join(names, key, "left")
 
 
 def star_merge(
@@ -187,10 +177,10 @@ def star_merge(
 
     ``materialize_dims`` writes the five tables the fact is joined with
     (daily capacity, hourly electricity and gas prices, forecast and observed
-    weather per county) once, as concurrent jobs, and broadcasts each only if
-    its measured size is under the broadcast threshold. The joins are then
-    planned as broadcast joins from measured sizes, not estimates, and the fact
-    is never shuffled for them. A table over the threshold stays a shuffle join.
+    weather per county) once, as concurrent jobs. Spark plans each join from the
+    written table's real size: a small one is broadcast, a large one is shuffled.
+    ``check_unique`` refuses any of the five with a repeated key, which would
+    multiply fact rows.
     """
     fact = tables["power"].withColumnRenamed("target", "power")
     client = tables["client"].select(*CLIENT_JOIN_KEYS, "installed_capacity")
@@ -203,7 +193,10 @@ def star_merge(
         # Independent small jobs: run them concurrently from driver threads.
         with ThreadPoolExecutor(max_workers=5) as pool:
             client, electricity, gas, fw, hw = pool.map(
-                lambda d: broadcast_if_small(materialize(d)), (client, electricity, gas, fw, hw))
+                materialize, (client, electricity, gas, fw, hw))
+    if check_unique:
+        for table, keys in ((client, CLIENT_JOIN_KEYS), (fw, WEATHER_JOIN_KEYS), (hw, WEATHER_JOIN_KEYS)):
+            assert_unique(table, keys)
     df = join_capacity(fact, client)
     df = join_price(df, electricity, "datetime", "electricity_price", "electricity_price", check_unique=check_unique)
     df = join_price(df, gas, "datetime", "gas_price", "gas_price", check_unique=check_unique)

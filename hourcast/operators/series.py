@@ -23,9 +23,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import add_hours
+from ..functions.scalar import HOUR_US, timestamp_to_epoch
 from ..schemas import SERIES_KEYS, lag_name
-from ..session import broadcast_if_small, ensure_checkpoint_dir, materialize
+from ..session import materialize
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``keys`` in which a null key equals a null key, as it does in
+    ``groupBy`` and in window partitions. The right side's keys are dropped."""
+    mine = {k: f"_same_{k}" for k in keys}
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`{r}`")) for k, r in mine.items()])
+    return left.join(right.withColumnsRenamed(mine), same, how).drop(*mine.values())
 
 
 def series_window(keys: Sequence[str] = SERIES_KEYS, order: Sequence[str] | str = "datetime") -> Window:
@@ -85,20 +93,18 @@ def add_time_lags(
 ) -> DataFrame:
     """Exact-time lags: the value at ``ts - n hours`` of the same series, null over gaps.
 
-    One left equi-join per lag on (series, instant); keys are unique after
-    keep-last, so there is no fan-out and no hot key.
+    One window per series, ordered by the instant in microseconds, with a RANGE
+    frame of exactly ``n`` hours before: all lags share one exchange and one
+    sort, and no join is needed. Among several rows of one instant the greatest
+    value is taken; a row without an instant has no lags.
     """
-    keys = list(keys)
-    base = df.select(*keys, ts_col, *cols)
-    out = df
+    w = Window.partitionBy(*keys).orderBy(timestamp_to_epoch(ts_col, "us"))
+    known = F.col(ts_col).isNotNull()
+    out = {}
     for n in lags:
-        shifted = base.select(
-            *keys,
-            add_hours(ts_col, n).alias(ts_col),
-            *[F.col(c).alias(lag_name(c, n)) for c in cols],
-        )
-        out = out.join(shifted, [*keys, ts_col], "left")
-    return out
+        frame = w.rangeBetween(-n * HOUR_US, -n * HOUR_US)
+        out.update({lag_name(c, n): F.when(known, F.max(c).over(frame)) for c in cols})
+    return df.withColumns(out)
 
 
 def forward_fill(
@@ -120,23 +126,17 @@ def forward_fill_global(
 
     The fill runs on the per-instant table, never on the fact: (1) one value
     per instant (a partial aggregate, so a busy instant is reduced map-side);
-    (2) last non-null value in time order over that table; (3) join back on
-    the instant. Step (2) orders one row per instant in one task: its size is
-    the length of the time span in hours (87,600 rows for ten years), however
-    large the fact grows. With ``materialize_instants`` the filled per-instant
-    table is written once and broadcast when its measured size allows, so the
-    fact is joined in place rather than shuffled by instant.
+    (2) the last non-null value in time order, by slices of the time line
+    (:func:`forward_fill_by_slices` without keys), so no task holds the whole
+    line; (3) join back on the instant. The filled table is written once, and
+    Spark picks the join from its real size.
     """
     cols = list(cols)
     per_ts = df.groupBy(ts_col).agg(*[F.max(c).alias(f"_ff_{c}") for c in cols])
-    so_far = Window.orderBy(ts_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_ts = per_ts.select(ts_col, *[F.last(f"_ff_{c}", ignorenulls=True).over(so_far).alias(f"_ff_{c}")
-                                     for c in cols])
+    per_ts = forward_fill_by_slices(per_ts, [f"_ff_{c}" for c in cols], [], [ts_col])
     if materialize_instants:
-        from ..session import broadcast_if_small, materialize
-
-        per_ts = broadcast_if_small(materialize(per_ts))
-    out = df.join(per_ts, ts_col, "left")
+        per_ts = materialize(per_ts)
+    out = join_same(df, per_ts, [ts_col])
     return out.withColumns({c: F.col(f"_ff_{c}") for c in cols}).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
@@ -161,13 +161,17 @@ def upsert(
     history: DataFrame,
     new: DataFrame,
     keys: Sequence[str],
-    seq: Sequence[str] = (),
+    seq: Sequence[str],
     rank_col: str = "_src",
 ) -> DataFrame:
     """Union by name, then keep the newest version per key (new beats history;
-    within one source the greatest ``seq`` wins)."""
+    within one source the greatest ``seq`` wins). ``seq`` must tell the versions
+    of a key in one source apart; without it the winner would be arbitrary."""
     from .conform import align_to
 
+    if not seq:
+        raise ValueError("seq is required: it orders the versions of a key")
+
     h = history.withColumn(rank_col, F.lit(0))
     n = align_to(new, history.schema).withColumn(rank_col, F.lit(1))
     kept = keep_last(h.unionByName(n), keys, [rank_col, *seq])
@@ -178,27 +182,25 @@ def upsert_unique_history(
     history: DataFrame,
     new: DataFrame,
     keys: Sequence[str],
-    seq: Sequence[str] = (),
+    seq: Sequence[str],
 ) -> DataFrame:
     """Same result as :func:`upsert` when ``history`` has unique keys (it is
     the output of earlier upserts), without shuffling the history.
 
-    The new batch is de-duplicated on its own (keep-last by ``seq``). History
-    rows whose key appears in the batch are removed with a left-anti join
-    against the batch's keys, then the batch is appended. The key set is
-    broadcast only after its measured size is under the threshold
-    (``broadcast_if_small``); then the history is scanned once with no
-    exchange. Otherwise the join shuffles as usual.
+    The new batch is de-duplicated on its own (keep-last by ``seq``) and written
+    once. History rows whose key appears in the batch are removed with a
+    null-safe left-anti join, then the batch is appended. Spark broadcasts the
+    batch's keys if the written table is small, and then scans the history once
+    with no exchange; otherwise the join shuffles as usual.
     """
-    from ..session import broadcast_if_small, materialize
     from .conform import align_to
 
+    if not seq:
+        raise ValueError("seq is required: it orders the versions of a key")
     keys = list(keys)
-    batch = keep_last(new, keys, list(seq)) if seq else new
-    batch = materialize(align_to(batch, history.schema))
+    batch = materialize(align_to(keep_last(new, keys, list(seq)), history.schema))
     # An anti-join only tests existence: repeated keys need no distinct pass.
-    batch_keys = broadcast_if_small(batch.select(*keys))
-    kept = history.join(batch_keys, keys, "left_anti")
+    kept = join_same(history, batch.select(*keys), keys, "left_anti")
     return kept.unionByName(batch)
 
 
@@ -251,20 +253,14 @@ def distributed_row_number(
        slice's offset in its group.
     4. Position = offset + index - first index.
 
-    ``order`` must be a total order (add a unique tiebreak). Range bounds are
-    sampled from the input, so the numbered rows are written once with a
-    reliable ``checkpoint()`` (shared checkpoint folder) before the slice
-    table is derived from them: both sides of the final join see the same
-    partitions, also after an executor loss.
+    ``order`` must be a total order (add a unique tiebreak). Null group keys are
+    one group. Range bounds are sampled from the input, so the numbered rows are
+    written once (a table in the shared folder) before the slice table is derived
+    from them: both sides of the final join see the same numbers, also after an
+    executor loss.
     """
     groups, order = list(groups), list(order)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *groups, *order).sortWithinPartitions(*groups, *order)
-    ids = ranged.withColumn("_mid", F.monotonically_increasing_id()).withColumn(
-        "_part", F.shiftright(F.col("_mid"), 33)
-    ).checkpoint()
+    ids = numbered_slices(df, groups, order, num_partitions)
     slices = ids.groupBy("_part", *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     w = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
@@ -275,15 +271,25 @@ def distributed_row_number(
         whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
         slices = slices.withColumn(count_col, F.sum("_cnt").over(whole).cast("long"))
         extra = [count_col]
-    # At most partitions + groups rows: written once and broadcast after a size
-    # check, so the numbered rows are not shuffled to receive their offsets.
-    slices = broadcast_if_small(materialize(slices.select("_part", *groups, "_off", "_first", *extra)))
-    out = ids.join(slices, ["_part", *groups], "inner")
+    # At most partitions + groups rows, written once: Spark sees its size.
+    slices = materialize(slices.select("_part", *groups, "_off", "_first", *extra))
+    out = join_same(ids, slices, ["_part", *groups], "inner")
     return out.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long")).drop(
         "_mid", "_part", "_off", "_first"
     )
 
 
+def numbered_slices(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], num_partitions: int | None = None
+) -> DataFrame:
+    """``df`` cut into range slices of (groups, order) and written, with the
+    slice (``_part``) and a number that rises with the order (``_mid``)."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *groups, *order).sortWithinPartitions(*groups, *order)
+    ids = ranged.withColumn("_mid", F.monotonically_increasing_id())
+    return materialize(ids.withColumn("_part", F.shiftright(F.col("_mid"), 33)))
+
+
 def positional_lags_by_join(
     df: DataFrame,
     cols: Sequence[str],
@@ -292,16 +298,17 @@ def positional_lags_by_join(
     order: Sequence[str] = ("datetime",),
 ) -> DataFrame:
     """Same values as :func:`add_positional_lags`, for series too long for one
-    task: a distributed row index, then one equi-join per lag on (series, index)."""
+    task: a distributed row index, then one equi-join per lag on (series, index).
+    A null key is a series of its own, as in a window."""
     keys = list(keys)
-    indexed = distributed_row_number(df, list(order), keys, name="_idx")
+    indexed = materialize(distributed_row_number(df, list(order), keys, name="_idx"))
     base = indexed.select(*keys, "_idx", *cols)
     out = indexed
     for n in lags:
         shifted = base.select(
             *keys, (F.col("_idx") + n).alias("_idx"), *[F.col(c).alias(lag_name(c, n)) for c in cols]
         )
-        out = out.join(shifted, [*keys, "_idx"], "left")
+        out = join_same(out, shifted, [*keys, "_idx"])
     return out.drop("_idx")
 
 
@@ -315,33 +322,28 @@ def forward_fill_by_slices(
     """Same values as :func:`forward_fill`, for series too long for one task
     (a segmented scan).
 
-    1. Range-partition on (series, order), number the rows and write them once
-       (``checkpoint``): a long series is cut into slices, one per partition.
+    1. Range-partition on (series, order), number the rows and write them once:
+       a long series is cut into slices, one per partition.
     2. Fill inside each (slice, series): a window over at most one
        partition's rows.
     3. Each slice's last value after the fill is its tail; the carry into a
        slice is the last non-null tail of the earlier slices of the same series
        (a window over at most partitions-many rows per series).
     4. Join the carry back on (slice, series) and fill what is still null.
-    ``order`` must be a total order within a series.
+    ``order`` must be a total order within a series. Null keys are one series;
+    without ``keys`` the whole table is one.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
-    ids = ranged.withColumn("_mid", F.monotonically_increasing_id()).withColumn(
-        "_part", F.shiftright(F.col("_mid"), 33)
-    ).checkpoint()
+    ids = numbered_slices(df, keys, order, num_partitions)
     in_slice = Window.partitionBy("_part", *keys).orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
     filled = ids.withColumns({c: F.last(F.col(c), ignorenulls=True).over(in_slice) for c in cols})
     tails = filled.groupBy("_part", *keys).agg(*[F.max_by(F.col(c), F.col("_mid")).alias(f"_t_{c}") for c in cols])
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    series = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = series.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carry = tails.select(
         "_part", *keys, *[F.last(F.col(f"_t_{c}"), ignorenulls=True).over(before).alias(f"_c_{c}") for c in cols]
     )
-    # One row per (slice, series): written once, broadcast after a size check.
-    carry = broadcast_if_small(materialize(carry))
-    out = filled.join(carry, ["_part", *keys], "left")
+    # One row per (slice, series), written once: Spark sees its size.
+    out = join_same(filled, materialize(carry), ["_part", *keys])
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_c_{c}")) for c in cols})
     return out.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -1,12 +1,15 @@
 """Driver queries: each library operator run over the energy-shaped views of
 the driver tables (whole tables), paired with DuckDB SQL in ``oracle.py``.
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
-column names equal the oracle's. Doubles are rounded to 6 places.
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose column
+names equal the oracle's; queries whose operators write stage tables start jobs
+when they are built. Doubles are rounded to 6 places.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import calendar as cal
-from ..functions.scalar import epoch_to_timestamp, timestamp_to_epoch
+from ..functions.scalar import add_hours, epoch_to_timestamp, timestamp_to_epoch
 from ..operators.conform import conform, union_aligned
 from ..operators.enrich import (
     forecast_weather_by_county,
@@ -41,6 +44,7 @@ from ..operators.series import (
     row_index,
     since_min_of,
     upsert,
+    upsert_unique_history,
 )
 from ..operators.evaluate import cv_summary, fold_scores, mae, numeric_params
 from ..operators.split import assign_folds
@@ -56,7 +60,7 @@ from ..schemas import (
     TABLE_KEYS,
     make_schema,
 )
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources import analog
 from ..sources.files import county_names, source_audit
 
@@ -64,6 +68,8 @@ from ..sources.files import county_names, source_audit
 DRIVER_LAGS = [12, 24, 168]
 # Start of the "new" days in the incremental queries.
 SPLIT_TS = "2024-01-25 00:00:00"
+# First day that the daily loop replays; it goes on to the last day there is.
+FIRST_LIVE_DAY = "2024-01-28"
 # Start of the forecast horizon in the recursion query (last 48 hours).
 HORIZON_TS = "2024-01-29 00:00:00"
 
@@ -248,22 +254,33 @@ def cyclic_q(spark, sf):
     return round_doubles(p.select("row_id", *[v.alias(k) for k, v in cal.cyclic_columns(F.col("datetime")).items()]))
 
 
+def _calendar_rows(spark, sf) -> DataFrame:
+    """Seven years of hours from the order dates, a third without power."""
+    o = analog.table(spark, sf, "orders")
+    hour = F.col("o_orderkey") % 24
+    return o.select(
+        F.col("o_orderkey").alias("row_id"),
+        add_hours(F.col("o_orderdate").cast("timestamp_ntz"), hour).alias("datetime"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")).alias("power"),
+    )
+
+
 def holiday_flags(spark, sf):
-    p = _power(spark, sf)
     ts = F.col("datetime")
-    return p.select("row_id", "datetime", cal.is_holiday(ts).alias("is_holiday"),
-                    cal.is_day_before_holiday(ts).alias("is_day_before_holiday"))
+    return _calendar_rows(spark, sf).select(
+        "row_id", "datetime", cal.is_holiday(ts).alias("is_holiday"),
+        cal.is_day_before_holiday(ts).alias("is_day_before_holiday"))
 
 
 def dst_flags(spark, sf):
-    p = _power(spark, sf)
     ts = F.col("datetime")
-    return p.select("row_id", "datetime", cal.is_dst_spring_forward(ts).alias("is_dst_spring_forward"),
-                    cal.is_dst_fall_backward(ts).alias("is_dst_fall_backward"))
+    return _calendar_rows(spark, sf).select(
+        "row_id", "datetime", cal.is_dst_spring_forward(ts).alias("is_dst_spring_forward"),
+        cal.is_dst_fall_backward(ts).alias("is_dst_fall_backward"))
 
 
 def dst_power_zero(spark, sf):
-    f = cal.add_calendar_features(_fact(spark, sf))
+    f = cal.add_calendar_features(_calendar_rows(spark, sf))
     return round_doubles(zero_power_at_dst(f).select("row_id", "power"))
 
 
@@ -401,6 +418,10 @@ def recursive_forecast(spark, sf):
 
 
 def _train_test_features(spark, sf):
+    return _train_test_history(spark, sf)[:2]
+
+
+def _train_test_history(spark, sf):
     merged = _merged(spark, sf)
     cut = F.col("datetime") >= F.lit(HORIZON_TS).cast("timestamp_ntz")
     history, future = merged.filter(~cut), merged.filter(cut)
@@ -408,7 +429,7 @@ def _train_test_features(spark, sf):
     test = build_features(future.withColumn("power", F.lit(None).cast("double"))
                           .withColumn("capacity_factor", F.lit(None).cast("double")),
                           "test", history=history, lags=DRIVER_LAGS)
-    return train, test
+    return train, test, history
 
 
 def gbt_predict(spark, sf):
@@ -426,12 +447,32 @@ def param_search(spark, sf):
     return table.select("side", "trial", "params", "mean_mae")
 
 
+def _loop(spark, sf) -> tuple[DailyLoop, list[str]]:
+    # The fact is a stored table in the daily loop, by day: write the view so.
+    f = _fact(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power")
+    path = scratch_path(spark, uuid.uuid4().hex)
+    f.withColumn("_day", F.date_format("datetime", "yyyy-MM-dd")).write.partitionBy("_day").parquet(path)
+    stored = spark.read.parquet(path).withColumn("_day", F.col("_day").cast("string"))
+    late = stored.filter(F.col("_day") >= FIRST_LIVE_DAY).select("_day").distinct().orderBy("_day")
+    loop = DailyLoop(spark, stored, "power", lags=[24], root=scratch_path(spark, "daily", uuid.uuid4().hex))
+    loop.seed_history(FIRST_LIVE_DAY)
+    return loop, [r["_day"] for r in late.collect()]  # one name per day
+
+
 def incremental_days(spark, sf):
-    # The fact is a stored table in the daily loop: write the derived view once.
-    f = materialize(_fact(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power"))
-    loop = DailyLoop(spark, f, "power", lags=[24])
-    days = ["2024-01-28", "2024-01-29", "2024-01-30"]
-    loop.seed_history(days[0])
+    loop, days = _loop(spark, sf)
+    return round_doubles(loop.run(days).select("row_id", "datetime", "prediction"))
+
+
+def incremental_replay(spark, sf):
+    """The same forecasts after all days were run twice (in one batch each time)
+    and the history of the first day had been spoilt before it was corrected."""
+    loop, days = _loop(spark, sf)
+    spoilt, fact = loop.fact.withColumn("power", F.col("power") + 1000), loop.fact
+    loop.fact = spoilt
+    loop.run(days[:2])
+    loop.fact = fact
+    loop.run(days)
     return round_doubles(loop.run(days).select("row_id", "datetime", "prediction"))
 
 
@@ -447,10 +488,11 @@ def lag_by_join(spark, sf):
 
 def recursive_gbt(spark, sf):
     """The trained per-side models drive the block recursion on capacity factor."""
-    train, test = _train_test_features(spark, sf)
+    train, test, history = _train_test_history(spark, sf)
     params = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}
     models = SideModels(params={"consumption": params, "production": params}).fit(train)
-    history = train.select("row_id", "datetime", *SERIES_KEYS, "capacity_factor")
+    # The merged history, not the trimmed training rows: lags are positional.
+    history = history.select("row_id", "datetime", *SERIES_KEYS, "capacity_factor")
     out = block_recursive_forecast(history, test, "capacity_factor", models.transform, DRIVER_LAGS)
     return submission(out, to_power(F.col("prediction")))
 
@@ -469,6 +511,78 @@ def train_features_long(spark, sf):
     return round_doubles(build_features(merged, "train", lags=DRIVER_LAGS, long_series=True))
 
 
+# ---------------------------------------------------------------- facts about the models
+
+
+def _forecast_facts(spark, sf, forecast: DataFrame) -> DataFrame:
+    """Which rows a forecast covers, whether it is sound, and whether it beats
+    the seasonal naive one on the rows that both cover."""
+    fact = _fact(spark, sf).select("row_id", "is_consumption", "power")
+    naive = _naive_scored(spark, sf).select("row_id", F.col("target").alias("naive"))
+    both = forecast.join(fact, "row_id").join(naive, "row_id", "left")
+    scored = both.withColumn("usable", F.col("power").isNotNull() & F.col("naive").isNotNull())
+    error = lambda c: F.avg(F.when(F.col("usable"), F.abs(F.col(c) - F.col("power"))))
+    return scored.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if("is_consumption").alias("n_consumption"),
+        F.sum("row_id").alias("row_id_sum"),
+        F.bool_and(F.col("target") >= 0).alias("never_negative"),
+        (error("target") < error("naive")).alias("beats_naive"),
+    )
+
+
+def gbt_facts(spark, sf):
+    return _forecast_facts(spark, sf, materialize(gbt_predict(spark, sf)))
+
+
+def recursive_gbt_facts(spark, sf):
+    return _forecast_facts(spark, sf, materialize(recursive_gbt(spark, sf))).drop("beats_naive")
+
+
+def search_facts(spark, sf):
+    train, _ = _train_test_features(spark, sf)
+    space = {"maxIter": (5, 15, "int"), "maxDepth": (2, 4, "int"), "stepSize": (0.05, 0.3, "log")}
+    best, table = random_search(train, n_trials=2, n_splits=2, space=space)
+    chosen = spark.createDataFrame([(s, json.dumps(p, sort_keys=True)) for s, p in best.items()], "side string, chosen string")
+    least = F.min_by("params", F.struct("mean_mae", "trial"))
+    return table.groupBy("side").agg(F.count("*").alias("n_trials"), F.max(F.size("fold_mae")).alias("n_folds"), least.alias("least")).join(
+        chosen, "side").select("side", "n_trials", "n_folds", (F.col("least") == F.col("chosen")).alias("best_is_least"))
+
+
+# ---------------------------------------------------------------- null keys
+
+
+def _null_unit(spark, sf) -> DataFrame:
+    """The fact with one unit's key null: a series of its own."""
+    unit = F.when(F.col("prediction_unit_id") != 5, F.col("prediction_unit_id"))
+    return _with_capacity(spark, sf).withColumn("prediction_unit_id", unit)
+
+
+def null_key_folds(spark, sf):
+    folded = assign_folds(_null_unit(spark, sf).select("row_id", "datetime", "prediction_unit_id"), 3,
+                          order=["datetime", "row_id"], groups=["prediction_unit_id"])
+    return folded.select("row_id", "prediction_unit_id", "pos", "n_rows")
+
+
+def null_key_lags(spark, sf):
+    df = _null_unit(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power")
+    return round_doubles(positional_lags_by_join(df, ["power"], DRIVER_LAGS))
+
+
+def null_key_fill(spark, sf):
+    df = forward_fill_by_slices(_null_unit(spark, sf), ["installed_capacity"], SERIES_KEYS, ["datetime", "row_id"])
+    return round_doubles(df.select("row_id", "installed_capacity"))
+
+
+def upsert_null_keys(spark, sf):
+    """A batch with null keys and with three versions of each row."""
+    p = _null_unit(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power")
+    late = p.filter(F.col("datetime") >= F.lit("2024-01-28 00:00:00").cast("timestamp_ntz"))
+    versions = late.withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    batch = versions.select(F.col("row_id"), "datetime", *SERIES_KEYS, (F.col("power") + F.col("v")).alias("power"), "v")
+    return round_doubles(upsert_unique_history(p.withColumn("v", F.lit(-1)), batch, ["datetime", *SERIES_KEYS], ["v"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_orders": conform_orders,
     "parse_ts_text": parse_ts_text,
@@ -515,4 +629,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recursive_gbt": recursive_gbt,
     "ffill_by_slices": ffill_by_slices,
     "train_features_long": train_features_long,
+    "incremental_replay": incremental_replay,
+    "null_key_folds": null_key_folds,
+    "null_key_lags": null_key_lags,
+    "null_key_fill": null_key_fill,
+    "upsert_null_keys": upsert_null_keys,
+    "gbt_facts": gbt_facts,
+    "recursive_gbt_facts": recursive_gbt_facts,
+    "search_facts": search_facts,
 }

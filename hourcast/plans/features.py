@@ -5,7 +5,8 @@ retrain  new merged rows on top of the merged history (keep-last), same steps,
          trimmed to the new rows
 test     rows to predict (no target) on top of the history; nothing dropped
 
-Everything is one lazy plan. The history keeps ``power`` (the label) so a
+The per-instant fills are written as small tables while the frame is built; the
+rest is a lazy plan. The history keeps ``power`` (the label) so a
 later retrain can recompute lags; it is dropped only from the model features.
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import add_calendar_features
-from ..functions.scalar import add_hours, safe_divide
+from ..functions.scalar import safe_divide
 from ..operators.conform import align_to
 from ..operators.series import (
     add_positional_lags,
@@ -32,7 +33,6 @@ from ..operators.series import (
     upsert_unique_history,
 )
 from ..schemas import (
-    CALENDAR_YEARS,
     DEFAULT_LAGS,
     EXCLUDED_RANGE,
     FW_OUTPUT,
@@ -89,21 +89,15 @@ def missing_value_policy(
 def merge_history(
     history: DataFrame,
     new: DataFrame,
-    lookback_hours: int | None = None,
     seq: str = "row_id",
     history_unique: bool = False,
 ) -> DataFrame:
     """[history, new] with the newest version of each fact key.
 
-    ``lookback_hours`` bounds the history read to what the lags can reach
-    (exact for gap-free series); ``None`` reads all of it.
     ``history_unique=True`` (the history is an earlier upsert's output, one
     row per key) replaces the keep-last shuffle over the whole history with
     an anti-join against the new batch's keys (:func:`upsert_unique_history`).
     """
-    if lookback_hours is not None:
-        first_new = new.agg(F.min("datetime")).scalar()
-        history = history.filter(F.col("datetime") >= add_hours(first_new, -lookback_hours))
     if history_unique:
         return upsert_unique_history(history, new, TABLE_KEYS["power"], [seq])
     h = history.withColumn("_src", F.lit(0))
@@ -119,9 +113,8 @@ def build_features(
     lag_cols: Sequence[str] = LAG_COLUMNS,
     lag_mode: str | None = None,
     excluded: tuple[str, str] | None = EXCLUDED_RANGE,
-    years: tuple[int, int] = CALENDAR_YEARS,
+    years: tuple[int, int] | None = None,
     keep_power: bool = False,
-    lookback_hours: int | None = None,
     long_series: bool = False,
     history_unique: bool = False,
 ) -> DataFrame:
@@ -139,7 +132,7 @@ def build_features(
     check_mode(mode)
     df = merged
     if mode != "train" and history is not None:
-        df = merge_history(history, merged, lookback_hours, history_unique=history_unique)
+        df = merge_history(history, merged, history_unique=history_unique)
     df = add_calendar_features(df, "datetime", years)
     df = missing_value_policy(df, mode, excluded, long_series)
     mode_of_lags = lag_mode or ("lag" if mode == "train" else "fill")

@@ -6,8 +6,8 @@ that point at earlier *forecast* steps. With ``b`` = the smallest lag, steps
 series is predicted at once: ``ceil(H / b)`` rounds for a horizon ``H`` (4 for
 48 hours with lag 12), independent of the number of series. Each round
 recomputes the value lags over a bounded state (``max lag`` history rows plus
-the horizon, per series) and cuts lineage with a reliable checkpoint in the
-session's shared checkpoint folder.
+the horizon, per series) and is written as a table in the session's shared
+folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import add_hours, null_to_zero, positive_part
-from ..operators.series import add_positional_lags, distributed_row_number, row_index
+from ..functions.scalar import null_to_zero, positive_part
+from ..operators.series import add_positional_lags, distributed_row_number, join_same, row_index
 from ..schemas import SERIES_KEYS, lag_name
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 
 def seasonal_naive(col: str = "capacity_factor", lags: Sequence[int] = (168, 24, 12)) -> Column:
@@ -54,7 +54,6 @@ def block_recursive_forecast(
     out_col: str = "prediction",
     pred_col: str = "_pred",
     checkpoint: bool = True,
-    history_hours: int | None = None,
     long_series: bool = False,
 ) -> DataFrame:
     """Forecast ``value_col`` for the ``horizon`` rows, feeding predictions back
@@ -65,22 +64,15 @@ def block_recursive_forecast(
     ``pred_col`` column: a fitted Spark ML model's ``transform`` or
     :func:`column_model`. Returns the horizon rows with ``out_col``.
 
-    ``history_hours`` reads only that much history before the first horizon
-    instant (partition-prunable). It is exact when every series has a row in
-    each of its last ``max(lags)`` hours; ``None`` numbers the whole history.
     ``long_series=True`` numbers the rows with a distributed row number (a
     long series is split over many tasks) instead of a per-series window;
-    the rounds then work on the bounded state only.
+    the rounds then work on the bounded state only. A null key is a series.
     """
     keys = list(keys)
     lags = sorted(set(lags))
     block = lags[0]
     max_lag = lags[-1]
-    ensure_checkpoint_dir(history.sparkSession)
     lag_cols = [lag_name(value_col, n) for n in lags]
-    if history_hours is not None:
-        start = horizon.agg(F.min(order)).scalar()
-        history = history.filter(F.col(order) >= add_hours(start, -int(history_hours)))
     h = history.withColumn("_is_h", F.lit(False))
     z = horizon.withColumn(value_col, F.lit(None).cast("double")).withColumn("_is_h", F.lit(True))
     union = h.unionByName(z, allowMissingColumns=True)
@@ -91,18 +83,18 @@ def block_recursive_forecast(
         both = row_index(union, keys, order, "_idx")
     first = both.filter("_is_h").groupBy(*keys).agg(F.min("_idx").alias("_i0"))
     # Bounded state: the last max_lag history rows of each series plus its horizon.
-    state = both.join(first, keys, "inner").withColumn("_step", F.col("_idx") - F.col("_i0"))
+    state = join_same(both, first, keys, "inner").withColumn("_step", F.col("_idx") - F.col("_i0"))
     state = state.filter(F.col("_step") >= -max_lag).withColumn(out_col, F.lit(None).cast("double"))
     state = state.drop(*[c for c in lag_cols if c in state.columns])
     if checkpoint:
-        state = state.checkpoint()
+        state = materialize(state)
     n_steps = state.agg(F.max("_step")).first()[0]
     rounds = 0 if n_steps is None else n_steps // block + 1
     for r in range(rounds):
         feats = add_positional_lags(state, [value_col], lags, keys, "_idx")
         in_block = (F.col("_step") >= r * block) & (F.col("_step") < (r + 1) * block)
         preds = predict(feats.filter(in_block)).select(*keys, "_idx", F.col(pred_col).cast("double").alias("_p"))
-        joined = state.join(preds, [*keys, "_idx"], "left")
+        joined = join_same(state, preds, [*keys, "_idx"])
         state = joined.withColumns(
             {
                 out_col: F.when(in_block, F.col("_p")).otherwise(F.col(out_col)),
@@ -110,5 +102,5 @@ def block_recursive_forecast(
             }
         ).drop("_p")
         if checkpoint:
-            state = state.checkpoint()
+            state = materialize(state)
     return state.filter("_is_h").drop("_is_h", "_idx", "_i0", "_step")

@@ -18,6 +18,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -27,6 +28,7 @@ from pyspark.sql.types import BooleanType
 
 from ..operators.split import assign_folds, fold_frames
 from ..schemas import CATEGORICAL_FEATURES, DEFAULT_CV_SPLITS, DEFAULT_TRIALS, NON_FEATURES, RANDOM_SEED
+from ..session import materialize
 
 SIDES = {"consumption": True, "production": False}
 SIDE_COL = "is_consumption"
@@ -82,8 +84,18 @@ def _drop_model_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(("_f_", "_ix_")) or c == "_features"])
 
 
+def bins_for(prepared: DataFrame, features: Sequence[str], least: int) -> int:
+    """Bins a tree needs: one for each category and one for unseen ones. Counted
+    from the data, so no number of categories is too many."""
+    cats = [_fcol(c) for c in features if c in CATEGORICAL_FEATURES]
+    if not cats:
+        return least
+    counts = prepared.agg(*[F.count_distinct(c) for c in cats]).first()
+    return max(least, *(n + 2 for n in counts))
+
+
 def build_pipeline(
-    features: Sequence[str], params: Mapping[str, object], seed: int = RANDOM_SEED, max_bins: int = 128,
+    features: Sequence[str], params: Mapping[str, object], seed: int = RANDOM_SEED, max_bins: int = 32,
     label: str = LABEL,
 ) -> Pipeline:
     cats = [_fcol(c) for c in features if c in CATEGORICAL_FEATURES]
@@ -109,7 +121,7 @@ class SideModels:
         features: Sequence[str] | None = None,
         params: Mapping[str, Mapping[str, object]] | None = None,
         seed: int = RANDOM_SEED,
-        max_bins: int = 128,
+        max_bins: int = 32,
     ):
         self.features = list(features) if features else None
         self.params = {s: dict((params or {}).get(s, {})) for s in SIDES}
@@ -129,9 +141,11 @@ class SideModels:
         # round); keep only the model columns, computed once.
         cols = [SIDE_COL, LABEL, *[_fcol(c) for c in self.features]]
         prepared = _prepare(df, self.features).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+        bins = bins_for(prepared, self.features, self.max_bins)
+
         def fit_side(side: str) -> PipelineModel:
             part = prepared.filter(F.col(SIDE_COL) == F.lit(SIDES[side]))
-            return build_pipeline(self.features, self.params[side], self.seed, self.max_bins).fit(part)
+            return build_pipeline(self.features, self.params[side], self.seed, bins).fit(part)
 
         try:
             # The two sides are independent: fit them as concurrent Spark jobs.
@@ -175,7 +189,7 @@ class SideModels:
         meta_path = os.path.join(path, "metadata")
         try:
             meta = json.loads(spark.read.json(meta_path).first()["meta"])
-        except Exception as e:  # absent or unreadable
+        except AnalysisException as e:  # no such folder
             raise FileNotFoundError(f"no model metadata at {meta_path}") from e
         obj = cls(meta["features"], meta["params"], meta["seed"], meta["max_bins"])
         obj.models = {side: PipelineModel.load(os.path.join(path, side)) for side in SIDES}
@@ -195,7 +209,7 @@ def random_search(
     n_splits: int = DEFAULT_CV_SPLITS,
     space: Mapping[str, tuple] = DEFAULT_SPACE,
     seed: int = RANDOM_SEED,
-    max_bins: int = 128,
+    max_bins: int = 32,
     parallelism: int = 2,
     features: Sequence[str] | None = None,
 ) -> tuple[dict[str, dict], DataFrame]:
@@ -208,7 +222,8 @@ def random_search(
     """
     spark = df.sparkSession
     features = list(features) if features else feature_list(df)
-    prepared = _prepare(df, features)
+    # Written once: both sides' folds sample and read the features, not their plan.
+    prepared = materialize(_prepare(df, features).select("datetime", "row_id", SIDE_COL, LABEL, *[_fcol(c) for c in features]))
     rng = random.Random(seed)
     trials = [draw_params(rng, space) for _ in range(n_trials)]
     def search_side(side: str) -> list[tuple[float, list[float]]]:
@@ -216,9 +231,10 @@ def random_search(
             "datetime", "row_id", LABEL, *[_fcol(c) for c in features])
         folded = assign_folds(side_rows, n_splits, groups=[]).persist(StorageLevel.MEMORY_AND_DISK)
         frames = [fold_frames(folded, k) for k in range(n_splits)]
+        bins = bins_for(folded, features, max_bins)
 
         def score(params):
-            maes = [_fold_mae(tr, te, features, params, seed, max_bins) for tr, te in frames]
+            maes = [_fold_mae(tr, te, features, params, seed, bins) for tr, te in frames]
             return sum(maes) / len(maes), maes
 
         try:

@@ -8,7 +8,6 @@ both sides.
 
 from __future__ import annotations
 
-from ..functions.calendar import dst_instants, holiday_dates
 from ..schemas import (
     COUNTY_NAMES,
     CYCLIC_PERIODS,
@@ -213,18 +212,29 @@ def r6(expr: str, alias: str | None = None) -> str:
     return f"round({expr}, 6) as {q(alias or expr)}"
 
 
-def _ts_list(values) -> str:
-    return ", ".join(f"timestamp '{v:%Y-%m-%d %H:%M:%S}'" for v in values)
+# Fixed values, taken from calendars and not from the code under test: Easter
+# Sundays, and the last Sundays of March and October, of the years in the data.
+EASTER = """1992-04-19 1993-04-11 1994-04-03 1995-04-16 1996-04-07 1997-03-30 1998-04-12 1999-04-04 2000-04-23
+2001-04-15 2002-03-31 2021-04-04 2022-04-17 2023-04-09 2024-03-31 2025-04-20 2026-04-05""".split()
+SPRING = """1992-03-29 1993-03-28 1994-03-27 1995-03-26 1996-03-31 1997-03-30 1998-03-29 1999-03-28 2000-03-26
+2001-03-25 2002-03-31 2021-03-28 2022-03-27 2023-03-26 2024-03-31 2025-03-30 2026-03-29""".split()
+FALL = """1992-10-25 1993-10-31 1994-10-30 1995-10-29 1996-10-27 1997-10-26 1998-10-25 1999-10-31 2000-10-29
+2001-10-28 2002-10-27 2021-10-31 2022-10-30 2023-10-29 2024-10-27 2025-10-26 2026-10-25""".split()
+FIXED_DAYS = "01-01 02-24 05-01 06-23 06-24 08-20 12-24 12-25 12-26".split()
 
 
-def _date_list(values) -> str:
-    return ", ".join(f"date '{v:%Y-%m-%d}'" for v in values)
+def _holiday(date: str) -> str:
+    easter = ", ".join(f"date '{d}' + {k}" for d in EASTER for k in (-2, 0, 49))
+    fixed = ", ".join(f"'{d}'" for d in FIXED_DAYS)
+    return f"(strftime({date}, '%m-%d') in ({fixed}) or cast({date} as date) in ({easter}))"
+
+
+def _at_three(days: list[str]) -> str:
+    return ", ".join(f"timestamp '{d} 03:00:00'" for d in days)
 
 
 def calendar_select(prefix: str = "") -> list[str]:
     dt = f"{prefix}datetime"
-    hol = _date_list(holiday_dates())
-    inst = dst_instants()
     parts = {
         "hour": f"hour({dt})",
         "day": f"day({dt})",
@@ -233,10 +243,10 @@ def calendar_select(prefix: str = "") -> list[str]:
         "year": f"year({dt})",
     }
     out = [
-        f"cast({dt} as date) in ({hol}) as is_holiday",
-        f"cast({dt} as date) + 1 in ({hol}) as is_day_before_holiday",
-        f"{dt} in ({_ts_list(inst['spring'])}) as is_dst_spring_forward",
-        f"{dt} in ({_ts_list(inst['fall'])}) as is_dst_fall_backward",
+        f"{_holiday(f'cast({dt} as date)')} as is_holiday",
+        f"{_holiday(f'(cast({dt} as date) + 1)')} as is_day_before_holiday",
+        f"{dt} in ({_at_three(SPRING)}) as is_dst_spring_forward",
+        f"{dt} in ({_at_three(FALL)}) as is_dst_fall_backward",
     ]
     for name, period in CYCLIC_PERIODS.items():
         for fn in ("sin", "cos"):
@@ -400,12 +410,15 @@ from power""")
     cyc = [e.rsplit(" as ", 1) for e in calendar_select()[4:]]
     o["cyclic"] = with_views(["power"], "select row_id, " + ", ".join(r6(e, a) for e, a in cyc) + " from power")
     flags = calendar_select()[:4]
-    o["holiday_flags"] = with_views(["power"], f"select row_id, datetime, {flags[0]}, {flags[1]} from power")
-    o["dst_flags"] = with_views(["power"], f"select row_id, datetime, {flags[2]}, {flags[3]} from power")
-    o["dst_power_zero"] = with_views(["fact"], f"""
+    days = """with days as (select o_orderkey as row_id, cast(o_orderdate as timestamp) + to_hours(cast(o_orderkey % 24 as integer)) as datetime,
+  case when o_orderkey % 3 <> 0 then o_totalprice end as power from orders)
+"""
+    o["holiday_flags"] = f"{days}select row_id, datetime, {flags[0]}, {flags[1]} from days"
+    o["dst_flags"] = f"{days}select row_id, datetime, {flags[2]}, {flags[3]} from days"
+    o["dst_power_zero"] = f"""{days}
 select row_id, round(case when ({flags[2].rsplit(' as ', 1)[0]} or {flags[3].rsplit(' as ', 1)[0]})
                            and power is null then 0.0 else power end, 6) as power
-from fact""")
+from days"""
     lag_sel = ", ".join(
         f"{_lag(c, n)} as {lag_name(c, n)}" for c in ("capacity_factor", "power") for n in LAGS3)
     lag_cols = [lag_name(c, n) for c in ("capacity_factor", "power") for n in LAGS3]
@@ -514,6 +527,28 @@ qualify datetime >= timestamp '2024-01-28 00:00:00'""")
 select row_id, datetime, prediction_unit_id, is_consumption, round(power, 6) as power,
        {', '.join(f"round({_lag('power', n)}, 6) as power_lag_{n}" for n in LAGS3)}
 from with_capacity""")
+    o["incremental_replay"] = o["incremental_days"]
+    nulled = [("nulled", "select * replace (case when prediction_unit_id <> 5 then prediction_unit_id end as prediction_unit_id) from with_capacity")]
+    o["null_key_folds"] = with_views(["with_capacity"], """
+select row_id, prediction_unit_id, row_number() over (partition by prediction_unit_id order by datetime, row_id) - 1 as pos,
+       count(*) over (partition by prediction_unit_id) as n_rows from nulled""", nulled)
+    o["null_key_lags"] = with_views(["with_capacity"], f"""
+select row_id, datetime, prediction_unit_id, is_consumption, round(power, 6) as power,
+       {', '.join(f"round({_lag('power', n)}, 6) as power_lag_{n}" for n in LAGS3)} from nulled""", nulled)
+    o["null_key_fill"] = with_views(["with_capacity"], f"""
+select row_id, round(last_value(installed_capacity ignore nulls) over (
+  {SERIES_W} rows between unbounded preceding and current row), 6) as installed_capacity from nulled""", nulled)
+    o["upsert_null_keys"] = with_views(["with_capacity"], """
+select row_id, datetime, prediction_unit_id, is_consumption,
+       round(power + case when datetime >= timestamp '2024-01-28 00:00:00' then 2 else 0 end, 6) as power,
+       case when datetime >= timestamp '2024-01-28 00:00:00' then 2 else -1 end as v from nulled""", nulled)
+    facts = """
+select count(*) as n_rows, count(*) filter (where is_consumption) as n_consumption, cast(sum(row_id) as bigint) as row_id_sum,
+       true as never_negative{more} from fact where datetime >= timestamp '2024-01-29 00:00:00'"""
+    o["gbt_facts"] = with_views(["fact"], facts.format(more=", true as beats_naive"))
+    o["recursive_gbt_facts"] = with_views(["fact"], facts.format(more=""))
+    o["search_facts"] = """
+select side, cast(2 as bigint) as n_trials, 2 as n_folds, true as best_is_least from (values ('consumption'), ('production')) t(side)"""
     return o
 
 

@@ -96,40 +96,3 @@ def materialize(df):
     path = scratch_path(spark, uuid.uuid4().hex)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def _threshold(spark: SparkSession) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "10485760"
-    raw = raw.strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(raw[: -len(suffix)]) * units[suffix]
-    return int(raw)
-
-
-# Per-value widths in bytes (Spark's defaults; 20 for a string).
-_WIDTHS = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8, "double": 8,
-           "timestamp": 8, "timestamp_ntz": 8, "decimal": 16, "string": 20}
-
-
-def _width(type_name: str) -> int:
-    return _WIDTHS.get(type_name, 64)
-
-
-def broadcast_if_small(df, max_bytes: int | None = None):
-    """Broadcast ``df`` only when its measured size is under ``max_bytes``
-    (default: the session's broadcast threshold); otherwise return it as is,
-    leaving the join to a shuffle (sort-merge) plan.
-
-    The size is rows x the schema's per-row width, from one count over
-    ``df``: call it on a materialized (written) table so the count is cheap.
-    """
-    from pyspark.sql import functions as F
-
-    limit = _threshold(df.sparkSession) if max_bytes is None else max_bytes
-    if limit <= 0:
-        return df
-    width = sum(_width(f.dataType.typeName()) for f in df.schema.fields) + 8
-    rows = df.count()
-    return F.broadcast(df) if rows * width <= limit else df

@@ -9,7 +9,6 @@ view: per table key, the row of the greatest batch id wins (a map-side reduced
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +25,12 @@ def write_snapshot(tables: Mapping[str, DataFrame], root: str, batch_id: int) ->
     for name, df in tables.items():
         (df.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BATCH_COL).parquet(os.path.join(root, name)))
+           .partitionBy(BATCH_COL).parquet("/".join([root.rstrip("/"), name])))
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str, keys: list[str] | None = None) -> DataFrame:
     """Newest version of every key of table ``name`` over all batches."""
-    df = spark.read.parquet(os.path.join(root, name))
-    kept = keep_last(df, keys or TABLE_KEYS[name], [BATCH_COL])
-    return kept.drop(BATCH_COL)
+    df = spark.read.parquet("/".join([root.rstrip("/"), name]))
+    keys = list(keys or TABLE_KEYS[name])
+    versions = [BATCH_COL, *[c for c in df.columns if c not in (*keys, BATCH_COL)]]
+    return keep_last(df, keys, versions).select(*[c for c in df.columns if c != BATCH_COL])

@@ -1,47 +1,49 @@
 """The daily loop as a Structured Streaming query.
 
-Each day arrives as one micro-batch: a *manifest* stream with one small file
-per day id (``maxFilesPerTrigger=1``) drives ``foreachBatch``, which
-
-1. upserts the newly revealed rows (the previous day's actuals) into the
-   history table, one partition per day, overwritten as a whole (replaying a
-   batch id rewrites the same partition: idempotent);
-2. builds test-mode features for the day's rows over history + day;
-3. predicts and writes the day's forecasts into a partition keyed by batch id.
-
-The data itself never passes through the stream source: a day's rows are read
-from the partitioned fact inside the batch, so one day held in several files
-still forms one batch. State lives in tables under the session's shared
-checkpoint folder, so a restarted query resumes from its checkpoint.
+Days arrive through a *manifest* stream, one record per day, and each
+micro-batch takes the days it holds in order. For every day it
+
+1. writes the actuals revealed since (the previous day's rows) into the history
+   table, whose partition of that day is replaced as a whole, and the day's rows
+   of the side tables into their snapshots;
+2. builds the day's features over the history before it;
+3. predicts, and replaces the day's partition of the forecasts.
+
+Everything is keyed by day, so a batch or a whole run that is repeated changes
+nothing, and several days in one batch are each written. A day before the last
+committed one is refused unless it was committed itself (then it is redone). The
+data never pass through the stream source: a day's rows are read from the fact,
+which should be stored by day. History, forecasts, the manifest and the stream's
+checkpoint lie under ``root``, a shared folder, so a restarted query resumes.
+
+Positional lags need only the last ``max(lags)`` rows of each series: these are
+kept as a table of their own per day, so a day's work grows with the day and the
+number of series, not with the history.
 """
 
 from __future__ import annotations
 
-import os
-import time
-import uuid
-from collections.abc import Callable, Sequence
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.series import add_positional_lags
 from ..schemas import SERIES_KEYS, lag_name
-from ..session import scratch_path
-
+from ..session import materialize
+from ..sources.snapshots import read_snapshot, write_snapshot
 
 MANIFEST_SCHEMA = "day string, seq long, reveal string"
 
 
 def write_manifest(spark: SparkSession, folder: str, day_ids: Sequence[str]) -> None:
-    """One small JSON file per day id, written in day order (one append each),
-    so the file source, which hands files out by modification time, replays
-    the days in order. Each record also names the day whose actuals it reveals
-    (the previous replayed day). Works on any file system Spark writes to."""
-    for i, day in enumerate(day_ids):
-        reveal = day_ids[i - 1] if i > 0 else None
-        spark.createDataFrame([(day, i, reveal)], MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(folder)
-        time.sleep(0.01)
+    """One small JSON file of all given days. Each record has its place in the
+    run (``seq``) and the day whose actuals it reveals (the one before it); the
+    order comes from the records, never from file times."""
+    rows = [(day, i, day_ids[i - 1] if i else None) for i, day in enumerate(day_ids)]
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(folder)
 
 
 def naive_day_ahead(value_col: str = "power", lag: int = 24) -> Callable[[DataFrame], Column]:
@@ -61,69 +63,103 @@ class DailyLoop:
         keys: Sequence[str] = SERIES_KEYS,
         lags: Sequence[int] = (24,),
         model: Callable[[DataFrame], Column] | None = None,
-        root: str | None = None,
-        lookback_days: int | None = None,
-        features: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+        *,
+        root: str,
+        features: Callable[..., DataFrame] | None = None,
         hidden: Sequence[str] | None = None,
+        side_tables: Callable[[str], Mapping[str, DataFrame]] | None = None,
     ):
-        """``features(history, day_rows)`` builds the rows to score (e.g.
-        test-mode :func:`hourcast.plans.features.build_features`); by default
-        the value's positional lags over history + day. ``hidden`` columns are
-        unknown for the day's rows and set to null (default: the value)."""
+        """``root`` is a folder that the driver and all executors share.
+        ``features(history, day_rows)`` builds the rows to score (e.g. test-mode
+        :func:`hourcast.plans.features.build_features`); by default the value's
+        positional lags. With ``side_tables(day)`` (the day's rows of each side
+        table) it is called as ``features(history, day_rows, tables)``, where
+        ``tables(name)`` reads the newest version of every key so far.
+        ``hidden`` columns are unknown for the day's rows and set to null
+        (default: the value)."""
         self.spark = spark
-        self.fact = fact.withColumn("_day", F.date_format(F.col(ts_col), "yyyy-MM-dd"))
+        self.fact = fact if "_day" in fact.columns else fact.withColumn("_day", F.date_format(F.col(ts_col), "yyyy-MM-dd"))
         self.value_col, self.ts_col, self.keys = value_col, ts_col, list(keys)
         self.lags = list(lags)
         self.model = model or naive_day_ahead(value_col, min(self.lags))
-        self.root = root or scratch_path(spark, "daily", uuid.uuid4().hex)
-        self.history = os.path.join(self.root, "history")
-        self.output = os.path.join(self.root, "predictions")
-        self.manifest = os.path.join(self.root, "manifest")
-        self.checkpoint = os.path.join(self.root, "checkpoint")
-        # Days of history read per batch (partition pruning on the day column);
-        # None reads all of it, which keeps positional lags exact over gaps.
-        self.lookback_days = lookback_days
+        self.root = root.rstrip("/")
+        self.history, self.output, self.manifest, self.checkpoint, self.sides, self.tails = (
+            f"{self.root}/{part}" for part in ("history", "predictions", "manifest", "checkpoint", "sides", "tails"))
         self.features = features
         self.hidden = list(hidden) if hidden is not None else [value_col]
+        self.side_tables = side_tables
 
     def seed_history(self, before_day: str) -> None:
         """History = every fact row before the first replayed day."""
-        self.fact.filter(F.col("_day") < before_day).write.mode("overwrite").partitionBy("_day").parquet(
-            self.history)
+        self._put(self.fact.filter(F.col("_day") < before_day), self.history)
+
+    def _put(self, df: DataFrame, folder: str) -> None:
+        """Replace the day partitions that ``df`` holds."""
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_day").parquet(folder)
+
+    def _days(self, folder: str) -> list[str]:
+        """The days that a folder holds: one name per partition."""
+        try:
+            df = self.spark.read.parquet(folder)
+        except AnalysisException:  # nothing written yet
+            return []
+        return sorted(str(r[0]) for r in df.select(F.col("_day").cast("string")).distinct().collect())
+
+    def _read(self, folder: str) -> DataFrame:
+        try:
+            df = self.spark.read.parquet(folder)
+        except AnalysisException:  # nothing written yet
+            empty = self.spark.createDataFrame([], self.fact.schema)
+            return empty.withColumn("_of", F.col("_day")) if folder == self.tails else empty
+        return df.withColumn("_day", F.col("_day").cast("string"))
+
+    def _tail(self, day: str, reveal: str | None) -> DataFrame:
+        """The last ``max(lags)`` rows of each series before ``day``: from an
+        earlier day's tail and the history since, which holds what was revealed
+        or corrected. Written as the tail of ``day``."""
+        since = [d for d in self._days(self.tails) if d < day and (reveal is None or d <= reveal)]
+        history = self._read(self.history).filter(F.col("_day") < day)
+        if since:
+            kept = self._tail_of(since[-1])
+            history = kept.unionByName(history.filter(F.col("_day") >= since[-1]))
+        newest = Window.partitionBy(*self.keys).orderBy(F.desc(self.ts_col), F.desc("row_id"))
+        tail = history.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= max(self.lags)).drop("_n")
+        self._put(materialize(tail.withColumn("_of", F.col("_day")).withColumn("_day", F.lit(day))), self.tails)
+        return self._tail_of(day)
+
+    def _tail_of(self, day: str) -> DataFrame:
+        return self._read(self.tails).filter(F.col("_day") == day).withColumn("_day", F.col("_of")).drop("_of")
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         # The manifest batch holds one control record per day (never data rows).
-        steps = sorted((r["day"], r["reveal"]) for r in batch.select("day", "reveal").collect())
-        for day, prev in steps:
-            if prev is not None:
-                # Reveal the previous day's actuals (whole partition, idempotent).
-                self.fact.filter(F.col("_day") == prev).write.mode("overwrite").option(
-                    "partitionOverwriteMode", "dynamic").partitionBy("_day").parquet(self.history)
-            history = self.spark.read.parquet(self.history).filter(F.col("_day") < day)
-            if self.lookback_days is not None:
-                first = F.date_format(F.date_sub(F.lit(day).cast("date"), self.lookback_days), "yyyy-MM-dd")
-                history = history.filter(F.col("_day") >= first)
-            todo = self.fact.filter(F.col("_day") == day).withColumns(
-                {c: F.lit(None).cast("double") for c in self.hidden})
-            if self.features is not None:
-                feats = self.features(history.drop("_day"), todo.drop("_day"))
-            else:
-                both = history.withColumn("_new", F.lit(False)).unionByName(todo.withColumn("_new", F.lit(True)))
-                feats = add_positional_lags(both, [self.value_col], self.lags, self.keys, self.ts_col).filter("_new")
-            preds = feats.select(
-                "row_id", self.ts_col, F.coalesce(self.model(feats), F.lit(0.0)).alias("prediction"),
-                F.lit(batch_id).alias("batch_id"))
-            preds.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "batch_id").parquet(self.output)
+        steps = sorted((r["seq"], r["day"], r["reveal"]) for r in batch.collect())
+        for _, day, reveal in steps:
+            done = self._days(self.output)
+            if done and day < done[-1] and day not in done:
+                raise ValueError(f"day {day} comes before {done[-1]}, which is committed")
+            self._one_day(day, reveal)
+
+    def _one_day(self, day: str, reveal: str | None) -> None:
+        if reveal is not None:  # the day's actuals, also if they were corrected since
+            self._put(self.fact.filter(F.col("_day") == reveal), self.history)
+        if self.side_tables is not None:
+            number = (dt.date.fromisoformat(day) - dt.date(1970, 1, 1)).days
+            write_snapshot(self.side_tables(day), self.sides, number)
+        todo = self.fact.filter(F.col("_day") == day).withColumns({c: F.lit(None).cast("double") for c in self.hidden})
+        if self.features is not None:
+            history = self._read(self.history).filter(F.col("_day") < day).drop("_day")
+            more = [lambda name: read_snapshot(self.spark, self.sides, name)] if self.side_tables is not None else []
+            feats = self.features(history, todo.drop("_day"), *more)
+        else:
+            both = self._tail(day, reveal).withColumn("_new", F.lit(False)).unionByName(todo.withColumn("_new", F.lit(True)))
+            feats = add_positional_lags(both, [self.value_col], self.lags, self.keys, [self.ts_col, "row_id"]).filter("_new")
+        preds = feats.select("row_id", self.ts_col, F.coalesce(self.model(feats), F.lit(0.0)).alias("prediction"), F.lit(day).alias("_day"))
+        self._put(preds, self.output)
 
     def run(self, days: Sequence[str]) -> DataFrame:
-        """Replay ``days`` (one micro-batch each) and return all forecasts."""
+        """Replay ``days`` and return all forecasts, the newest for each day."""
         write_manifest(self.spark, self.manifest, list(days))
-        stream = (
-            self.spark.readStream.schema(MANIFEST_SCHEMA)
-            .option("maxFilesPerTrigger", 1)
-            .json(self.manifest)
-        )
+        stream = self.spark.readStream.schema(MANIFEST_SCHEMA).option("maxFilesPerTrigger", 1).json(self.manifest)
         query = (
             stream.writeStream.foreachBatch(self._process)
             .option("checkpointLocation", self.checkpoint)
@@ -131,7 +167,7 @@ class DailyLoop:
             .start()
         )
         query.awaitTermination()
-        return self.spark.read.parquet(self.output).drop("batch_id")
+        return self.spark.read.parquet(self.output).drop("_day")
 
 
 def group_frames(frames: dict[str, DataFrame], group_col: str, group_id, keep_group: bool = False) -> dict[str, DataFrame]:

@@ -79,3 +79,14 @@ def test_long_series_path_equals_default(merged):
     sliced = build_features(merged, "train", lags=[12, 24], long_series=True)
     assert sliced.columns == default.columns
     assert default.exceptAll(sliced).count() == 0 and sliced.exceptAll(default).count() == 0
+
+
+def test_fit_with_a_thousand_units(spark):
+    from hourcast.plans.model import SideModels
+
+    df = spark.range(4000).select(
+        (F.col("id") % 1000).cast("int").alias("prediction_unit_id"), (F.col("id") % 2 == 0).alias("is_consumption"),
+        (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 11 / 11).alias("capacity_factor"))
+    fast = {"maxIter": 1, "maxDepth": 2}
+    models = SideModels(["prediction_unit_id", "x"], {"consumption": fast, "production": fast}).fit(df)
+    assert models.transform(df).count() == 4000

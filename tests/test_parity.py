@@ -3,13 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from hourcast.plans.driver import QUERIES
+from hourcast.plans.oracle import ORACLE
 from tests.parity import compare, duck_connection
 
 from tests.conftest import SF_SMALL
 
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
-
 
 @pytest.fixture(scope="module")
 def con():

@@ -59,7 +59,7 @@ def test_forward_fills(spark):
 def test_keep_last_and_upsert(spark):
     hist = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "k int, s string, v double")
     new = spark.createDataFrame([(1, "a2", None), (3, "c", 3.0)], "k int, s string, v double")
-    out = {r["k"]: (r["s"], r["v"]) for r in upsert(hist, new, ["k"]).collect()}
+    out = {r["k"]: (r["s"], r["v"]) for r in upsert(hist, new, ["k"], seq=["s"]).collect()}
     assert out == {1: ("a2", None), 2: ("b", 2.0), 3: ("c", 3.0)}
     dup = spark.createDataFrame([(1, 5, "x"), (1, 9, "y"), (1, 7, "z")], "k int, seq int, s string")
     assert keep_last(dup, ["k"], ["seq"]).first()["s"] == "y"
@@ -111,3 +111,48 @@ def test_upsert_unique_history_equals_keep_last(spark):
     want = {tuple(r) for r in upsert(hist, new, ["k"], seq=["seq"]).collect()}
     got = {tuple(r) for r in upsert_unique_history(hist, new, ["k"], seq=["seq"]).collect()}
     assert got == want and (3, "n3b", 7.0, 2) in got and len(got) == 51
+
+
+def test_null_keys_equal_the_window_forms(spark):
+    from hourcast.operators.series import forward_fill_by_slices, positional_lags_by_join, upsert_unique_history
+
+    rows = [(i, None if i % 3 == 0 else i % 3, None if i % 2 else True, i, None if i % 5 else float(i)) for i in range(60)]
+    df = _series(spark, rows)
+    as_rows = lambda d: {r["row_id"]: r.asDict() for r in d.collect()}
+    assert as_rows(positional_lags_by_join(df, ["v"], [1, 3])) == as_rows(add_positional_lags(df, ["v"], [1, 3]))
+    assert as_rows(forward_fill_by_slices(df, ["v"], num_partitions=5)) == as_rows(forward_fill(df, ["v"]))
+    pos = distributed_row_number(df, ["datetime"], ["prediction_unit_id", "is_consumption"], num_partitions=5)
+    assert pos.count() == 60
+    hist = spark.createDataFrame([(None, 1, "a"), (2, 1, "b")], "k int, seq int, s string")
+    new = spark.createDataFrame([(None, 2, "c"), (None, 3, "d"), (3, 1, "e")], "k int, seq int, s string")
+    got = sorted(map(tuple, upsert_unique_history(hist, new, ["k"], seq=["seq"]).collect()), key=str)
+    assert got == sorted(map(tuple, upsert(hist, new, ["k"], seq=["seq"]).collect()), key=str)
+    assert got == [(2, 1, "b"), (3, 1, "e"), (None, 3, "d")]
+
+
+def test_versions_need_an_order(spark):
+    import pytest
+
+    from hourcast.operators.series import upsert_unique_history
+
+    df = spark.createDataFrame([(1, "a")], "k int, s string")
+    for f in (upsert, upsert_unique_history):
+        with pytest.raises(ValueError, match="seq"):
+            f(df, df, ["k"], [])
+
+
+def test_time_lags_take_one_exchange(spark):
+    from hourcast.operators.series import add_time_lags
+
+    df = _series(spark, [(i, 1, True, h, float(h)) for i, h in enumerate([0, 1, 2, 5, 6, 26, 30])])
+    out = add_time_lags(df, ["v"], [1, 24])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    got = {r["v"]: (r["v_lag_1"], r["v_lag_24"]) for r in out.collect()}
+    assert got == {0: (None, None), 1: (0, None), 2: (1, None), 5: (None, None), 6: (5, None), 26: (None, 2), 30: (None, 6)}
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_global_fill_has_no_single_task_sort(spark):
+    df = _series(spark, [(i, i % 2, True, i // 2, float(i) if i % 7 == 0 else None) for i in range(40)])
+    plan = forward_fill_global(df, ["v"], materialize_instants=False)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan

@@ -1,31 +1,35 @@
+import pytest
 from pyspark.sql import functions as F
 
 from hourcast.operators.enrich import star_merge
-from hourcast.plans.features import merge_history
-from hourcast.session import broadcast_if_small, materialize
+from hourcast.session import ensure_checkpoint_dir, materialize
 from hourcast.sources import analog
 from tests.conftest import SF_SMALL
 
 
-def _plan(df) -> str:
-    return df._jdf.queryExecution().optimizedPlan().toString()
+def test_materialize_prunes_and_pushes_down(spark):
+    stored = materialize(spark.range(100).withColumn("x", F.col("id") * 2))
+    assert stored.count() == 100
+    plan = stored.filter("id > 90").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint>" in plan and "GreaterThan(id,90)" in plan
 
 
-def test_materialize_and_sized_broadcast(spark):
-    small = materialize(spark.range(100).withColumn("x", F.col("id") * 2))
-    assert small.count() == 100
-    hinted = spark.range(10).join(broadcast_if_small(small), "id")
-    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-    big = broadcast_if_small(small, max_bytes=100)  # 100 rows never fit in 100 bytes
-    assert "broadcast" not in _plan(spark.range(10).join(big, "id")).lower()
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(lambda: {})
+        getCheckpointDir = staticmethod(lambda: None)
 
+    class Session:
+        sparkContext = Context()
+        conf = {}
 
-def test_lookback_bounds_history_exactly_for_gap_free_lags(spark):
-    merged = star_merge(analog.source_tables(spark, SF_SMALL))
-    split = F.lit("2024-01-25 00:00:00").cast("timestamp_ntz")
-    hist, new = merged.filter(F.col("datetime") < split), merged.filter(F.col("datetime") >= split)
-    bounded = merge_history(hist, new, lookback_hours=48)
-    first = bounded.agg(F.min("datetime")).first()[0]
-    assert str(first) >= "2024-01-23 00:00:00"
-    full = merge_history(hist, new)
-    assert full.count() == merged.count()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_star_merge_refuses_repeated_dimension_keys(spark):
+    tables = dict(analog.source_tables(spark, SF_SMALL))
+    tables["client"] = tables["client"].unionByName(tables["client"])
+    with pytest.raises(ValueError, match="duplicate key"):
+        star_merge(tables, check_unique=True)

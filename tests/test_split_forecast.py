@@ -42,13 +42,15 @@ def test_block_recursion_equals_row_recursion(spark):
     assert set(got) == set(expected)
     for k, v in expected.items():
         assert abs(got[k] - v) < 1e-9
-    # gap-free series: reading only max-lag hours of history gives the same result
-    bounded = block_recursive_forecast(frame(hist), frame(horizon).drop("power"), "power", model, [12, 24],
-                                       history_hours=24)
-    assert {r["row_id"]: r["prediction"] for r in bounded.collect()} == got
     sliced = block_recursive_forecast(frame(hist), frame(horizon).drop("power"), "power", model, [12, 24],
                                       long_series=True)
     assert {r["row_id"]: r["prediction"] for r in sliced.collect()} == got
+    # a null key is a series like any other
+    nulled = lambda df: df.withColumn("prediction_unit_id", F.nullif("prediction_unit_id", F.lit(1)))
+    for long in (False, True):
+        out = block_recursive_forecast(nulled(frame(hist)), nulled(frame(horizon).drop("power")), "power", model,
+                                       [12, 24], long_series=long)
+        assert {r["row_id"]: r["prediction"] for r in out.collect()} == got
 
 
 def test_back_transform_guards(spark):

@@ -130,9 +130,13 @@ def train(docs: DataFrame, smooth: float = 0.5, least_share: float = 0.005) -> L
 def path(scores: np.ndarray, penalty: float) -> np.ndarray:
     """Best language of each word, a switch between words costing ``penalty``."""
     best = int(scores.sum(axis=0).argmax())
-    gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
+    lead = scores - scores[:, best : best + 1]
+    gain = np.cumsum(lead, axis=0)
     lowest = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gain[:-1]]), axis=0)
-    if (gain - lowest).max() <= penalty / 2:  # no stretch pays for its switch
+    # A path that holds ``best`` somewhere pays one switch or more for each stretch
+    # in another language; one that never holds it wins at most the sum of leads.
+    lead[:, best] = -np.inf
+    if (gain - lowest).max() <= penalty and lead.max(axis=1).sum() <= 0:
         return np.full(len(scores), best)
     steps = scores.tolist()
     now, came = steps[0], []

@@ -90,6 +90,13 @@ def run_record(
         "timestamp_ntz"))
 
 
+def append_run(record: DataFrame, path: str) -> None:
+    """Append a run's rows to the runs table at ``path``, a partition per run;
+    appending the same run again replaces it."""
+    (record.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(path))
+
+
 def observe_rows(df: DataFrame, name: str, *extra):
     """Row count (and extra aggregate columns) collected as a side metric of the
     next action on ``df``: no extra job. Returns (df, observation); read

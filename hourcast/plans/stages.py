@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 
 from ..operators.conform import conform_table
@@ -19,8 +20,9 @@ from .features import build_features
 from .model import SideModels, random_search
 
 
-class FeatureStage(Transformer):
-    """Merged frame -> feature frame for one mode (history passed in code)."""
+class FeatureStage(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Merged frame -> feature frame for one mode. A history is passed in code and
+    isn't saved with the stage; set it again after loading."""
 
     mode = Param(Params._dummy(), "mode", "train, retrain or test", TypeConverters.toString)
     lags = Param(Params._dummy(), "lags", "lag periods in hours", TypeConverters.toListInt)
@@ -36,7 +38,32 @@ class FeatureStage(Transformer):
                               lags=self.getOrDefault(self.lags))
 
 
-class SideModelsModel(Model):
+class _SideModelsWriter(MLWriter):
+    def __init__(self, instance: SideModelsModel):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        self.instance.side_models.save(f"{path}/sides")
+
+
+class _SideModelsReader(MLReader):
+    def load(self, path: str) -> SideModelsModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        return SideModelsModel(SideModels.load(f"{path}/sides"))._resetUid(metadata["uid"])
+
+
+class SideModelsModel(Model, MLReadable, MLWritable):
+    """Fitted models of both sides; saved and loaded as a pipeline stage."""
+
+    def write(self) -> MLWriter:
+        return _SideModelsWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _SideModelsReader()
+
     def __init__(self, models: SideModels | None = None):
         super().__init__()
         self.side_models = models

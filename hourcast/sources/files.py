@@ -8,6 +8,7 @@ import json
 import os
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -82,6 +83,26 @@ def read_json_record(spark: SparkSession, path: str) -> dict:
     return rows[0].asDict(recursive=True)
 
 
+def folder_manifest(spark: SparkSession, folder: str, expected: Iterable[str]) -> DataFrame:
+    """One row per expected or found name in ``folder``: files, bytes, presence.
+
+    A name is a file or a folder of files (``client.csv``, ``orders.parquet``).
+    Only the file listing is read, by Spark, on any file system; an absent file
+    or an empty folder is a row with ``present = false``, not an error."""
+    names = spark.createDataFrame([(n,) for n in expected], "name string")
+    empty = spark.createDataFrame([], "name string, n_files long, n_bytes long")
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
+    except AnalysisException:  # no such folder
+        files = None
+    if files is not None:
+        # The part of the path after the folder, up to the next slash.
+        last = folder.rstrip("/").rsplit("/", 1)[-1]
+        inside = F.substring_index(F.substring_index("path", f"/{last}/", -1), "/", 1)
+        empty = files.groupBy(inside.alias("name")).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+    return names.join(empty, "name", "full").withColumn("present", F.col("n_files").isNotNull())
+
+
 def source_audit(
     spark: SparkSession, tables: Mapping[str, DataFrame], expected: Iterable[str] = ()
 ) -> DataFrame:

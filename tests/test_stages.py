@@ -45,3 +45,37 @@ def test_group_replay_and_observe(spark):
     observed, obs = observe_rows(df, "shape")
     observed.collect()
     assert obs.get["rows"] == 4
+
+
+def test_saved_pipeline_predicts_the_same(spark, tmp_out):
+    from pyspark.ml import PipelineModel
+
+    merged = star_merge(analog.source_tables(spark, SF_SMALL))
+    params = {"maxIter": 2, "maxDepth": 2}
+    model = Pipeline(stages=[FeatureStage("train", [12, 24]),
+                             SideModelsEstimator(params={"consumption": params, "production": params})]).fit(merged)
+    path = os.path.join(tmp_out, "pipeline")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    rows = lambda m: sorted(tuple(r) for r in m.transform(merged).select("row_id", "_pred").collect())
+    assert rows(loaded) == rows(model)
+
+
+def test_runs_are_appended_once(spark, tmp_out):
+    from hourcast.operators.evaluate import append_run, run_record
+
+    path = os.path.join(tmp_out, "runs")
+    for run in ("a", "b", "a"):
+        append_run(run_record(spark, run, {"x": 1}, {"mae": 2.0}), path)
+    got = {r["run_id"]: r["count"] for r in spark.read.parquet(path).groupBy("run_id").count().collect()}
+    assert got == {"a": 2, "b": 2}
+
+
+def test_folder_manifest_reports_a_missing_file(spark, tmp_out):
+    from hourcast.sources.files import folder_manifest
+
+    spark.range(3).coalesce(1).write.csv(os.path.join(tmp_out, "client.csv"))
+    got = {r["name"]: r for r in folder_manifest(spark, tmp_out, ["client.csv", "train.csv"]).collect()}
+    assert got["client.csv"]["present"] and got["client.csv"]["n_bytes"] == 6
+    assert not got["train.csv"]["present"] and got["train.csv"]["n_files"] is None
+    assert [r["present"] for r in folder_manifest(spark, os.path.join(tmp_out, "none"), ["x"]).collect()] == [False]

@@ -13,29 +13,59 @@ ordinary join that Spark may split where it is skewed.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import ship, text_hash, text_slices, with_columns, written
 
-# A sentence ends after a final mark, at a line break, and before a word with a
-# capital first letter (where a passage was put in without a final mark before).
-BREAK = regex.compile(r"\s*\n\s*|(?<=[.!?…])\s+|(?<=[。！？])(?=\S)|\s+(?=\p{Lu}[\p{Ll}\s\p{P}])")
+# Kinds of characters, as bits, by code point up to 0xFFFF (none above counts).
+BLANK, BREAK, FINAL, WIDE_FINAL, UPPER, AFTER_UPPER = (1 << i for i in range(6))
+
+
+def _kinds() -> np.ndarray:
+    out = np.zeros(1 << 16, np.uint8)
+    for i in range(1 << 16):
+        c = chr(i)
+        kind = unicodedata.category(c)
+        out[i] |= BLANK * c.isspace() | BREAK * (c == "\n") | FINAL * (c in ".!?…") | WIDE_FINAL * (c in "。！？") | UPPER * (kind == "Lu")
+        out[i] |= AFTER_UPPER * (kind == "Ll" or kind[0] == "P" or c.isspace())
+    return out
+
+
+KINDS = _kinds()
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def sentences(text: str) -> list[int]:
-    """Start of each sentence, and the end of the text."""
-    starts = [0, *(m.end() for m in BREAK.finditer(text)), len(text)]
-    return starts if len(text) else [0]
+    """Start of each sentence, and the end of the text.
+
+    A new sentence begins after white space that follows a final mark, holds a
+    line break, or stands before a capitalised word (where a passage was put in
+    without a final mark before it); and after a wide final mark."""
+    if not text:
+        return [0]
+    kind = KINDS[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), 0xFFFF)]
+    blank = (kind & BLANK) > 0
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    runs = np.concatenate([[0], edges]) if blank[0] else edges
+    runs = runs[: len(runs) // 2 * 2].reshape(-1, 2)  # without a run at the end
+    first, end = runs[:, 0], runs[:, 1]
+    breaks = np.concatenate([[0], np.cumsum((kind & BREAK) > 0)])
+    after = np.append(kind, 0)[end + 1]
+    new = (breaks[end] > breaks[first]) | ((first > 0) & (kind[first - 1] & FINAL > 0)) | ((kind[end] & UPPER > 0) & (after & AFTER_UPPER > 0))
+    wide = np.flatnonzero(((kind[:-1] & WIDE_FINAL) > 0) & ~blank[1:]) + 1
+    starts = end[new]
+    if len(wide):
+        starts = np.union1d(starts, wide)
+    return [0, *starts.tolist(), len(text)]
 
 
 def _powers(base: int, n: int) -> np.ndarray:

@@ -73,7 +73,7 @@ def runs(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 21):
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 20):
     """(slice of the batch, its texts with null as empty) of bounded size."""
     for batch in batches:
         if not batch.num_rows:

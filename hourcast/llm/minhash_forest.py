@@ -4,9 +4,8 @@ A document is the set of its distinct word shingles. Documents of equal sets are
 one class, found by grouping on a 128-bit hash of the set; from there on only
 class representatives are compared. A representative has one MinHash signature;
 each tree of the forest is an order of the signature's values, in which
-representatives are sorted. A region of a tree is a common prefix of at least
-``least_depth`` values; a region with too many members is split by a longer
-prefix (adaptive depth).
+representatives are sorted. A region of a tree is a common prefix of
+LEAST_DEPTH values; its order goes on by the values after them.
 
 Candidates are the longest-common-prefix neighbours in the sorted order of every
 tree, and each member with its region's hub (the representative of most copies).
@@ -110,30 +109,15 @@ def _turned(tree: int, start: int, n: int):
     return F.substring(F.concat("sig", "sig"), at + 1, 2 * n)
 
 
-def regions(nodes: DataFrame, largest: int = 4096) -> DataFrame:
-    """(tree, region, order, node, copies) of the members of regions of two or
-    more. Regions above ``largest`` members go twice as deep, until the whole
-    signature is used."""
-    depth, found = LEAST_DEPTH, []
+def regions(nodes: DataFrame) -> DataFrame:
+    """(tree, region, order, node, copies, members) of the members of regions of
+    two or more, whatever their number. The trees' prefixes are disjoint values of
+    the signature; a longer prefix would lose pairs of every tree at once, so
+    large regions are cut by salt (``cross_pairs``), not by depth."""
     trees = F.explode(F.array(*[F.struct(F.lit(t).alias("tree"), _turned(t, 0, LEAST_DEPTH).alias("prefix"), _turned(t, LEAST_DEPTH, 12).alias("order")) for t in range(TREES)]))
-    rows = nodes.select("node", "copies", "sig", trees.alias("t")).select("node", "copies", "sig", "t.tree", F.xxhash64("t.tree", "t.prefix").alias("region"), "t.order")
+    rows = nodes.select("node", "copies", trees.alias("t")).select("node", "copies", "t.tree", F.xxhash64("t.tree", "t.prefix").alias("region"), "t.order")
     sizes = rows.groupBy("tree", "region").agg(F.count("*").alias("members"))
-    rows = written(rows.drop("sig").join(sizes.where(F.col("members") > 1), ["tree", "region"]))
-    while True:
-        found.append(rows.where(F.col("members") <= largest).drop("members"))
-        deep = rows.where(F.col("members") > largest)
-        if depth >= VALUES or deep.isEmpty():
-            found.append(deep.drop("members"))
-            break
-        more = min(depth, VALUES - depth)
-        step = F.coalesce(*[F.when(F.col("tree") == t, _turned(t, depth, more)) for t in range(TREES)])
-        deep = deep.drop("members").join(nodes.select("node", "sig"), "node").withColumn("region", F.xxhash64("tree", "region", step)).drop("sig")
-        sizes = deep.groupBy("tree", "region").agg(F.count("*").alias("members"))
-        rows, depth = written(deep.join(sizes.where(F.col("members") > 1), ["tree", "region"])), depth + more
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
+    return rows.join(sizes.where(F.col("members") > 1), ["tree", "region"])
 
 
 def neighbour_pairs(members: DataFrame, each: int = NEIGHBOURS) -> DataFrame:
@@ -206,18 +190,20 @@ def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, likely:
     the region's largest component against all members of other components, block
     by block. A member is paired with its ``best`` likeliest and with the member
     that is likest to the whole block (which finds the centre of a star)."""
-    placed = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = members.drop("members").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     main = (placed.groupBy("tree", "region", "component").agg(F.count("*").alias("n")).groupBy("tree", "region")
-            .agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("members")))
+            .agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("members"), (F.sum("n") - F.max("n")).alias("others")))
     # Regions of up to three members have had all their pairs as neighbours.
-    mixed_regions = main.where((F.col("parts") > 1) & (F.col("members") > NEIGHBOURS + 1)).withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
-    rows = placed.join(mixed_regions, ["tree", "region"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.join(nodes.select("node", "sig"), "node")
+    mixed_regions = main.where((F.col("parts") > 1) & (F.col("members") > NEIGHBOURS + 1))
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    mixed_regions = mixed_regions.withColumn("lefts", blocks(F.col("others"))).withColumn("rights", blocks(F.col("members")))
+    rows = placed.join(mixed_regions, ["tree", "region"]).join(nodes.select("node", "sig"), "node")
     others = rows.where(F.col("component") != F.col("main"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    salt = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     fields = ["node", "component", "sig"]
-    left = others.select("tree", "region", F.col("block").alias("left"), every.alias("right"), F.lit(True).alias("side"), *fields)
-    right = rows.select("tree", "region", every.alias("left"), F.col("block").alias("right"), F.lit(False).alias("side"), *fields)
+    left = others.select("tree", "region", salt("lefts").alias("left"), every("rights").alias("right"), F.lit(True).alias("side"), *fields)
+    right = rows.select("tree", "region", every("lefts").alias("left"), salt("rights").alias("right"), F.lit(False).alias("side"), *fields)
 
     def pair_up(group: pd.DataFrame) -> pd.DataFrame:
         x, y = group[group["side"]], group[~group["side"]]

@@ -263,6 +263,20 @@ def test_a_star_and_a_chain_of_near_copies(spark):
     assert got == brute_components(texts, 85)
 
 
+def test_a_star_of_thousands(spark):
+    """Over 4,096 different texts in a region, each at 0.851 of the centre."""
+    rng = Random(1)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    base = [word() for _ in range(66)]
+    texts = [" ".join(base)]
+    for _ in range(9000):
+        copy = list(base)
+        copy[rng.randrange(5, 61)] = word()
+        texts.append(" ".join(copy))
+    got = near_duplicates(frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]), 85)
+    assert {r["component_id"] for r in got.collect()} == {0}
+
+
 def test_components(spark):
     rng = Random(5)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1100)]

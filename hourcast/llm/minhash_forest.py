@@ -9,12 +9,12 @@ LEAST_DEPTH values; its order goes on by the values after them.
 
 Candidates are the longest-common-prefix neighbours in the sorted order of every
 tree, and each member with its region's hub (the representative of most copies).
-Each representative first confirms its likeliest candidates on full sets; regions
-that still hold several components are then gone through completely, block
-against block, by signature agreement, for what links their components.
-Components come from confirmed links alone. No group is gathered in one task,
-and a member has a bounded number of candidates in each tree and block, however
-large the group is.
+Each representative first confirms its likeliest candidates on full sets, then
+those that would join two components. Regions that still hold several components
+are gone through completely, block against block: every pair of two components
+whose signatures agree enough is checked on full sets. Components come from
+confirmed links alone. No group is gathered in one task; the block pass takes
+members outside a region's largest component times all its members.
 """
 
 from __future__ import annotations
@@ -121,8 +121,9 @@ def regions(nodes: DataFrame) -> DataFrame:
 
 
 def neighbour_pairs(members: DataFrame, each: int = NEIGHBOURS) -> DataFrame:
-    """(a, b): every member with its ``each`` next members in its region's sorted
-    order, and with its region's hub. Sorted ranges cut regions of any size."""
+    """(a, b): all pairs of regions of up to ``each`` + 1 members; in others, every
+    member with its ``each`` next members in the region's sorted order, and with
+    the region's hub. Sorted ranges cut regions of any size."""
     parts = max(8, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
     def adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,11 +135,14 @@ def neighbour_pairs(members: DataFrame, each: int = NEIGHBOURS) -> DataFrame:
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], names=["a", "b"])
 
+    few = members.where(F.col("members") <= each + 1).groupBy("tree", "region").agg(F.sort_array(F.collect_list("node")).alias("all"))
+    whole = few.select("all", F.explode("all").alias("a")).select("a", F.explode("all").alias("b"))
+    members = members.where(F.col("members") > each + 1)
     ordered = members.repartitionByRange(parts, "tree", "region", "order", "node").sortWithinPartitions("tree", "region", "order", "node")
     chain = ordered.select("tree", "region", "node").mapInArrow(adjacent, "a long, b long")
     hubs = members.groupBy("tree", "region").agg(F.max_by("node", F.struct("copies", -F.col("node"))).alias("hub"))
     stars = members.join(hubs, ["tree", "region"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    return _distinct_pairs(chain.unionByName(stars))
+    return _distinct_pairs(chain.unionByName(stars).unionByName(whole))
 
 
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:
@@ -159,13 +163,22 @@ def likeness(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return with_b.select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long, likely double")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, k: int = 5) -> DataFrame:
-    """The pairs whose full shingle sets reach the similarity."""
+def shingle_sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, k: int = 5) -> DataFrame:
+    """(node, items) of the nodes in ``wanted``: their full shingle sets."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
             yield with_columns(batch, {"text"}, items=pa.array([shingles(t, k).tobytes() for t in texts], pa.binary()))
 
+    ends = nodes.select("node", F.col("text_hash").alias("_h")).join(wanted.select("node").distinct(), "node")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"), text_of(F.col("text")).alias("text"))
+    texts = rows.join(ends, (F.col("doc_id") == F.col("node")) & (F.col("text_hash") == F.col("_h"))).select("node", "text")
+    return written(texts.mapInArrow(sets, "node long, items binary"))
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, k: int = 5) -> DataFrame:
+    """The pairs whose full shingle sets reach the similarity."""
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
@@ -175,57 +188,98 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int,
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.select("node", F.col("text_hash").alias("_h")).join(ends, "node")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"), text_of(F.col("text")).alias("text"))
-    texts = rows.join(wanted, (F.col("doc_id") == F.col("node")) & (F.col("text_hash") == F.col("_h"))).select("node", "text")
-    items = written(texts.mapInArrow(sets, "node long, items binary"))
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    items = shingle_sets(ends, docs, nodes, k)
     with_b = pairs.select("a", "b").join(items.withColumnsRenamed({"node": "b", "items": "ib"}), "b")
     with_a = with_b.join(items.withColumnsRenamed({"node": "a", "items": "ia"}), "a")
     return with_a.select("a", "b", "ia", "ib").mapInArrow(keep, "a long, b long").distinct()
 
 
-def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, likely: float, block: int = 1024, best: int = 8) -> DataFrame:
-    """Candidate pairs between the components of one region: every member outside
-    the region's largest component against all members of other components, block
-    by block. A member is paired with its ``best`` likeliest and with the member
-    that is likest to the whole block (which finds the centre of a star)."""
+def open_matrix(x: pd.DataFrame, y: pd.DataFrame, tree: int, likely: float) -> np.ndarray:
+    """Which pairs of two blocks are of different components and agree in a share
+    of ``likely`` or more, and meet in no tree before this one."""
+    p, q = (np.frombuffer(b"".join(d["sig"]), "<u2").reshape(-1, VALUES) for d in (x, y))
+    xn, yn, xc, yc = x["node"].to_numpy(), y["node"].to_numpy(), x["component"].to_numpy(), y["component"].to_numpy()
+    # Both ways round only where the other one is of the main component.
+    free = (xc[:, None] != yc[None, :]) & (y["main"].to_numpy()[None, :] | (xn[:, None] < yn[None, :]))
+    same = np.zeros(free.shape, np.int16)
+    for t in range(TREES):
+        here = np.zeros(free.shape, np.int16)
+        for i in range(t * LEAST_DEPTH, (t + 1) * LEAST_DEPTH):
+            here += p[:, i, None] == q[None, :, i]
+        if t < tree:
+            free &= here < LEAST_DEPTH
+        same += here
+    return free & (same >= likely * VALUES)
+
+
+def linked(x: pd.DataFrame, y: pd.DataFrame, todo: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links among the pairs ``todo`` of two blocks, by their full sets. A pair
+    that the links found before it join already needs no check."""
+    sets = [np.frombuffer(s, np.uint64) for s in (*x["items"], *y["items"])]
+    size = np.array([len(s) for s in sets])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    places = np.concatenate([[0], np.cumsum(size)])
+    mine, theirs, xn, yn = x["component"].to_numpy().copy(), y["component"].to_numpy().copy(), x["node"].to_numpy(), y["node"].to_numpy()
+    mark, out = np.zeros(len(ids), bool), []
+    for i in range(len(x)):
+        items = ids[places[i] : places[i + 1]]
+        mark[items] = True
+        for js in np.array_split(np.flatnonzero(todo[i]), 1 + int(size[len(x) :][todo[i]].sum()) // (1 << 21)):
+            js = js[theirs[js] != mine[i]]
+            if not len(js):
+                continue
+            both = np.array([np.count_nonzero(mark[ids[places[j] : places[j + 1]]]) for j in js + len(x)])
+            for j in js[100 * both >= percent * (size[i] + size[js + len(x)] - both)]:
+                if theirs[j] != mine[i]:
+                    out.append((xn[i], yn[j]))
+                    old, new = theirs[j], mine[i]
+                    mine[mine == old], theirs[theirs == old] = new, new
+        mark[items] = False
+    return out
+
+
+def cross_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, percent: int, likely: float, k: int = 5, block: int = 1024) -> DataFrame:
+    """(a, b): links between the components of one region. Every member outside
+    the region's largest component meets all members of other components, block
+    by block; each pair that agrees in a share of ``likely`` or more is checked on
+    full sets, in the first tree that holds it, unless its components are joined
+    by then."""
     placed = members.drop("members").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    main = (placed.groupBy("tree", "region", "component").agg(F.count("*").alias("n")).groupBy("tree", "region")
-            .agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("members"), (F.sum("n") - F.max("n")).alias("others")))
+    rows = placed.join(nodes.select("node", "sig"), "node")
+    parts = placed.join(nodes.select("node", "n_shingles"), "node").groupBy("tree", "region", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    most = F.max(F.struct("n", (-F.col("component")).alias("c"), "s"))
+    regions = parts.groupBy("tree", "region").agg(most.alias("m"), F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("s").alias("s"))
     # Regions of up to three members have had all their pairs as neighbours.
-    mixed_regions = main.where((F.col("parts") > 1) & (F.col("members") > NEIGHBOURS + 1))
-    blocks = lambda n: F.ceil(n / block).cast("int")
-    mixed_regions = mixed_regions.withColumn("lefts", blocks(F.col("others"))).withColumn("rights", blocks(F.col("members")))
-    rows = placed.join(mixed_regions, ["tree", "region"]).join(nodes.select("node", "sig"), "node")
-    others = rows.where(F.col("component") != F.col("main"))
+    regions = regions.where((F.col("parts") > 1) & (F.col("n") > NEIGHBOURS + 1))
+    blocks = lambda n, s: F.ceil(F.greatest(n / block, s / (1 << 20))).cast("int")
+    regions = regions.select("tree", "region", (-F.col("m.c")).alias("largest"), blocks(F.col("n"), F.col("s")).alias("rights"),
+                             blocks(F.col("n") - F.col("m.n"), F.col("s") - F.col("m.s")).alias("lefts"))
+    rows = rows.join(regions, ["tree", "region"]).withColumn("main", F.col("component") == F.col("largest"))
     salt = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    fields = ["node", "component", "sig"]
-    left = others.select("tree", "region", salt("lefts").alias("left"), every("rights").alias("right"), F.lit(True).alias("side"), *fields)
+    fields = ["node", "component", "main", "sig"]
+    left = rows.where(~F.col("main")).select("tree", "region", salt("lefts").alias("left"), every("rights").alias("right"), F.lit(True).alias("side"), *fields)
     right = rows.select("tree", "region", every("lefts").alias("left"), salt("rights").alias("right"), F.lit(False).alias("side"), *fields)
+    keys = ["tree", "region", "left", "right"]
 
-    def pair_up(group: pd.DataFrame) -> pd.DataFrame:
-        x, y = group[group["side"]], group[~group["side"]]
-        if not len(x) or not len(y):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        x, y = x.sort_values("node"), y.sort_values("node")
-        p, q = (np.frombuffer(b"".join(d["sig"]), "<u2").reshape(-1, VALUES) for d in (x, y))
-        xn, yn, xc, yc = x["node"].to_numpy(), y["node"].to_numpy(), x["component"].to_numpy(), y["component"].to_numpy()
-        same = np.zeros((len(p), len(q)), np.int16)
-        for i in range(VALUES):
-            same += p[:, i, None] == q[None, :, i]
-        centre = int(same.sum(axis=0).argmax())
-        same[xc[:, None] == yc[None, :]] = -1
-        n = min(best, len(q))
-        top = np.argpartition(-same, n - 1, axis=1)[:, :n]
-        top = np.hstack([top, np.full((len(p), 1), centre)])
-        good = np.take_along_axis(same, top, 1) >= likely * VALUES
-        a, b = np.repeat(xn, top.shape[1]), yn[top].ravel()
-        return pd.DataFrame({"a": a, "b": b})[good.ravel()]
+    def sides(group: pd.DataFrame):
+        x, y = (group[group["side"] == s].sort_values("node") for s in (True, False))
+        return x, y, open_matrix(x, y, int(group["tree"].iloc[0]), likely) if len(x) and len(y) else np.zeros((len(x), len(y)), bool)
 
-    keys = ["tree", "region", "left", "right"]
-    return _distinct_pairs(left.unionByName(right).groupBy(*keys).applyInPandas(pair_up, "a long, b long"))
+    def still_open(group: pd.DataFrame) -> pd.DataFrame:
+        x, y, todo = sides(group)
+        return pd.concat([x[todo.any(axis=1)], y[todo.any(axis=0)]])
+
+    def check(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(linked(*sides(group), percent), columns=["a", "b"], dtype="int64")
+
+    both = left.unionByName(right)
+    held = written(both.groupBy(*keys).applyInPandas(still_open, both.schema))
+    if held.isEmpty():
+        return labels.sparkSession.createDataFrame([], "a long, b long")
+    full = held.join(shingle_sets(held, docs, nodes, k).dropDuplicates(["node"]), "node")
+    return _distinct_pairs(full.groupBy(*keys).applyInPandas(check, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
@@ -245,7 +299,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = written(full.groupBy("n_shingles", "h1", "h2").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"), F.max("sig").alias("sig"), F.count("*").alias("copies"))
                       .select("n_shingles", "h1", "h2", F.col("r.doc_id").alias("node"), F.col("r.text_hash").alias("text_hash"), "sig", "copies"))
-    nodes = classes.select("node", "text_hash", "sig", "copies")
+    nodes = classes.select("node", "text_hash", "sig", "copies", "n_shingles")
     members = written(regions(nodes))
     pairs = written(likeness(neighbour_pairs(members), nodes).where(F.col("likely") >= likely))
     # First the likeliest candidate of each, then whatever still joins two components.
@@ -253,15 +307,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
     chosen = ends.groupBy("node").agg(F.max(F.struct("likely", (-F.col("a")).alias("x"), (-F.col("b")).alias("y"))).alias("m"))
     first = written(chosen.select((-F.col("m.x")).alias("a"), (-F.col("m.y")).alias("b")).distinct())
     links = written(confirmed(first, docs, nodes, percent, k))
-    tried = first
-    for more in (lambda labels: pairs.select("a", "b"), lambda labels: cross_pairs(members, nodes, labels, likely)):
+    labels = written(connected_components(links))
+    la, lb = (labels.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+    open_pairs = pairs.select("a", "b").join(first, ["a", "b"], "left_anti").join(la, "a", "left").join(lb, "b", "left")
+    open_pairs = written(open_pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    if not open_pairs.isEmpty():
+        links = written(links.unionByName(confirmed(open_pairs, docs, nodes, percent, k)))
         labels = written(connected_components(links))
-        la, lb = (labels.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-        open_pairs = more(labels).join(tried, ["a", "b"], "left_anti").join(la, "a", "left").join(lb, "b", "left")
-        open_pairs = written(open_pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-        if not open_pairs.isEmpty():
-            links = written(links.unionByName(confirmed(open_pairs, docs, nodes, percent, k)))
-            tried = written(tried.unionByName(open_pairs))
+    links = written(links.unionByName(cross_links(members, nodes, labels, docs, percent, likely, k)))
     labels = connected_components(links)
     named = classes.join(labels, "node", "left").select("n_shingles", "h1", "h2", F.coalesce("component", "node").alias("component"))
     found = rows.join(named, ["n_shingles", "h1", "h2"], "left")

@@ -277,6 +277,20 @@ def test_a_star_of_thousands(spark):
     assert {r["component_id"] for r in got.collect()} == {0}
 
 
+def test_links_among_look_alikes(spark):
+    """Pairs at 0.856 among hundreds of texts at 0.841: the signatures can't tell."""
+    rng = Random(1)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    base, texts = [word() for _ in range(120)], {}
+    for i in range(400):
+        own = base[:110] + [word() for _ in range(10)]
+        texts[i] = " ".join(own)
+        if i % 10 == 0:  # one more word in common
+            texts[400 + i] = " ".join(own[:111] + [word() for _ in range(9)])
+    got = near_duplicates(frame(spark, [(i, t, "en", "a") for i, t in texts.items()]), 85)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == brute_components(texts, 85)
+
+
 def test_components(spark):
     rng = Random(5)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1100)]

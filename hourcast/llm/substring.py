@@ -110,32 +110,29 @@ def document_key(doc_id: Column, text: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(1 << 62) + F.pmod(text_hash(text), F.lit(1 << 61)))
 
 
-def _stamp(text: Column) -> Column:
-    """15 bits of the text's hash, which tell apart texts under one id."""
-    return F.pmod(text_hash(text), F.lit(1 << 15))
-
-
 def repeated_runs(docs: DataFrame, least_words: int) -> DataFrame:
-    """(doc, place) of every run that isn't the first of its hash. ``place``
-    packs the stamp of the text, the run's first sentence and its length."""
+    """(doc, hash, place) of every run that isn't the first of its hash. ``doc``
+    and ``hash`` (of the text) name a document; ``place`` packs the run's first
+    sentence and its length."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
-            hashes, docs_of, places = [], [], []
-            for doc, stamp, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
+            hashes, docs_of, texts_of, places = [], [], [], []
+            for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
                 r = Runs(text, least_words)
                 if len(r.hash):
                     hashes.append(r.hash.view(np.int64))
                     docs_of.append(np.full(len(r.hash), doc, np.int64))
-                    places.append((stamp << 48) | (r.first << 16) | np.minimum(r.end - r.first, 0xFFFF))
+                    texts_of.append(np.full(len(r.hash), key, np.int64))
+                    places.append((r.first << 16) | np.minimum(r.end - r.first, 0xFFFF))
             if hashes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hashes, docs_of, places)], names=["run", "doc", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hashes, docs_of, texts_of, places)], names=["run", "doc", "hash", "place"])
 
-    rows = docs.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"), _stamp(F.col("text")).alias("stamp"), F.col("text").cast("string").alias("text"))
-    runs = rows.where(F.col("text").isNotNull()).mapInArrow(cut, "run long, doc long, place long")
-    firsts = runs.groupBy("run").agg(F.count("*").alias("n"), F.min(F.struct("doc", "place")).alias("first")).where(F.col("n") > 1)
-    again = runs.join(written(firsts.select("run", F.col("first.doc").alias("_d"), F.col("first.place").alias("_p"))), "run")
-    return again.where((F.col("doc") != F.col("_d")) | (F.col("place") != F.col("_p"))).select("doc", "place")
+    rows = docs.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"), text_hash(F.col("text")).alias("hash"), F.col("text").cast("string").alias("text"))
+    runs = rows.where(F.col("text").isNotNull()).mapInArrow(cut, "run long, doc long, hash long, place long")
+    firsts = runs.groupBy("run").agg(F.count("*").alias("n"), F.min(F.struct("doc", "hash", "place")).alias("first")).where(F.col("n") > 1)
+    again = runs.join(written(firsts.select("run", "first")), "run")
+    return again.where(F.struct("doc", "hash", "place") != F.col("first")).select("doc", "hash", "place")
 
 
 REMOVED = "array<struct<start:int,end:int>>"
@@ -159,13 +156,12 @@ def remove_repeats(docs: DataFrame, least_words: int = 30, keep: tuple[str, ...]
             names = batch.schema.names
             raw = batch.column(names.index("_text")).to_pylist()
             out, n, gone, spans = [], [], [], []
-            for was, text, stamp, places in zip(raw, texts, batch.column(names.index("_stamp")).to_pylist(), batch.column(names.index("_places")).to_pylist()):
+            for was, text, places in zip(raw, texts, batch.column(names.index("_places")).to_pylist()):
                 starts = sentences(text)
                 drop = np.zeros(len(starts), bool)
                 for p in places or ():
-                    if p >> 48 == stamp:
-                        first, length = (p >> 16) & 0xFFFFFFFF, p & 0xFFFF
-                        drop[first : first + length] = True
+                    first, length = p >> 16, p & 0xFFFF
+                    drop[first : first + length] = True
                 n.append(len(starts) - 1)
                 gone.append(int(drop.sum()))
                 if not gone[-1]:
@@ -177,11 +173,11 @@ def remove_repeats(docs: DataFrame, least_words: int = 30, keep: tuple[str, ...]
                 spans.append([{"start": a, "end": b} for a, b in cuts])
                 bounds = [0, *(x for c in cuts for x in c), len(text)]
                 out.append("".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2])))
-            yield with_columns(batch, {"_text", "_stamp", "_places"}, _out=pa.array(out, pa.string()), n_sentences=pa.array(n, pa.int32()), n_removed=pa.array(gone, pa.int32()), removed=pa.array(spans, pa.list_(span)))
+            yield with_columns(batch, {"_text", "_places"}, _out=pa.array(out, pa.string()), n_sentences=pa.array(n, pa.int32()), n_removed=pa.array(gone, pa.int32()), removed=pa.array(spans, pa.list_(span)))
 
     again = repeated_runs(docs, least_words)
-    places = written(again.groupBy("doc").agg(F.collect_set("place").alias("_places")).withColumnRenamed("doc", "_of"))
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"), _stamp(F.col("text")).alias("_stamp"), document_key(F.col("doc_id"), F.col("text")).alias("_doc"))
-    joined = rows.join(places, F.col("_doc") == F.col("_of"), "left").select(*keep, "_text", "_stamp", "_places")
+    places = written(again.groupBy(F.col("doc").alias("_of"), F.col("hash").alias("_of_text")).agg(F.collect_set("place").alias("_places")))
+    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"), text_hash(F.col("text")).alias("_hash"), document_key(F.col("doc_id"), F.col("text")).alias("_doc"))
+    joined = rows.join(places, (F.col("_doc") == F.col("_of")) & (F.col("_hash") == F.col("_of_text")), "left").select(*keep, "_text", "_places")
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields)
     return joined.mapInArrow(clean, f"{kept}, _out string, n_sentences int, n_removed int, removed {REMOVED}").withColumnRenamed("_out", "text")

@@ -365,6 +365,21 @@ def test_repeats_against_brute_force(docs, docs_pd):
     assert got == brute_repeats(list(zip(docs_pd.doc_id.tolist(), docs_pd.text.tolist())), 30)
 
 
+def test_many_texts_under_one_id(spark):
+    """One passage in texts of one id, with sentences of their own: each loses
+    the passage only (but the first), however many texts the id has."""
+    rng = Random(13)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    line = lambda: " ".join([word().title(), *(word() for _ in range(34))]) + "."
+    shared, rows = line(), []
+    for i in range(600):
+        own = [line() for _ in range(4)]
+        own.insert(i % 5, shared)
+        rows.append((7, " ".join(own), "en", "a"))
+    got = [r["n_removed"] for r in remove_repeats(frame(spark, rows)).collect()]
+    assert sorted(got) == [0] + [1] * 599
+
+
 def test_planted_passage(spark):
     rng = Random(12)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9)))

@@ -70,12 +70,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources: a document is repeated for every whole epoch that takes
     it, cut to the words that the last epoch takes of it, and goes if none does.
-    Rows of one id and text share what is taken of them evenly."""
+    Each row, also one of several of one id and text, has its own exact part."""
     plain, names = _numbered(docs)
-    taken = mix_sources(docs.select("doc_id", "text", "source")).groupBy("doc_id", "text_hash").agg(F.floor(F.sum("taken") / F.count("*")).alias("_taken"), F.max("size").alias("_size"))
-    taken = taken.where(F.col("_taken") > 0).withColumnsRenamed({"doc_id": "_taken_id", "text_hash": "_taken_hash"})
+    named = plain.select(*names, *(F.col(_at(docs, n)).alias(n) for n in ("doc_id", "text", "source")))
+    rows = mix_sources(named, columns=tuple(names)).where(F.col("taken") > 0).withColumnsRenamed({"taken": "_taken", "size": "_size"})
     text = F.col(_at(docs, "text"))
-    rows = plain.join(taken, F.col(_at(docs, "doc_id")).eqNullSafe(F.col("_taken_id")) & (text_hash(text) == F.col("_taken_hash")))
     epochs, rest = F.floor(F.col("_taken") / F.col("_size")).cast("int"), (F.col("_taken") % F.col("_size")).cast("int")
     rows = rows.withColumn("_rest", rest).withColumn("_epoch", F.explode(F.sequence(F.lit(1), epochs + F.when(rest > 0, 1).otherwise(0))))
     last = (F.col("_rest") > 0) & (F.col("_epoch") == F.floor(F.col("_taken") / F.col("_size")) + 1)

@@ -38,6 +38,15 @@ def test_mix_repeats_and_cuts(spark):
     assert (out.n_chars == out.text.str.len()).all()
 
 
+def test_mix_of_repeated_rows(spark):
+    """Repeated rows are cut one at a time: the budgets are met, one text is cut."""
+    rows = [(5, "a b c d e f g h i j", "en", "big")] * 30 + [(i, "k " * 10, "en", "other") for i in range(100, 130)]
+    out = P.source_mix(spark, frame(spark, rows), DATA).toPandas()
+    words = out.text.str.split().str.len()
+    assert words.groupby(out.source).sum().to_dict() == {"big": 200, "other": 400}
+    assert (words == 10).all()
+
+
 def test_whole_run(spark, docs_pd):
     pieces = P.run(spark, DATA).toPandas()
     assert pieces.groupby("sequence_id").length.sum().max() <= 2048

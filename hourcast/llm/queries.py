@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hourcast.llm import quality, toxicity
 from hourcast.llm.ann_forest import search
+from hourcast.llm.bestfit import pack_best_fit
 from hourcast.llm.common import crc_fold, table
 from hourcast.llm.ctph import fingerprints
 from hourcast.llm.langid import identify, train
@@ -16,8 +17,10 @@ from hourcast.llm.minhash_forest import near_duplicates
 from hourcast.llm.mixing import mix_sources
 from hourcast.llm.oracles import MIX_SQL
 from hourcast.llm.packing import pack_documents
+from hourcast.llm.spelling import spelling_variants
 from hourcast.llm.substring import remove_repeats
 from hourcast.llm.token_fst import count_tokens
+from hourcast.llm.whitening import whiten
 
 
 def op1_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,9 +74,22 @@ def op10_sentence_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_best_fit(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_toxicity_cnn, op2_prefix_forest, op3_quality_index, op4_piecewise_hash, op5_token_fst,
-              op6_vector_packing, op7_source_mix, op8_minhash_forest, op9_language_spans, op10_sentence_runs)
+              op6_vector_packing, op7_source_mix, op8_minhash_forest, op9_language_spans, op10_sentence_runs,
+              op11_embedding_whitening, op12_best_fit_packing, op13_spelling_variants)
 }
 ORACLE: dict[str, str] = {"op7_source_mix": MIX_SQL}

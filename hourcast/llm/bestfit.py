@@ -115,7 +115,7 @@ class WordPieces:
     LETTERS, DIGITS = "a-z\u00DF-\u00F6\u00F8-\u00FF", "0-9"  # of plain lower-case text
     ODD = "\0"  # marks a part that isn't plain; no plain text holds it
 
-    def __init__(self, path: str | None = None, most: int = 1 << 18):
+    def __init__(self, path: str | None = None, most: int = 1 << 19):
         import public_tokenizers
         from tokenizers import Tokenizer
 
@@ -142,6 +142,7 @@ class WordPieces:
         return [w for p in parts for w in (self.words_of(p.lower()) if self._plain(p) else (self.ODD + p,))]
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that the memory doesn't hold."""
         found = {w: ids for w in words if (ids := self.older.get(w)) is not None}
         new = [w for w in words if w not in found]
         for w in new:
@@ -152,17 +153,19 @@ class WordPieces:
             ids = self._library_ids(" ".join(new[a:b]))
             at = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             found.update((w, ids[i:j].tobytes()) for w, i, j in zip(new[a:b], [0, *at[:-1]], at, strict=True))
-        if len(self.known) >= self.most:
-            self.known, self.older = {}, self.known
-        self.known.update((w, ids) for w, ids in found.items() if len(w) <= 64)
         return found
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         words = [self._words(t) for t in texts]
-        got = [list(map(self.known.get, ws)) for ws in words]
-        found = self._learn({w for ws, gs in zip(words, got) if None in gs for w, g in zip(ws, gs) if g is None})
-        for ws, gs in zip(words, got):
-            yield b"".join([found[w] if g is None else g for w, g in zip(ws, gs)] if None in gs else gs)
+        if len(self.known) >= self.most:
+            self.known, self.older = {}, self.known
+        found = self._learn(set().union(*words).difference(self.known))
+        self.known.update(found)
+        for ws in words:
+            yield b"".join(map(self.known.__getitem__, ws))
+        for w in found:
+            if len(w) > 64:  # not worth its memory
+                del self.known[w]
 
 
 @lru_cache(maxsize=1)

@@ -47,10 +47,12 @@ from ..operators.series import (
     upsert_unique_history,
 )
 from ..operators.evaluate import cv_summary, fold_scores, mae, numeric_params
-from ..operators.split import assign_folds
+from ..operators.split import assign_folds, fold_frames
+from ..operators.encode import ordered_target_means
 from ..plans.features import build_features, zero_power_at_dst
 from ..plans.forecast import block_recursive_forecast, column_model, seasonal_naive, submission, to_power
-from ..plans.model import SideModels, random_search
+from ..plans.state import RetrainState
+from ..plans.model import SIDES, SideModels, bins_for, category_counts, error_curve, feature_list, prepare, random_search
 from ..streaming.incremental import DailyLoop
 from ..schemas import (
     FW_OUTPUT,
@@ -63,6 +65,7 @@ from ..schemas import (
 from ..session import materialize, scratch_path
 from ..sources import analog
 from ..sources.files import county_names, source_audit
+from ..sources.snapshots import read_snapshot, write_snapshot
 
 # Lags that fit the 30-day driver data (720 h would leave no row).
 DRIVER_LAGS = [12, 24, 168]
@@ -353,6 +356,35 @@ def retrain_features(spark, sf):
     return round_doubles(build_features(new, "retrain", history=history, lags=DRIVER_LAGS, history_unique=True))
 
 
+def _retrain_state(spark, sf) -> tuple[RetrainState, DataFrame]:
+    """A state over the rows before SPLIT_TS, and all merged rows."""
+    merged = _merged(spark, sf)
+    state = RetrainState(spark, scratch_path(spark, "retrain", uuid.uuid4().hex), DRIVER_LAGS)
+    state.seed(merged.filter(F.col("datetime") < F.lit(SPLIT_TS).cast("timestamp_ntz")))
+    return state, merged
+
+
+def retrain_state(spark, sf):
+    """The features of ``retrain_features``, from the stored state: the batch
+    reads none of the history's rows."""
+    state, merged = _retrain_state(spark, sf)
+    return round_doubles(state.retrain(merged.filter(F.col("datetime") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))))
+
+
+def retrain_state_corrected(spark, sf):
+    """Three batches: new days, a correction of one of them (doubled power, some
+    capacities unknown), and the rest; the features of all since the correction."""
+    state, merged = _retrain_state(spark, sf)
+    at = lambda day: F.col("datetime") >= F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz")
+    state.retrain(merged.filter(at(25) & ~at(29)))
+    unknown = F.col("prediction_unit_id") % 3 == 0
+    corrected = merged.filter(at(26) & ~at(27)).withColumns({
+        "power": F.col("power") * 2, "capacity_factor": F.lit(None).cast("double"),
+        "installed_capacity": F.when(~unknown, F.col("installed_capacity"))})
+    since = state.retrain(corrected)
+    return round_doubles(since.unionByName(state.retrain(merged.filter(at(29)))))
+
+
 # ---------------------------------------------------------------- evaluation and ordering
 
 
@@ -447,20 +479,20 @@ def param_search(spark, sf):
     return table.select("side", "trial", "params", "mean_mae")
 
 
-def _loop(spark, sf) -> tuple[DailyLoop, list[str]]:
+def _loop(spark, sf, lags=(24,), value=None) -> tuple[DailyLoop, list[str]]:
     # The fact is a stored table in the daily loop, by day: write the view so.
     f = _fact(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power")
     path = scratch_path(spark, uuid.uuid4().hex)
     f.withColumn("_day", F.date_format("datetime", "yyyy-MM-dd")).write.partitionBy("_day").parquet(path)
     stored = spark.read.parquet(path).withColumn("_day", F.col("_day").cast("string"))
     late = stored.filter(F.col("_day") >= FIRST_LIVE_DAY).select("_day").distinct().orderBy("_day")
-    loop = DailyLoop(spark, stored, "power", lags=[24], root=scratch_path(spark, "daily", uuid.uuid4().hex))
-    loop.seed_history(FIRST_LIVE_DAY)
+    loop = DailyLoop(spark, stored, "power", lags=list(lags), model=value, root=scratch_path(spark, "daily", uuid.uuid4().hex))
     return loop, [r["_day"] for r in late.collect()]  # one name per day
 
 
 def incremental_days(spark, sf):
     loop, days = _loop(spark, sf)
+    loop.seed_history(FIRST_LIVE_DAY)
     return round_doubles(loop.run(days).select("row_id", "datetime", "prediction"))
 
 
@@ -468,6 +500,7 @@ def incremental_replay(spark, sf):
     """The same forecasts after all days were run twice (in one batch each time)
     and the history of the first day had been spoilt before it was corrected."""
     loop, days = _loop(spark, sf)
+    loop.seed_history(FIRST_LIVE_DAY)
     spoilt, fact = loop.fact.withColumn("power", F.col("power") + 1000), loop.fact
     loop.fact = spoilt
     loop.run(days[:2])
@@ -476,6 +509,43 @@ def incremental_replay(spark, sf):
     return round_doubles(loop.run(days).select("row_id", "datetime", "prediction"))
 
 
+# The corrected day is ten days before one of the replayed ones, and in reach of
+# the longer lag (positions, not hours).
+LATE_DAY = "2024-01-19"
+LATE_LAGS = [24, 240]
+
+
+def late_corrections(spark, sf):
+    """Forecasts after a day of the seeded history and a replayed day were
+    corrected when everything had been forecast from their first versions."""
+    loop, days = _loop(spark, sf, LATE_LAGS, lambda df: (F.col("power_lag_24") + F.col("power_lag_240")) / 2)
+    right = loop.fact
+    wrong = F.col("_day").isin(LATE_DAY, days[0])
+    loop.fact = right.filter(~wrong | (F.col("row_id") % 5 != 0)).withColumn("power", F.when(wrong, F.col("power") * 3).otherwise(F.col("power")))
+    loop.seed_history(FIRST_LIVE_DAY)
+    loop.run(days)
+    loop.fact = right
+    return round_doubles(loop.correct().select("row_id", "datetime", "prediction"))
+
+
+def snapshot_tiers(spark, sf):
+    """The newest capacities after ten batches of three days in tiers of three:
+    each batch sends its days and, one higher, those of two batches before; then
+    batch 8 is sent again, doubled."""
+    client = materialize(_tables(spark, sf)["client"])
+    block = F.floor(F.datediff("date", F.lit("2024-01-01").cast("date")) / 3)
+    root = scratch_path(spark, "snapshots", uuid.uuid4().hex)
+
+    def batch(k: int) -> DataFrame:
+        again = client.filter(block == k - 2).withColumn("installed_capacity", F.col("installed_capacity") + 1)
+        return client.filter(block == k).unionByName(again)
+
+    for k in range(10):
+        write_snapshot({"client": batch(k)}, root, k, fan=3)
+    write_snapshot({"client": batch(8).withColumn("installed_capacity", F.col("installed_capacity") * 2)}, root, 8, fan=3)
+    return round_doubles(read_snapshot(spark, root, "client"))
+
+
 def test_features(spark, sf):
     _, test = _train_test_features(spark, sf)
     return round_doubles(test)
@@ -515,8 +585,8 @@ def train_features_long(spark, sf):
 
 
 def _forecast_facts(spark, sf, forecast: DataFrame) -> DataFrame:
-    """Which rows a forecast covers, whether it is sound, and whether it beats
-    the seasonal naive one on the rows that both cover."""
+    """Which rows a forecast covers, whether it is sound, what the seasonal naive
+    one errs on the rows that both cover, and whether the forecast errs less."""
     fact = _fact(spark, sf).select("row_id", "is_consumption", "power")
     naive = _naive_scored(spark, sf).select("row_id", F.col("target").alias("naive"))
     both = forecast.join(fact, "row_id").join(naive, "row_id", "left")
@@ -526,27 +596,55 @@ def _forecast_facts(spark, sf, forecast: DataFrame) -> DataFrame:
         F.count("*").alias("n_rows"),
         F.count_if("is_consumption").alias("n_consumption"),
         F.sum("row_id").alias("row_id_sum"),
+        F.count_if("usable").alias("n_scored"),
+        error("naive").alias("naive_mae"),
         F.bool_and(F.col("target") >= 0).alias("never_negative"),
         (error("target") < error("naive")).alias("beats_naive"),
     )
 
 
 def gbt_facts(spark, sf):
-    return _forecast_facts(spark, sf, materialize(gbt_predict(spark, sf)))
+    return round_doubles(_forecast_facts(spark, sf, materialize(gbt_predict(spark, sf))))
 
 
 def recursive_gbt_facts(spark, sf):
-    return _forecast_facts(spark, sf, materialize(recursive_gbt(spark, sf))).drop("beats_naive")
+    return round_doubles(_forecast_facts(spark, sf, materialize(recursive_gbt(spark, sf))).drop("beats_naive"))
+
+
+SEARCH_SPACE = {"maxIter": (3, 12, "int"), "maxDepth": (2, 4, "int"), "stepSize": (0.05, 0.3, "log")}
 
 
 def search_facts(spark, sf):
-    train, _ = _train_test_features(spark, sf)
-    space = {"maxIter": (5, 15, "int"), "maxDepth": (2, 4, "int"), "stepSize": (0.05, 0.3, "log")}
-    best, table = random_search(train, n_trials=2, n_splits=2, space=space)
-    chosen = spark.createDataFrame([(s, json.dumps(p, sort_keys=True)) for s, p in best.items()], "side string, chosen string")
-    least = F.min_by("params", F.struct("mean_mae", "trial"))
-    return table.groupBy("side").agg(F.count("*").alias("n_trials"), F.max(F.size("fold_mae")).alias("n_folds"), least.alias("least")).join(
-        chosen, "side").select("side", "n_trials", "n_folds", (F.col("least") == F.col("chosen")).alias("best_is_least"))
+    """Per side: the rows of the search's two folds, and whether the chosen
+    parameters have the least error and refitting each fold with the chosen
+    number of trees gives the error that the search reported."""
+    merged = _merged(spark, sf)
+    history = merged.filter(F.col("datetime") < F.lit(HORIZON_TS).cast("timestamp_ntz"))
+    train = materialize(build_features(history, "train", lags=DRIVER_LAGS))
+    best, table = random_search(train, n_trials=2, n_splits=2, space=SEARCH_SPACE)
+    trials = {(r["side"], r["trial"]): r for r in table.collect()}
+    features = feature_list(train)
+    bins, rows = bins_for(category_counts(train, features), 32), []
+    for side, flag in SIDES.items():
+        side_rows = prepare(train.filter(F.col("is_consumption") == flag), features)
+        folded = materialize(assign_folds(side_rows, 2, groups=[]))
+        mine = [trials[side, k] for k in range(2)]
+        chosen = min(mine, key=lambda r: (r["mean_mae"], r["trial"]))
+        refit = [error_curve(*fold_frames(folded, k), features, best[side], max_bins=bins)[-1] for k in range(2)]
+        sizes = [n for k in range(2) for n in (folded.filter(F.col("train_from_fold") <= k).count(), folded.filter(F.col("test_fold") == k).count())]
+        rows.append((side, *sizes, json.loads(chosen["params"]) == best[side],
+                     all(abs(a - b) < 1e-9 for a, b in zip(refit, chosen["fold_mae"]))))
+    return spark.createDataFrame(rows, "side string, n_train_0 long, n_test_0 long, n_train_1 long, n_test_1 long, best_is_least boolean, refits_agree boolean")
+
+
+def category_means(spark, sf):
+    """Time-ordered target means of categories of any number: the events' users
+    and kinds, each row seeing earlier instants only."""
+    ev = analog.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    # Sevenths: no mean lies halfway between two rounded values.
+    hour = ev.withColumn("value", F.col("value") / 7).withColumn("hour", F.date_trunc("hour", F.col("ts").cast("timestamp_ntz")).cast("timestamp_ntz"))
+    out = ordered_target_means(hour, ["user_id", "event_type"], "value", "hour")
+    return round_doubles(out.select("event_id", "user_id_mean", "event_type_mean"))
 
 
 # ---------------------------------------------------------------- null keys
@@ -613,6 +711,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_merge": star_merge_q,
     "train_features": train_features,
     "retrain_features": retrain_features,
+    "retrain_state": retrain_state,
+    "retrain_state_corrected": retrain_state_corrected,
     "ts_split": ts_split,
     "seasonal_naive_mae": seasonal_naive_mae,
     "cv_summary": cv_summary_q,
@@ -630,6 +730,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ffill_by_slices": ffill_by_slices,
     "train_features_long": train_features_long,
     "incremental_replay": incremental_replay,
+    "late_corrections": late_corrections,
+    "snapshot_tiers": snapshot_tiers,
     "null_key_folds": null_key_folds,
     "null_key_lags": null_key_lags,
     "null_key_fill": null_key_fill,
@@ -637,4 +739,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gbt_facts": gbt_facts,
     "recursive_gbt_facts": recursive_gbt_facts,
     "search_facts": search_facts,
+    "category_means": category_means,
 }

@@ -12,7 +12,8 @@ later retrain can recompute lags; it is dropped only from the model features.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from ..operators.series import (
     forward_fill,
     forward_fill_by_slices,
     forward_fill_global,
+    join_same,
     keep_last,
     positional_lags_by_join,
     since_min_of,
@@ -46,6 +48,7 @@ from ..schemas import (
 )
 
 PRICE_COLUMNS = ["electricity_price", "gas_price"]
+ROW_ORDER = ["datetime", "row_id"]  # rows of one hour keep one order in every run
 SERIES_FILL_COLUMNS = ["installed_capacity", *FW_OUTPUT, *HW_OUTPUT]
 
 
@@ -57,11 +60,30 @@ def zero_power_at_dst(df: DataFrame) -> DataFrame:
     )
 
 
+@dataclass
+class Carry:
+    """What earlier rows bring into a frame that starts later: the last filled
+    rows of each series (``tail``, for the lags), the last known value of each
+    filled column per series (``levels``) and of each price (``prices``)."""
+
+    tail: DataFrame
+    levels: DataFrame
+    prices: Mapping[str, float | None]
+
+    def fill(self, df: DataFrame) -> DataFrame:
+        """What the frame's own rows leave null is filled from before them."""
+        df = df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast("double")) for c, v in self.prices.items()})
+        known = self.levels.withColumnsRenamed({c: f"_level_{c}" for c in SERIES_FILL_COLUMNS})
+        out = join_same(df, known, SERIES_KEYS)
+        return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_level_{c}")) for c in SERIES_FILL_COLUMNS}).select(*df.columns)
+
+
 def missing_value_policy(
     df: DataFrame,
     mode: str = "train",
     excluded: tuple[str, str] | None = EXCLUDED_RANGE,
     long_series: bool = False,
+    carry: Carry | None = None,
 ) -> DataFrame:
     check_mode(mode)
     if mode != "test":
@@ -72,9 +94,11 @@ def missing_value_policy(
             df = exclude_range(df, *excluded)
     df = forward_fill_global(df, PRICE_COLUMNS)
     if long_series:
-        df = forward_fill_by_slices(df, SERIES_FILL_COLUMNS, SERIES_KEYS, ["datetime", "row_id"])
+        df = forward_fill_by_slices(df, SERIES_FILL_COLUMNS, SERIES_KEYS, ROW_ORDER)
     else:
-        df = forward_fill(df, SERIES_FILL_COLUMNS)
+        df = forward_fill(df, SERIES_FILL_COLUMNS, order=ROW_ORDER)
+    if carry is not None:
+        df = carry.fill(df)
     if mode != "test":
         ratio = safe_divide("power", "installed_capacity")
         df = df.withColumn(
@@ -86,6 +110,33 @@ def missing_value_policy(
     return df
 
 
+def with_lags(
+    df: DataFrame, mode: str, lags: Sequence[int], lag_cols: Sequence[str], lag_mode: str | None = None,
+    long_series: bool = False, carry: Carry | None = None,
+) -> DataFrame:
+    """The lags of a filled frame, over the carried rows before it if there are any."""
+    if carry is not None:
+        old = carry.tail.withColumn("_old", F.lit(True))
+        df = df.withColumn("_old", F.lit(False)).unionByName(old, allowMissingColumns=True)
+    mode_of_lags = lag_mode or ("lag" if mode == "train" else "fill")
+    if long_series and mode_of_lags in ("lag", "fill") and not any(
+        lag_name(c, n) in df.columns for c in lag_cols for n in lags
+    ):
+        df = positional_lags_by_join(df, list(lag_cols), lags, SERIES_KEYS, ROW_ORDER)
+    else:
+        df = add_positional_lags(df, lag_cols, lags, SERIES_KEYS, ROW_ORDER, mode_of_lags)
+    return df.filter(~F.col("_old")).drop("_old") if carry is not None else df
+
+
+def finish(df: DataFrame, mode: str, lags: Sequence[int], keep_power: bool = False) -> DataFrame:
+    """Rows without a null (but for rows to predict), columns in feature order."""
+    if mode != "test":
+        df = drop_rows_with_null(df)
+    ordered = feature_columns(list(lags))
+    extra = [c for c in df.columns if c not in ordered and c != "power"]
+    return df.select(*ordered, *extra, *(["power"] if keep_power else []))
+
+
 def merge_history(
     history: DataFrame,
     new: DataFrame,
@@ -135,20 +186,10 @@ def build_features(
         df = merge_history(history, merged, history_unique=history_unique)
     df = add_calendar_features(df, "datetime", years)
     df = missing_value_policy(df, mode, excluded, long_series)
-    mode_of_lags = lag_mode or ("lag" if mode == "train" else "fill")
-    if long_series and mode_of_lags in ("lag", "fill") and not any(
-        lag_name(c, n) in df.columns for c in lag_cols for n in lags
-    ):
-        df = positional_lags_by_join(df, list(lag_cols), lags, SERIES_KEYS, ["datetime", "row_id"])
-    else:
-        df = add_positional_lags(df, lag_cols, lags, SERIES_KEYS, "datetime", mode_of_lags)
+    df = with_lags(df, mode, lags, lag_cols, lag_mode, long_series)
     if mode != "train":
         df = since_min_of(df, merged)
-    if mode != "test":
-        df = drop_rows_with_null(df)
-    ordered = feature_columns(list(lags))
-    extra = [c for c in df.columns if c not in ordered and c != "power"]
-    return df.select(*ordered, *extra, *(["power"] if keep_power else []))
+    return finish(df, mode, lags, keep_power)
 
 
 def labels(features_with_power: DataFrame) -> DataFrame:

@@ -2,10 +2,15 @@
 time-series cross-validated random search, save / load.
 
 The learner is MLlib's ``GBTRegressor`` with absolute loss. Categorical
-columns are indexed (``StringIndexer``, unseen values kept) so the trees split
-on categories; every other feature is numeric. Missing feature values (only
-possible in test mode) are filled with a sentinel before assembly, identically
-in fit and transform.
+columns of up to ``max_categories`` values are indexed (``StringIndexer``, unseen
+values kept) so the trees split on categories; those of more values become
+time-ordered target means (:mod:`hourcast.operators.encode`), so that the number
+of bins is bounded whatever the data. Every other feature is numeric. Missing
+feature values (only possible in test mode) are filled with a sentinel before
+assembly, identically in fit and transform.
+
+A side without training rows has no trees: its predictions are null, which a
+submission writes as 0. ``fit(..., strict=True)`` raises instead.
 """
 
 from __future__ import annotations
@@ -17,7 +22,6 @@ import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -26,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from ..operators.encode import apply_target_means, category_sums, encoded_name, ordered_target_means
 from ..operators.split import assign_folds, fold_frames
 from ..schemas import CATEGORICAL_FEATURES, DEFAULT_CV_SPLITS, DEFAULT_TRIALS, NON_FEATURES, RANDOM_SEED
 from ..session import materialize
@@ -35,6 +40,8 @@ SIDE_COL = "is_consumption"
 LABEL = "capacity_factor"
 PREDICTION = "_pred"
 FILL_VALUE = -999.0
+INSTANT = "datetime"
+MAX_CATEGORIES = 1000
 
 # Search space: (low, high, scale); integers where both bounds are ints.
 DEFAULT_SPACE: dict[str, tuple] = {
@@ -68,7 +75,7 @@ def _fcol(name: str) -> str:
     return f"_f_{name}"
 
 
-def _prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Model copies ``_f_<name>`` of the features: booleans -> 0/1, numbers ->
     double, nulls -> sentinel. The original columns stay untouched."""
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -84,20 +91,27 @@ def _drop_model_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(("_f_", "_ix_")) or c == "_features"])
 
 
-def bins_for(prepared: DataFrame, features: Sequence[str], least: int) -> int:
-    """Bins a tree needs: one for each category and one for unseen ones. Counted
-    from the data, so no number of categories is too many."""
-    cats = [_fcol(c) for c in features if c in CATEGORICAL_FEATURES]
+def category_counts(df: DataFrame, features: Sequence[str]) -> dict[str, int]:
+    """Distinct values of each categorical feature, a null counting as one."""
+    cats = [c for c in features if c in CATEGORICAL_FEATURES]
     if not cats:
-        return least
-    counts = prepared.agg(*[F.count_distinct(c) for c in cats]).first()
-    return max(least, *(n + 2 for n in counts))
+        return {}
+    counts = df.agg(*[F.count_distinct(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0"))) for c in cats]).first()
+    return dict(zip(cats, counts))
+
+
+def bins_for(counts: Mapping[str, int], least: int) -> int:
+    """Bins a tree needs: one for each indexed category and one for unseen ones."""
+    return max([least, *(n + 2 for n in counts.values())])
 
 
 def build_pipeline(
     features: Sequence[str], params: Mapping[str, object], seed: int = RANDOM_SEED, max_bins: int = 32,
-    label: str = LABEL,
+    label: str = LABEL, validation: str | None = None,
 ) -> Pipeline:
+    """Indexing, assembly and boosting. Rows whose ``validation`` column is true
+    are the evaluation set: boosting stops when their error no longer falls
+    (``validationTol``) and the best number of trees stays."""
     cats = [_fcol(c) for c in features if c in CATEGORICAL_FEATURES]
     nums = [_fcol(c) for c in features if c not in CATEGORICAL_FEATURES]
     stages = []
@@ -109,6 +123,8 @@ def build_pipeline(
     gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol=PREDICTION, lossType="absolute",
                        seed=seed, maxBins=max_bins)
     gbt = gbt.setParams(**{k: v for k, v in params.items() if gbt.hasParam(k)})
+    if validation:
+        gbt = gbt.setValidationIndicatorCol(validation)
     stages.append(gbt)
     return Pipeline(stages=stages)
 
@@ -122,63 +138,92 @@ class SideModels:
         params: Mapping[str, Mapping[str, object]] | None = None,
         seed: int = RANDOM_SEED,
         max_bins: int = 32,
+        max_categories: int = MAX_CATEGORIES,
     ):
         self.features = list(features) if features else None
         self.params = {s: dict((params or {}).get(s, {})) for s in SIDES}
         self.seed = seed
         self.max_bins = max_bins
-        self.models: dict[str, PipelineModel] = {}
+        self.max_categories = max_categories
+        self.models: dict[str, PipelineModel | None] = {}  # None: a side without rows
+        self.encoded: list[str] = []  # categorical features that are target means
+        self.sums: DataFrame | None = None  # their label sums
 
     def set_features(self, features: Sequence[str]) -> SideModels:
         self.features = list(features)
         return self
 
-    def fit(self, df: DataFrame) -> SideModels:
-        self.features = self.features or feature_list(df)
+    def _inputs(self) -> list[str]:
+        return [encoded_name(c) if c in self.encoded else c for c in self.features]
+
+    def fit(self, df: DataFrame, strict: bool = False, validation: str | None = None) -> SideModels:
+        """Fit both sides as concurrent jobs. ``validation`` names a boolean
+        column: its true rows choose the number of trees and are not trained on."""
+        self.features = self.features or feature_list(df, extra_exclude=("power", *([validation] if validation else [])))
         if not self.features:
             raise RuntimeError("no feature columns")
+        counts = category_counts(df, self.features)
+        self.encoded = sorted(c for c, n in counts.items() if n > self.max_categories)
+        bins = bins_for({c: n for c, n in counts.items() if c not in self.encoded}, self.max_bins)
+        if self.encoded:
+            train_rows = df.filter(~F.col(validation)) if validation else df
+            self.sums = materialize(category_sums(train_rows, self.encoded, LABEL, [SIDE_COL]))
+            label = F.when(~F.col(validation), F.col(LABEL)) if validation else F.col(LABEL)
+            df = ordered_target_means(df.withColumn("_known", label), self.encoded, "_known", INSTANT, [SIDE_COL])
+        inputs = self._inputs()
         # Fitting reads its input several times (indexers, every boosting
-        # round); keep only the model columns, computed once.
-        cols = [SIDE_COL, LABEL, *[_fcol(c) for c in self.features]]
-        prepared = _prepare(df, self.features).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-        bins = bins_for(prepared, self.features, self.max_bins)
-
-        def fit_side(side: str) -> PipelineModel:
+        # round): only the model columns, written once.
+        cols = [SIDE_COL, LABEL, *([validation] if validation else []), *[_fcol(c) for c in inputs]]
+        prepared = materialize(prepare(df, inputs).select(*cols))
+        trains = F.count_if(~F.col(validation)) if validation else F.count(F.lit(1))
+        rows = {r[0]: r[1] for r in prepared.groupBy(SIDE_COL).agg(trains).collect()}
+        without = [s for s, flag in SIDES.items() if not rows.get(flag)]
+        if strict and without:
+            raise ValueError(f"No training rows: {', '.join(without)}")
+
+        def fit_side(side: str) -> PipelineModel | None:
+            if side in without:
+                return None
             part = prepared.filter(F.col(SIDE_COL) == F.lit(SIDES[side]))
-            return build_pipeline(self.features, self.params[side], self.seed, bins).fit(part)
+            return build_pipeline(inputs, self.params[side], self.seed, bins, validation=validation).fit(part)
 
-        try:
-            # The two sides are independent: fit them as concurrent Spark jobs.
-            with ThreadPoolExecutor(max_workers=len(SIDES)) as pool:
-                self.models = dict(zip(SIDES, pool.map(fit_side, SIDES)))
-        finally:
-            prepared.unpersist()
+        with ThreadPoolExecutor(max_workers=len(SIDES)) as pool:
+            self.models = dict(zip(SIDES, pool.map(fit_side, SIDES)))
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Input rows with a ``_pred`` column (capacity factor)."""
         if set(self.models) != set(SIDES):
-            raise RuntimeError("Models not trained. Call fit() or load() first.")
+            raise RuntimeError("fit() or load() the models first")
         if not self.features:
-            raise RuntimeError("Features not defined.")
+            raise RuntimeError("the models have no feature list")
         present = set(df.columns)
         missing = [c for c in self.features if c not in present]
         if missing:
             raise ValueError(f"Missing feature columns: {', '.join(missing)}")
-        prepared = _prepare(df, self.features)
+        if self.encoded:
+            df = apply_target_means(df, self.sums, self.encoded, [SIDE_COL])
+        prepared = prepare(df, self._inputs()).drop(*[encoded_name(c) for c in self.encoded])
         outs = []
         for side, flag in SIDES.items():
             part = prepared.filter(F.col(SIDE_COL) == F.lit(flag))
-            outs.append(_drop_model_columns(self.models[side].transform(part)))
+            model = self.models[side]
+            scored = part.withColumn(PREDICTION, F.lit(None).cast("double")) if model is None else model.transform(part)
+            outs.append(_drop_model_columns(scored))
         return outs[0].unionByName(outs[1])
 
     def save(self, path: str) -> str:
         if set(self.models) != set(SIDES):
-            raise RuntimeError("Models not trained. Call fit() first.")
+            raise RuntimeError("fit() the models before saving them")
         for side, model in self.models.items():
-            model.write().overwrite().save(os.path.join(path, side))
+            if model is not None:
+                model.write().overwrite().save(os.path.join(path, side))
         spark = SparkSession.getActiveSession()
-        meta = {"features": self.features, "params": self.params, "seed": self.seed, "max_bins": self.max_bins}
+        if self.encoded:
+            self.sums.write.mode("overwrite").parquet(os.path.join(path, "category_sums"))
+        meta = {"features": self.features, "params": self.params, "seed": self.seed, "max_bins": self.max_bins,
+                "max_categories": self.max_categories, "encoded": self.encoded,
+                "fitted": [s for s, m in self.models.items() if m is not None]}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(
             os.path.join(path, "metadata"))
         return path
@@ -191,16 +236,38 @@ class SideModels:
             meta = json.loads(spark.read.json(meta_path).first()["meta"])
         except AnalysisException as e:  # no such folder
             raise FileNotFoundError(f"no model metadata at {meta_path}") from e
-        obj = cls(meta["features"], meta["params"], meta["seed"], meta["max_bins"])
-        obj.models = {side: PipelineModel.load(os.path.join(path, side)) for side in SIDES}
+        obj = cls(meta["features"], meta["params"], meta["seed"], meta["max_bins"], meta.get("max_categories", MAX_CATEGORIES))
+        fitted = meta.get("fitted", list(SIDES))
+        obj.models = {side: PipelineModel.load(os.path.join(path, side)) if side in fitted else None for side in SIDES}
+        obj.encoded = meta.get("encoded", [])
+        if obj.encoded:
+            obj.sums = spark.read.parquet(os.path.join(path, "category_sums"))
         return obj
 
 
-def _fold_mae(train: DataFrame, test: DataFrame, features, params, seed, max_bins) -> float:
-    model = build_pipeline(features, params, seed, max_bins).fit(train)
-    scored = model.transform(test)
-    row = scored.agg(F.avg(F.abs(F.col(PREDICTION) - F.col(LABEL)))).first()
-    return float(row[0]) if row[0] is not None else float("nan")
+def error_curve(
+    train: DataFrame, test: DataFrame, features: Sequence[str], params: Mapping[str, object],
+    seed: int = RANDOM_SEED, max_bins: int = 32,
+) -> list[float]:
+    """Mean absolute error on ``test`` of the first 1, 2, ... trees of one fit.
+
+    Boosting adds trees one after another, so the first k trees of a long fit
+    are the fit of k trees: one fit and one pass over ``test`` score every
+    number of trees up to ``maxIter``."""
+    *prepare, trees = build_pipeline(features, params, seed, max_bins).fit(train).stages
+    for stage in prepare:
+        test = stage.transform(test)
+    return list(trees.evaluateEachIteration(test, "absolute"))
+
+
+def best_count(curves: Sequence[Sequence[float]], least: int) -> tuple[int, float, list[float]]:
+    """(number of trees, mean error, error of each fold) where the mean over the
+    folds is least; the smaller number among equals. No folds: (least, nan, [])."""
+    if not curves:
+        return least, float("nan"), []
+    means = {k: sum(c[k - 1] for c in curves) / len(curves) for k in range(least, min(map(len, curves)) + 1)}
+    k = min(means, key=lambda k: (math.isnan(means[k]), means[k], k))
+    return k, means[k], [c[k - 1] for c in curves]
 
 
 def random_search(
@@ -212,45 +279,58 @@ def random_search(
     max_bins: int = 32,
     parallelism: int = 2,
     features: Sequence[str] | None = None,
+    max_categories: int = MAX_CATEGORIES,
 ) -> tuple[dict[str, dict], DataFrame]:
     """Seeded random search per side, scored by mean MAE over expanding-window
-    folds. Fold frames are persisted once per side and reused by every trial;
-    the two sides, and ``parallelism`` trials within a side, run as concurrent
-    Spark jobs from small driver thread pools.
-
-    Returns (best params per side, one row per side and trial).
+    folds. The fold's test block is the evaluation set: one fit of the most trees
+    in ``space["maxIter"]`` gives the error of every number of trees in that range
+    (:func:`error_curve`), so the number of trees is chosen exactly and isn't
+    drawn. Folded rows are written once per side and read by every trial; the two
+    sides, and ``parallelism`` trials within a side, run as concurrent Spark jobs.
+
+    A fold without training or test rows is left out; a side with no fold left
+    scores NaN and keeps its first draw. Returns (best params per side, one row
+    per side and trial).
     """
     spark = df.sparkSession
     features = list(features) if features else feature_list(df)
+    counts = category_counts(df, features)
+    encoded = sorted(c for c, n in counts.items() if n > max_categories)
+    bins = bins_for({c: n for c, n in counts.items() if c not in encoded}, max_bins)
+    # Earlier rows only, so a fold's test rows never reach its training rows.
+    df = ordered_target_means(df, encoded, LABEL, INSTANT, [SIDE_COL])
+    features = [encoded_name(c) if c in encoded else c for c in features]
     # Written once: both sides' folds sample and read the features, not their plan.
-    prepared = materialize(_prepare(df, features).select("datetime", "row_id", SIDE_COL, LABEL, *[_fcol(c) for c in features]))
+    prepared = materialize(prepare(df, features).select(INSTANT, "row_id", SIDE_COL, LABEL, *[_fcol(c) for c in features]))
     rng = random.Random(seed)
-    trials = [draw_params(rng, space) for _ in range(n_trials)]
-    def search_side(side: str) -> list[tuple[float, list[float]]]:
+    least, most, _ = space.get("maxIter", (20, 20, "int"))
+    trials = [draw_params(rng, {k: v for k, v in space.items() if k != "maxIter"}) for _ in range(n_trials)]
+
+    def search_side(side: str) -> list[tuple[int, float, list[float]]]:
         side_rows = prepared.filter(F.col(SIDE_COL) == F.lit(SIDES[side])).select(
-            "datetime", "row_id", LABEL, *[_fcol(c) for c in features])
-        folded = assign_folds(side_rows, n_splits, groups=[]).persist(StorageLevel.MEMORY_AND_DISK)
+            INSTANT, "row_id", LABEL, *[_fcol(c) for c in features])
+        folded = materialize(assign_folds(side_rows, n_splits, groups=[]))
         frames = [fold_frames(folded, k) for k in range(n_splits)]
-        bins = bins_for(folded, features, max_bins)
+        sizes = folded.agg(*[F.count_if(c) for k in range(n_splits) for c in (
+            F.col("train_from_fold") <= k, F.col("test_fold") == k)]).first()
+        usable = [f for k, f in enumerate(frames) if sizes[2 * k] and sizes[2 * k + 1]]
 
         def score(params):
-            maes = [_fold_mae(tr, te, features, params, seed, bins) for tr, te in frames]
-            return sum(maes) / len(maes), maes
+            longest = {**params, "maxIter": int(most)}
+            return best_count([error_curve(tr, te, features, longest, seed, bins) for tr, te in usable], int(least))
 
-        try:
-            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-                return list(pool.map(score, trials))
-        finally:
-            folded.unpersist()
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            return list(pool.map(score, trials))
 
     # Sides are independent searches: run them concurrently too.
     with ThreadPoolExecutor(max_workers=len(SIDES)) as sides_pool:
         by_side = dict(zip(SIDES, sides_pool.map(search_side, SIDES)))
     rows, best = [], {}
     for side, results in by_side.items():
-        for i, (params, (mean_mae, maes)) in enumerate(zip(trials, results)):
+        chosen = [{**params, "maxIter": count} for params, (count, _, _) in zip(trials, results)]
+        for i, (params, (_, mean_mae, maes)) in enumerate(zip(chosen, results)):
             rows.append((side, i, json.dumps(params, sort_keys=True), float(mean_mae), [float(m) for m in maes]))
-        j = min(range(len(trials)), key=lambda i: (math.isnan(results[i][0]), results[i][0]))
-        best[side] = dict(trials[j])
+        j = min(range(len(trials)), key=lambda i: (math.isnan(results[i][1]), results[i][1]))
+        best[side] = chosen[j]
     table = spark.createDataFrame(rows, "side string, trial int, params string, mean_mae double, fold_mae array<double>")
     return best, table

@@ -471,6 +471,20 @@ from naive where power is not null and target is not null""", [("naive", naive)]
         from (select *, row_number() over (partition by is_consumption order by datetime, row_id) - 1 as pos,
                      count(*) over (partition by is_consumption) as n_rows
               from {src}) a) b"""
+    o["retrain_state"] = o["retrain_features"]
+    day = "cast(datetime as date) = date '2024-01-26'"
+    merged2 = f"""
+  select * replace (
+    case when {day} then power * 2 else power end as power,
+    case when {day} then null else capacity_factor end as capacity_factor,
+    case when {day} and prediction_unit_id % 3 = 0 then null else installed_capacity end as installed_capacity)
+  from merged"""
+    cols, doubles = feature_output_columns(LAGS3)
+    corrected = dict(feature_ctes(LAGS3))
+    corrected["cal"] = corrected["cal"].replace("from merged", "from merged2")
+    o["retrain_state_corrected"] = with_views(["merged"], "select " + ", ".join(r6(c) if c in doubles else c for c in cols)
+        + "\nfrom lagged\nwhere datetime >= timestamp '2024-01-26 00:00:00' and " + " and ".join(
+            f"{c} is not null" for c in [*cols, "power"]), [("merged2", merged2), *corrected.items()])
     o["ts_split"] = with_views(["fact"], """
 select row_id, is_consumption, pos, n_rows, test_fold,
        case when t <= 0 then null when pos < first then 0 when test_fold + 1 < 3 then test_fold + 1 end
@@ -528,6 +542,17 @@ select row_id, datetime, prediction_unit_id, is_consumption, round(power, 6) as
        {', '.join(f"round({_lag('power', n)}, 6) as power_lag_{n}" for n in LAGS3)}
 from with_capacity""")
     o["incremental_replay"] = o["incremental_days"]
+    o["late_corrections"] = with_views(["fact"], f"""
+select row_id, datetime, round(coalesce(({_lag('power', 24)} + {_lag('power', 240)}) / 2, 0.0), 6) as prediction
+from fact
+qualify datetime >= timestamp '2024-01-28 00:00:00'""")
+    o["snapshot_tiers"] = with_views(["client"], f"""
+select date, county, is_business, product_type, round(case
+         when (date - {D0}) // 3 = 8 then installed_capacity * 2
+         when (date - {D0}) // 3 = 6 then (installed_capacity + 1) * 2
+         when (date - {D0}) // 3 < 8 then installed_capacity + 1
+         else installed_capacity end, 6) as installed_capacity
+from client""")
     nulled = [("nulled", "select * replace (case when prediction_unit_id <> 5 then prediction_unit_id end as prediction_unit_id) from with_capacity")]
     o["null_key_folds"] = with_views(["with_capacity"], """
 select row_id, prediction_unit_id, row_number() over (partition by prediction_unit_id order by datetime, row_id) - 1 as pos,
@@ -544,11 +569,26 @@ select row_id, datetime, prediction_unit_id, is_consumption,
        case when datetime >= timestamp '2024-01-28 00:00:00' then 2 else -1 end as v from nulled""", nulled)
     facts = """
 select count(*) as n_rows, count(*) filter (where is_consumption) as n_consumption, cast(sum(row_id) as bigint) as row_id_sum,
-       true as never_negative{more} from fact where datetime >= timestamp '2024-01-29 00:00:00'"""
-    o["gbt_facts"] = with_views(["fact"], facts.format(more=", true as beats_naive"))
-    o["recursive_gbt_facts"] = with_views(["fact"], facts.format(more=""))
-    o["search_facts"] = """
-select side, cast(2 as bigint) as n_trials, 2 as n_folds, true as best_is_least from (values ('consumption'), ('production')) t(side)"""
+       count(*) filter (where power is not null and target is not null) as n_scored,
+       round(avg(abs(target - power)), 6) as naive_mae,
+       true as never_negative{more} from naive where datetime >= timestamp '2024-01-29 00:00:00'"""
+    o["gbt_facts"] = with_views(["with_capacity"], facts.format(more=", true as beats_naive"), [("naive", naive)])
+    o["recursive_gbt_facts"] = with_views(["with_capacity"], facts.format(more=""), [("naive", naive)])
+    cols, _ = feature_output_columns(LAGS3)
+    rows = "\n  select is_consumption, datetime, row_id from lagged where " + " and ".join(
+        f"{c} is not null" for c in [*cols, "power"])
+    ctes = dict(feature_ctes(LAGS3))
+    ctes["cal"] = ctes["cal"].replace("from merged", "from merged where datetime < timestamp '2024-01-29 00:00:00'")
+    o["search_facts"] = with_views(["merged"], """
+select case when is_consumption then 'consumption' else 'production' end as side,
+       count(*) - 2 * (count(*) // 3) as n_train_0, count(*) // 3 as n_test_0,
+       count(*) - count(*) // 3 as n_train_1, count(*) // 3 as n_test_1,
+       true as best_is_least, true as refits_agree
+from kept_rows group by is_consumption""", [*ctes.items(), ("kept_rows", rows)])
+    before = "over (partition by {c} order by hour range between unbounded preceding and interval 1 microsecond preceding)"
+    o["category_means"] = "select event_id, " + ", ".join(
+        f"round((coalesce(sum(value) {w}, 0) + 0.5) / (count(value) {w} + 1), 6) as {c}_mean"
+        for c in ("user_id", "event_type") for w in [before.format(c=c)]) + "\nfrom (select event_id, user_id, event_type, value / 7 as value, date_trunc('hour', ts) as hour from events) e"
     return o
 
 

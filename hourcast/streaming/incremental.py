@@ -19,6 +19,13 @@ checkpoint lie under ``root``, a shared folder, so a restarted query resumes.
 Positional lags need only the last ``max(lags)`` rows of each series: these are
 kept as a table of their own per day, so a day's work grows with the day and the
 number of series, not with the history.
+
+Corrections of any day. A ledger holds a digest of every day as it was revealed:
+its rows and two 64-bit hash sums, which don't depend on the order of the rows.
+:meth:`DailyLoop.correct` compares the fact with it, reveals the days that differ
+again, and redoes the days whose forecasts read them. A day reads another one if,
+for one of that day's series, fewer than ``max(lags)`` later rows stand before it
+(with a ``features`` function, every later day does).
 """
 
 from __future__ import annotations
@@ -30,22 +37,33 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.series import add_positional_lags
+from ..operators.series import add_positional_lags, join_same
 from ..schemas import SERIES_KEYS, lag_name
-from ..session import materialize
 from ..sources.snapshots import read_snapshot, write_snapshot
 
-MANIFEST_SCHEMA = "day string, seq long, reveal string"
+# A day to forecast (null: none), its place, the days whose rows are revealed
+# before it, and the last day whose tail is surely good.
+MANIFEST_SCHEMA = "day string, seq long, reveal string, reveals array<string>, since string"
+LEDGER_SCHEMA = "n long, sum_a decimal(38,0), sum_b decimal(38,0), _day string"
 
 
 def write_manifest(spark: SparkSession, folder: str, day_ids: Sequence[str]) -> None:
     """One small JSON file of all given days. Each record has its place in the
     run (``seq``) and the day whose actuals it reveals (the one before it); the
     order comes from the records, never from file times."""
-    rows = [(day, i, day_ids[i - 1] if i else None) for i, day in enumerate(day_ids)]
+    rows = [(day, i, day_ids[i - 1] if i else None, None, None) for i, day in enumerate(day_ids)]
     spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(folder)
 
 
+def day_digests(df: DataFrame) -> DataFrame:
+    """(n, sum_a, sum_b, _day): the rows of each day and two exact sums of their
+    64-bit hashes over all columns. A null differs from every value."""
+    cols = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in sorted(df.columns) if c != "_day"]
+    total = lambda *seed: F.sum(F.xxhash64(*seed, *cols).cast("decimal(20,0)")).cast("decimal(38,0)")
+    return df.groupBy("_day").agg(F.count(F.lit(1)).alias("n"), total().alias("sum_a"), total(F.lit(1)).alias("sum_b")).select(
+        "n", "sum_a", "sum_b", "_day")
+
+
 def naive_day_ahead(value_col: str = "power", lag: int = 24) -> Callable[[DataFrame], Column]:
     """Stand-in model: the value ``lag`` positions back in the series."""
     return lambda df: F.col(lag_name(value_col, lag))
@@ -83,15 +101,41 @@ class DailyLoop:
         self.lags = list(lags)
         self.model = model or naive_day_ahead(value_col, min(self.lags))
         self.root = root.rstrip("/")
-        self.history, self.output, self.manifest, self.checkpoint, self.sides, self.tails = (
-            f"{self.root}/{part}" for part in ("history", "predictions", "manifest", "checkpoint", "sides", "tails"))
+        self.history, self.output, self.manifest, self.checkpoint, self.sides, self.tails, self.ledger = (
+            f"{self.root}/{part}" for part in ("history", "predictions", "manifest", "checkpoint", "sides", "tails", "ledger"))
         self.features = features
         self.hidden = list(hidden) if hidden is not None else [value_col]
         self.side_tables = side_tables
+        self._gone: list[str] | None = None
 
     def seed_history(self, before_day: str) -> None:
         """History = every fact row before the first replayed day."""
-        self._put(self.fact.filter(F.col("_day") < before_day), self.history)
+        rows = self.fact.filter(F.col("_day") < before_day)
+        self._put(rows, self.history)
+        self._put(day_digests(rows), self.ledger)
+
+    def _reveal(self, days: Sequence[str]) -> None:
+        """The days' rows become history as they are now, and the ledger says so
+        (one row per day). A day without rows is withdrawn."""
+        rows = self.fact.filter(F.col("_day").isin(list(days)))
+        self._put(rows, self.history)
+        found = {r["_day"]: tuple(r) for r in day_digests(rows).collect()}
+        ledger = [found.get(day, (0, None, None, day)) for day in days]
+        self._put(self.spark.createDataFrame(ledger, LEDGER_SCHEMA), self.ledger)
+        self._gone = sorted({*self._withdrawn(), *days} - found.keys())
+
+    def _revealed(self) -> DataFrame:
+        """The ledger: one row per revealed day."""
+        try:
+            return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger)
+        except AnalysisException:  # nothing revealed yet
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+
+    def _withdrawn(self) -> list[str]:
+        """Revealed days that have no rows any more: one name per day, read once."""
+        if self._gone is None:
+            self._gone = [r["_day"] for r in self._revealed().filter("n = 0").select("_day").collect()]
+        return self._gone
 
     def _put(self, df: DataFrame, folder: str) -> None:
         """Replace the day partitions that ``df`` holds."""
@@ -111,20 +155,23 @@ class DailyLoop:
         except AnalysisException:  # nothing written yet
             empty = self.spark.createDataFrame([], self.fact.schema)
             return empty.withColumn("_of", F.col("_day")) if folder == self.tails else empty
-        return df.withColumn("_day", F.col("_day").cast("string"))
+        df = df.withColumn("_day", F.col("_day").cast("string"))
+        gone = self._withdrawn() if folder in (self.history, self.output) else []
+        return df.filter(~F.col("_day").isin(gone)) if gone else df
 
-    def _tail(self, day: str, reveal: str | None) -> DataFrame:
+    def _tail(self, day: str, good: str | None) -> DataFrame:
         """The last ``max(lags)`` rows of each series before ``day``: from an
-        earlier day's tail and the history since, which holds what was revealed
-        or corrected. Written as the tail of ``day``."""
-        since = [d for d in self._days(self.tails) if d < day and (reveal is None or d <= reveal)]
+        earlier day's tail, not after ``good``, and the history since, which holds
+        what was revealed or corrected. Written as the tail of ``day``."""
+        since = [d for d in self._days(self.tails) if d < day and (good is None or d <= good)]
         history = self._read(self.history).filter(F.col("_day") < day)
         if since:
             kept = self._tail_of(since[-1])
             history = kept.unionByName(history.filter(F.col("_day") >= since[-1]))
         newest = Window.partitionBy(*self.keys).orderBy(F.desc(self.ts_col), F.desc("row_id"))
         tail = history.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") <= max(self.lags)).drop("_n")
-        self._put(materialize(tail.withColumn("_of", F.col("_day")).withColumn("_day", F.lit(day))), self.tails)
+        # Only this day's partition is replaced, and no read above is of it.
+        self._put(tail.withColumn("_of", F.col("_day")).withColumn("_day", F.lit(day)), self.tails)
         return self._tail_of(day)
 
     def _tail_of(self, day: str) -> DataFrame:
@@ -132,16 +179,20 @@ class DailyLoop:
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         # The manifest batch holds one control record per day (never data rows).
-        steps = sorted((r["seq"], r["day"], r["reveal"]) for r in batch.collect())
-        for _, day, reveal in steps:
-            done = self._days(self.output)
-            if done and day < done[-1] and day not in done:
-                raise ValueError(f"day {day} comes before {done[-1]}, which is committed")
-            self._one_day(day, reveal)
-
-    def _one_day(self, day: str, reveal: str | None) -> None:
-        if reveal is not None:  # the day's actuals, also if they were corrected since
-            self._put(self.fact.filter(F.col("_day") == reveal), self.history)
+        steps = sorted((r.asDict() for r in batch.collect()), key=lambda r: r["seq"])
+        for step in steps:
+            reveals = [*(step.get("reveals") or []), *([step["reveal"]] if step["reveal"] else [])]
+            day = step["day"]
+            if day is not None:
+                done = self._days(self.output)
+                if done and day < done[-1] and day not in done:
+                    raise ValueError(f"day {day} comes before {done[-1]}, which is committed")
+            if reveals:  # the days' actuals, also if they were corrected since
+                self._reveal(reveals)
+            if day is not None:
+                self._one_day(day, step.get("since") or step["reveal"])
+
+    def _one_day(self, day: str, good: str | None) -> None:
         if self.side_tables is not None:
             number = (dt.date.fromisoformat(day) - dt.date(1970, 1, 1)).days
             write_snapshot(self.side_tables(day), self.sides, number)
@@ -151,7 +202,7 @@ class DailyLoop:
             more = [lambda name: read_snapshot(self.spark, self.sides, name)] if self.side_tables is not None else []
             feats = self.features(history, todo.drop("_day"), *more)
         else:
-            both = self._tail(day, reveal).withColumn("_new", F.lit(False)).unionByName(todo.withColumn("_new", F.lit(True)))
+            both = self._tail(day, good).withColumn("_new", F.lit(False)).unionByName(todo.withColumn("_new", F.lit(True)))
             feats = add_positional_lags(both, [self.value_col], self.lags, self.keys, [self.ts_col, "row_id"]).filter("_new")
         preds = feats.select("row_id", self.ts_col, F.coalesce(self.model(feats), F.lit(0.0)).alias("prediction"), F.lit(day).alias("_day"))
         self._put(preds, self.output)
@@ -159,6 +210,9 @@ class DailyLoop:
     def run(self, days: Sequence[str]) -> DataFrame:
         """Replay ``days`` and return all forecasts, the newest for each day."""
         write_manifest(self.spark, self.manifest, list(days))
+        return self._stream()
+
+    def _stream(self) -> DataFrame:
         stream = self.spark.readStream.schema(MANIFEST_SCHEMA).option("maxFilesPerTrigger", 1).json(self.manifest)
         query = (
             stream.writeStream.foreachBatch(self._process)
@@ -167,7 +221,53 @@ class DailyLoop:
             .start()
         )
         query.awaitTermination()
-        return self.spark.read.parquet(self.output).drop("_day")
+        return self._read(self.output).drop("_day")
+
+    def corrections(self, since: str = "") -> list[str]:
+        """The days, from ``since`` up to the last revealed one, whose rows are not
+        those that were revealed: changed, added or withdrawn. One scan of the
+        fact's days, reduced to a row per day before anything is shuffled."""
+        known = self._revealed().filter(F.col("_day") >= since)
+        last = known.agg(F.max("_day")).scalar()
+        now = day_digests(self.fact.filter((F.col("_day") >= since) & (F.col("_day") <= last)))
+        names = {c: f"_now_{c}" for c in now.columns}
+        both = known.filter("n > 0").join(now.withColumnsRenamed(names), F.col("_day") == F.col("_now__day"), "full")
+        same = F.lit(True)
+        for c in ("n", "sum_a", "sum_b"):
+            same = same & F.col(c).eqNullSafe(F.col(f"_now_{c}"))
+        return sorted(r[0] for r in both.filter(~same).select(F.coalesce("_day", "_now__day")).collect())
+
+    def readers(self, day: str) -> list[str]:
+        """The forecast days whose work read rows of ``day``, or would have read
+        those that it has now; and ``day`` itself, whose rows were forecast."""
+        done = [d for d in self._days(self.output) if d >= day]
+        later = [d for d in done if d > day]
+        if self.features is not None or not later:
+            return done
+        series = self._read(self.history).filter(F.col("_day") == day).select(*self.keys).unionByName(
+            self.fact.filter(F.col("_day") == day).select(*self.keys)).distinct()
+        after = self._read(self.tails).filter((F.col("_day") > day) & (F.col("_of") > day))
+        full = after.groupBy("_day", *self.keys).count().filter(F.col("count") >= max(self.lags))
+        shut = join_same(series, full, self.keys, "inner").groupBy("_day").count()
+        n = series.agg(F.count(F.lit(1))).scalar()
+        free = {r["_day"] for r in shut.filter(F.col("count") == n).select("_day").collect()}
+        return [d for d in done if d not in free]
+
+    def correct(self, since: str = "") -> DataFrame:
+        """Take over all corrections since a day: reveal the days that changed and
+        redo the forecasts that read them, the earliest first, each on the tail of
+        the one before. The first one's tail is built from the latest tail before
+        the changes, or from the whole history if they lie before the first
+        forecast. Returns all forecasts."""
+        changed = self.corrections(since)
+        if not changed:
+            return self._read(self.output).drop("_day")
+        redo = sorted({d for day in changed for d in self.readers(day)})
+        rows = [(None, -1, None, changed, None)]
+        # A tail is good up to the first change; from then on, the one redone before.
+        rows += [(day, i, None, None, redo[i - 1] if i else changed[0]) for i, day in enumerate(redo)]
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(self.manifest)
+        return self._stream()
 
 
 def group_frames(frames: dict[str, DataFrame], group_col: str, group_id, keep_group: bool = False) -> dict[str, DataFrame]:

@@ -96,3 +96,83 @@ def test_stream_with_feature_hook_equals_batch(spark, tmp_out):
         want.update({r["row_id"]: r["p"] for r in feats.select(
             "row_id", F.coalesce(model(feats), F.lit(0.0)).alias("p")).collect()})
     assert len(got) > 0 and got == want
+
+
+def small_fact(spark, seed=1, days=10):
+    """Series with gaps: 6 to 20 rows a day, one series that ends and one that starts late."""
+    import random
+
+    rng, rows = random.Random(seed), []
+    for unit in range(3):
+        for day in range(1, days + 1):
+            if (unit == 1 and day > 6) or (unit == 2 and day < 5):
+                continue
+            for hour in sorted(rng.sample(range(24), rng.randint(6, 20))):
+                rows.append((len(rows), f"2024-02-{day:02d} {hour:02d}:00:00", unit, True, float(rng.randrange(100))))
+    df = spark.createDataFrame(rows, "row_id long, at string, prediction_unit_id int, is_consumption boolean, power double")
+    return df.withColumn("datetime", F.to_timestamp_ntz("at")).drop("at").cache()
+
+
+def test_corrections_redo_the_days_that_read_them(spark, tmp_out, monkeypatch):
+    lags = [3, 40]
+    value = lambda df: F.coalesce("power_lag_3", F.lit(0.0)) + 1000 * F.coalesce("power_lag_40", F.lit(0.0))
+    right = small_fact(spark)
+    days = [f"2024-02-{d:02d}" for d in range(7, 11)]
+    day = F.date_format("datetime", "yyyy-MM-dd")
+
+    def replay(fact, root):
+        loop = DailyLoop(spark, fact, "power", lags=lags, model=value, root=os.path.join(tmp_out, root))
+        loop.seed_history(days[0])
+        return loop, {r["row_id"]: r["prediction"] for r in loop.run(days).collect()}
+
+    def reads(c):  # by the rows: is a row of day c among the last 40 of its series before the day?
+        rows = [(r["prediction_unit_id"], str(r["datetime"])[:10]) for r in right.orderBy("datetime").collect()]
+        out = {c} & set(days)
+        for d in days:
+            for unit in range(3):
+                tail = [x for u, x in rows if u == unit and x < d][-40:]
+                if d > c and c in tail:
+                    out.add(d)
+        return sorted(out)
+
+    _, want = replay(right, "fresh")
+    for k, (name, wrong) in enumerate({
+        "2024-02-05": right.withColumn("power", F.when(day == "2024-02-05", 7.0).otherwise(F.col("power"))),  # changed, in the seed
+        "2024-02-08": right.filter((day != "2024-02-08") | (F.col("row_id") % 2 == 0)),  # rows came late
+    }.items()):
+        loop, first = replay(wrong, f"loop{k}")
+        assert first != want and loop.corrections() == []
+        loop.fact = right.withColumn("_day", day)
+        assert loop.corrections() == [name] and loop.corrections("2024-02-09") == []
+        redone, one_day = [], loop._one_day
+        monkeypatch.setattr(loop, "_one_day", lambda d, good: (redone.append(d), one_day(d, good)))
+        got = {r["row_id"]: r["prediction"] for r in loop.correct().collect()}
+        assert got == want
+        assert redone == reads(name) and loop.corrections() == []
+
+
+def test_a_day_is_withdrawn(spark, tmp_out):
+    right = small_fact(spark)
+    days = [f"2024-02-{d:02d}" for d in range(7, 10)]
+    day = F.date_format("datetime", "yyyy-MM-dd")
+    without = right.filter(day != "2024-02-07")
+    out = {}
+    for name, fact, run in (("whole", right, days), ("without", without, days[1:])):
+        loop = DailyLoop(spark, fact, "power", lags=[5], root=os.path.join(tmp_out, name))
+        loop.seed_history(days[0])
+        out[name] = {r["row_id"]: r["prediction"] for r in loop.run(run).collect()}
+        if name == "whole":
+            first = loop
+    first.fact = without.withColumn("_day", day)
+    assert first.corrections() == ["2024-02-07"]
+    assert {r["row_id"]: r["prediction"] for r in first.correct().collect()} == out["without"]
+
+
+def test_digests_tell_nulls_and_rows_apart(spark):
+    from hourcast.streaming.incremental import day_digests
+
+    one = [("d", 1, None, "x"), ("d", None, 1, "x"), ("d", 1, None, "x")]
+    digest = lambda rows: tuple(day_digests(spark.createDataFrame(rows, "_day string, a int, b int, c string").repartition(2)).first())
+    assert digest(one) == digest(one[::-1])
+    for other in (one[:2], [one[0], one[0], one[1], one[1]], [one[0], one[0], one[0]], [("d", 1, None, "y"), *one[1:]]):
+        assert digest(other) != digest(one)

@@ -2,7 +2,9 @@
 
 A document is the set of its distinct word shingles. Documents of equal sets are
 one class, found by grouping on a 128-bit hash of the set; from there on only
-class representatives are compared. A representative has one MinHash signature;
+class representatives are compared, each a node with a number of its own (texts
+under one doc_id are nodes of their own, linked at once). A representative has
+one MinHash signature;
 each tree of the forest is an order of the signature's values, in which
 representatives are sorted. A region of a tree is a common prefix of
 LEAST_DEPTH values; its order goes on by the values after them.
@@ -170,10 +172,11 @@ def shingle_sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, k: int =
         for batch, texts in text_slices(batches):
             yield with_columns(batch, {"text"}, items=pa.array([shingles(t, k).tobytes() for t in texts], pa.binary()))
 
-    ends = nodes.select("node", F.col("text_hash").alias("_h")).join(wanted.select("node").distinct(), "node")
+    ends = nodes.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).join(wanted.select("node").distinct(), "node")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"), text_of(F.col("text")).alias("text"))
-    texts = rows.join(ends, (F.col("doc_id") == F.col("node")) & (F.col("text_hash") == F.col("_h"))).select("node", "text")
-    return written(texts.mapInArrow(sets, "node long, items binary"))
+    # Repeated rows of a representative have one text: any of them serves.
+    texts = rows.join(ends, (F.col("doc_id") == F.col("_id")) & (F.col("text_hash") == F.col("_h"))).select("node", "text")
+    return written(texts.mapInArrow(sets, "node long, items binary").dropDuplicates(["node"]))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, percent: int, k: int = 5) -> DataFrame:
@@ -278,10 +281,29 @@ def cross_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, docs: D
     held = written(both.groupBy(*keys).applyInPandas(still_open, both.schema))
     if held.isEmpty():
         return labels.sparkSession.createDataFrame([], "a long, b long")
-    full = held.join(shingle_sets(held, docs, nodes, k).dropDuplicates(["node"]), "node")
+    full = held.join(shingle_sets(held, docs, nodes, k), "node")
     return _distinct_pairs(full.groupBy(*keys).applyInPandas(check, "a long, b long"))
 
 
+def number_classes(full: DataFrame) -> DataFrame:
+    """(n_shingles, h1, h2, node, doc_id, text_hash, sig, copies): the classes of
+    equal sets, each with a number and its smallest document; written as a table,
+    so that the numbers stay."""
+    classes = full.groupBy("n_shingles", "h1", "h2").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"), F.max("sig").alias("sig"), F.count("*").alias("copies"))
+    return written(classes.select("n_shingles", "h1", "h2", F.monotonically_increasing_id().alias("node"), F.col("r.doc_id").alias("doc_id"),
+                                  F.col("r.text_hash").alias("text_hash"), "sig", "copies"))
+
+
+def own_links(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): links between the classes that meet under one doc_id, which are one
+    document; each with the first of them. Only ids of several sets are joined."""
+    sets = F.struct("n_shingles", "h1", "h2")
+    several = full.groupBy("doc_id").agg(F.min(sets).alias("x"), F.max(sets).alias("y")).where(F.col("x") != F.col("y")).select("doc_id")
+    met = full.join(several, "doc_id", "left_semi").select("doc_id", "n_shingles", "h1", "h2").distinct()
+    met = written(met.join(classes.select("n_shingles", "h1", "h2", "node"), ["n_shingles", "h1", "h2"]).select("doc_id", "node"))
+    return _distinct_pairs(met.join(met.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b")))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """Component of every document under near-duplicate links.
 
@@ -289,24 +311,24 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
     is at least ``percent`` times that of their union. Returns doc_id, text_hash,
     n_shingles, component_id (the smallest doc_id reachable) and kept, one row
     per input row. Texts without words (null, empty) are linked with nothing. A
-    null doc_id takes no part: its component is null and it is kept. Texts under
-    one doc_id count as one document; repeated rows give repeated results; other
-    columns are ignored."""
+    null doc_id takes no part: its component is null and it is kept. All texts
+    under one doc_id are one document: a link of any of them is the document's.
+    Repeated rows give repeated results; other columns are ignored."""
     spark = docs.sparkSession
     # Room below the threshold for the error of 64 values: over four deviations.
     likely = max(0.0, percent / 100 - 4.2 * (percent / 100 * (1 - percent / 100) / VALUES) ** 0.5)
     rows = written(digests(docs, k))
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = written(full.groupBy("n_shingles", "h1", "h2").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"), F.max("sig").alias("sig"), F.count("*").alias("copies"))
-                      .select("n_shingles", "h1", "h2", F.col("r.doc_id").alias("node"), F.col("r.text_hash").alias("text_hash"), "sig", "copies"))
-    nodes = classes.select("node", "text_hash", "sig", "copies", "n_shingles")
+    classes = number_classes(full)
+    nodes = classes.select("node", "doc_id", "text_hash", "sig", "copies", "n_shingles")
+    own = written(own_links(full, classes))
     members = written(regions(nodes))
     pairs = written(likeness(neighbour_pairs(members), nodes).where(F.col("likely") >= likely))
     # First the likeliest candidate of each, then whatever still joins two components.
     ends = pairs.select(F.col("a").alias("node"), "a", "b", "likely").unionByName(pairs.select(F.col("b").alias("node"), "a", "b", "likely"))
     chosen = ends.groupBy("node").agg(F.max(F.struct("likely", (-F.col("a")).alias("x"), (-F.col("b")).alias("y"))).alias("m"))
     first = written(chosen.select((-F.col("m.x")).alias("a"), (-F.col("m.y")).alias("b")).distinct())
-    links = written(confirmed(first, docs, nodes, percent, k))
+    links = written(confirmed(first, docs, nodes, percent, k).unionByName(own))
     labels = written(connected_components(links))
     la, lb = (labels.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
     open_pairs = pairs.select("a", "b").join(first, ["a", "b"], "left_anti").join(la, "a", "left").join(lb, "b", "left")
@@ -316,7 +338,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
         labels = written(connected_components(links))
     links = written(links.unionByName(cross_links(members, nodes, labels, docs, percent, likely, k)))
     labels = connected_components(links)
-    named = classes.join(labels, "node", "left").select("n_shingles", "h1", "h2", F.coalesce("component", "node").alias("component"))
-    found = rows.join(named, ["n_shingles", "h1", "h2"], "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
+    labelled = written(classes.select("n_shingles", "h1", "h2", "node", "doc_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    # A component is named by its smallest document, which represents its class.
+    least = labelled.groupBy("component").agg(F.min("doc_id").alias("least"))
+    found = rows.join(labelled.join(least, "component").select("n_shingles", "h1", "h2", "least"), ["n_shingles", "h1", "h2"], "left")
+    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("least")).otherwise(F.col("doc_id"))
     return found.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

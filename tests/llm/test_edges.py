@@ -1,5 +1,7 @@
 """Every operator on odd rows and on empty tables."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -97,3 +99,33 @@ def test_classifiers_of_one_label():
     for y in (0, 1):
         model = toxicity.fit(["a b", "c d"], np.array([y, y]))
         assert ((model.scores(["a", ""])[0] >= 0.5) == bool(y)).all()
+
+
+def test_links_of_every_text_under_an_id(spark):
+    """One id with two unlike texts, and near copies of each of them."""
+    words = [[f"{c}{i}" for i in range(60)] for c in "xy"]
+    rows = []
+    for c, base in enumerate(words):
+        rows.append((1, " ".join(base), "en", "s"))
+        for k in range(3):
+            rows.append((10 * (c + 1) + k, " ".join([*base[: 57 - k], *[f"z{c}{k}{i}" for i in range(3 + k)]]), "en", "s"))
+    rows += [(50, "alone " * 9, "en", "s"), (1, " ".join(words[0]), "en", "s"), (2, " ".join(words[1]) + " more", "en", "s")]
+    got = near_duplicates(frame(spark, rows).repartition(4), percent=80).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["component_id"] == (50 if r["doc_id"] == 50 else 1) and r["kept"] == (r["doc_id"] in (1, 50))
+
+
+def test_training_sample_is_bounded(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(4, 0)] * 30 + [(6, 1), (6, 0), (None, 1), (8, None), (90, 7), (91, 1)], "doc_id long, toxic int")
+    rows = [(i, f"text {i}", "en", "s") for i in range(40)] + [(4, f"version {k}", "en", "s") for k in range(300)] + [(6, "conflict", "en", "s"), (None, "none", "en", "s"), (91, "x" * 30_000, "en", "s"), (1, None, "en", "s")]
+    texts, ys = toxicity.training_sample(frame(spark, rows).repartition(3), labels, "toxic", most=15)
+    assert sorted(Counter(ys.tolist()).items()) == [(0, 15), (1, 15)] and len(set(texts)) == 30
+    texts, ys = toxicity.training_sample(frame(spark, rows).repartition(3), labels, "toxic", most=100)
+    # 6 has both labels, 91 is too long, 1 has two texts and teaches with one.
+    assert Counter(ys.tolist()) == {0: 19, 1: 20}
+    assert sum(t.startswith("version") or t == "text 4" for t in texts) == 1 and "conflict" not in texts and "none" not in texts
+    assert ys[texts.index("text 3")] == 1
+    again = toxicity.training_sample(frame(spark, rows[::-1]).repartition(5), labels, "toxic", most=100)
+    assert again[0] == texts and again[1].tolist() == ys.tolist()
+    assert toxicity.training_sample(frame(spark, []), labels, "toxic")[0] == [] == toxicity.training_sample(frame(spark, rows), labels.where("false"), "toxic")[0]

@@ -31,7 +31,7 @@ def crc(doc_id: int, folds: int) -> int:
 # op1, op3
 
 
-@pytest.mark.parametrize("name, label, cut, least", [("op1_toxicity_cnn", "toxic", 0.5, 0.85), ("op3_quality_index", "quality", 0.3, 0.95)])
+@pytest.mark.parametrize("name, label, cut, least", [("op1_toxicity_cnn", "toxic", 0.5, 0.9), ("op3_quality_index", "quality", 0.3, 0.95)])
 def test_classifiers_on_held_out_rows(spark, name, label, cut, least):
     data = DATA.replace("sf0.001", "sf0.1")
     got = Q.QUERIES[name](spark, data).toPandas()
@@ -39,7 +39,9 @@ def test_classifiers_on_held_out_rows(spark, name, label, cut, least):
     assert len(got) == 10_000 and got.score.between(0, 1).all() and (got.predicted == (got.score >= cut)).all()
     assert (got.held_out == [crc(i, 5) == 0 for i in got.doc_id]).all()
     both = got[got.held_out].merge(labels, on="doc_id")
-    assert (both.predicted == both[label]).mean() >= least
+    # Each label's own share of right answers: a constant answer has 0.5 on average.
+    shares = [(both[both[label] == y].predicted == y).mean() for y in (0, 1)]
+    assert sum(shares) / 2 >= least
 
 
 # op2

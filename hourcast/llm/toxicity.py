@@ -229,15 +229,24 @@ def calibrate(model: ToxicityModel, texts: list[str], labels: np.ndarray) -> Non
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int = 3000, longest: int = 20_000) -> tuple[list[str], np.ndarray]:
     """Up to ``most`` labelled texts of each label, none longer than ``longest``
-    characters: the bound of what the driver holds. Which ones: the smallest by
-    a hash of the id. ``labels`` has the rows that may teach (doc_id and label)."""
+    characters: the bound of what the driver holds. ``labels`` has the rows that
+    may teach (doc_id and label).
+
+    A document is an id: repeated labels count once, an id with both labels
+    teaches nothing, and of several texts under an id the one with the smallest
+    hash teaches. Which ids: the smallest by a hash of the id. Null ids, and
+    labels other than 0 and 1, teach nothing."""
     spread = F.xxhash64("doc_id", F.lit("sample"))
-    wanted = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("_label"))
-    picks = [wanted.where(F.col("_label") == y).withColumnRenamed("_id", "doc_id").withColumn("_spread", spread).orderBy("_spread", "doc_id").limit(most) for y in (0, 1)]
+    wanted = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+        F.min(F.col(label).cast("int")).alias("_label"), F.max(F.col(label).cast("int")).alias("_other"))
+    wanted = wanted.where(F.col("_label") == F.col("_other"))
+    picks = [wanted.where(F.col("_label") == y).withColumn("_spread", spread).orderBy("_spread", "doc_id").limit(most) for y in (0, 1)]
     # At most 2 x ``most`` rows of two numbers.
     chosen = F.broadcast(picks[0].unionByName(picks[1]).select(F.col("doc_id").alias("_id"), "_label"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).where(F.length("text") <= longest)
-    found = rows.join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "_label", "text").toArrow().to_pylist()
+    # One text for each id, chosen before anything leaves the tasks.
+    texts = rows.join(chosen, F.col("doc_id") == F.col("_id")).groupBy("doc_id", "_label").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    found = texts.toArrow().to_pylist()
     found.sort(key=lambda r: (r["doc_id"], r["_label"], r["text"]))
     return [r["text"] for r in found], np.array([r["_label"] for r in found], np.int64)
 

@@ -3,7 +3,8 @@
 Strictness comes from ANSI mode: a value that does not fit the declared type
 (text ``xx`` as a timestamp, county 300 as a byte) raises at run time instead
 of turning into null. ``lenient=True`` uses ``try_cast`` / ``try_to_timestamp``
-for a quarantine path that keeps bad values as null.
+and keeps bad values as null. :func:`conform_or_reject` sets whole rows aside,
+with the reasons.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructType, TimestampNTZType
 
 from ..schemas import DATE_FORMAT, TIMESTAMP_FORMAT
+from ..session import materialize
 
 # Columns whose text holds a date although the declared type is a timestamp.
 DATE_TEXT_COLUMNS: dict[str, dict[str, str]] = {"gas": {"forecast_date": DATE_FORMAT}}
@@ -86,6 +88,60 @@ def conform(
     )
 
 
+CORRUPT_COL = "_corrupt_record"
+MALFORMED = "malformed record"
+REASONS_COL = "_reasons"
+
+
+def reject_reasons(
+    df: DataFrame, schema: StructType, formats: Mapping[str, str] | None = None, required: Iterable[str] = (),
+) -> Column:
+    """Why a row can't be conformed, as an array of texts in schema order (empty
+    for a good row): a malformed record (``CORRUPT_COL`` of the reader, the only
+    reason then), a value that doesn't fit its declared type, a missing value in
+    a ``required`` column."""
+    formats, required = dict(formats or {}), set(required)
+    source = {f.name: f.dataType for f in df.schema.fields}
+    reasons = []
+    for f in schema.fields:
+        raw = F.col(f"`{f.name}`")
+        if isinstance(source[f.name], StringType):
+            raw = F.nullif(raw, F.lit(""))
+        fitted = _conform_column(source[f.name], f.name, f.dataType, formats, True)
+        reasons.append(F.when(raw.isNotNull() & fitted.isNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}")))
+        if f.name in required:
+            reasons.append(F.when(raw.isNull(), F.lit(f"{f.name}: missing")))
+    found = F.array_compact(F.array(*reasons))
+    if CORRUPT_COL in source:
+        found = F.when(F.col(CORRUPT_COL).isNotNull(), F.array(F.lit(MALFORMED))).otherwise(found)
+    return found
+
+
+def conform_or_reject(
+    df: DataFrame,
+    schema: StructType,
+    formats: Mapping[str, str] | None = None,
+    renames: Mapping[str, str] | None = None,
+    required: Iterable[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): every row of ``df`` is in one of the two.
+
+    Good rows are conformed as :func:`conform` would; rejected rows keep their raw
+    columns and have ``REASONS_COL``. The source is read once: rows, cast values
+    and reasons are written as a table partitioned by the verdict, and each side
+    reads its own partition.
+    """
+    if renames:
+        df = df.withColumnsRenamed(dict(renames))
+    require_columns(df, schema.names)
+    source = {f.name: f.dataType for f in df.schema.fields}
+    cast = F.struct(*[_conform_column(source[f.name], f.name, f.dataType, dict(formats or {}), True).alias(f.name) for f in schema.fields])
+    judged = df.withColumns({"_cast": cast, REASONS_COL: reject_reasons(df, schema, formats, required)})
+    judged = materialize(judged.withColumn("_good", F.size(REASONS_COL) == 0), partition_by=["_good"])
+    good = judged.filter(F.col("_good")).select("_cast.*")
+    return good, judged.filter(~F.col("_good")).drop("_cast", "_good")
+
+
 def conform_table(df: DataFrame, table: str, schema: StructType, lenient: bool = False) -> DataFrame:
     return conform(df, schema, formats=DATE_TEXT_COLUMNS.get(table), lenient=lenient)
 

@@ -4,7 +4,8 @@ Join strategy. Every join here is a left equi-join of the large fact with a
 table keyed by time (and county). Those tables grow with the time span, not
 with the fact. ``star_merge`` writes each of them once, and Spark plans the join
 from the written size: a table under the session's broadcast threshold is
-broadcast, a larger one is a shuffle join. No join is hinted.
+broadcast, a larger one is a shuffle join. Only the filled weather is hinted, and
+only after its written input was found below that threshold.
 
 Weather is aggregated to (county, datetime) *before* the join, so the fact
 never meets the raw per-grid-point rows.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from ..schemas import (
     MERGED_COLUMNS,
     WEATHER_JOIN_KEYS,
 )
-from ..session import materialize
+from ..session import fits_broadcast, materialize
 from .series import join_same
 
 
@@ -144,8 +146,10 @@ def join_weather_with_median_fill(
     those counts (a partial aggregate); the weather is joined to that small
     table, the median is a percentile weighted by the counts, and one join brings
     the filled values to the fact, which is read once more but never sorted or
-    shuffled by instant. With ``materialize_medians`` the filled table is written
-    once, so that Spark picks the last join from its real size.
+    shuffled by instant. With ``materialize_medians`` the small joined table, which
+    the medians and the fill both read, is written once; the filled rows are as
+    many, so they are broadcast if that table's size is below Spark's threshold,
+    and otherwise joined as Spark plans it.
     """
     tables = [(weather, list(cols or []))] if isinstance(weather, DataFrame) else [(w, list(c)) for w, c in weather]
     places = list(dict.fromkeys([*keys, by]))
@@ -154,11 +158,13 @@ def join_weather_with_median_fill(
     for w, wcols in tables:
         joined = joined.join(w.select(*keys, *wcols), list(keys), "left")
         all_cols += wcols
+    if materialize_medians:
+        joined = materialize(joined)
     medians = joined.groupBy(by).agg(*[F.percentile(c, 0.5, F.col("_rows")).alias(f"_med_{c}") for c in all_cols])
     filled = join_same(joined, medians, [by])
     filled = filled.select(*places, *[F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) for c in all_cols])
-    if materialize_medians:
-        filled = materialize(filled)
+    if materialize_medians and fits_broadcast(joined):
+        filled = F.broadcast(filled)
     return join_same(fact, filled, places)
 
 
@@ -175,10 +181,10 @@ def star_merge(
 ) -> DataFrame:
     """The 27-column merged frame: fact + capacity + prices + weather + capacity factor.
 
-    ``materialize_dims`` writes the five tables the fact is joined with
-    (daily capacity, hourly electricity and gas prices, forecast and observed
-    weather per county) once, as concurrent jobs. Spark plans each join from the
-    written table's real size: a small one is broadcast, a large one is shuffled.
+    ``materialize_dims`` writes the tables the fact is joined with (daily
+    capacity, hourly electricity and gas prices, and both weathers at the fact's
+    places) once, as concurrent jobs. Spark plans each join from the written
+    table's real size: a small one is broadcast, a large one is shuffled.
     ``check_unique`` refuses any of the five with a repeated key, which would
     multiply fact rows.
     """
@@ -189,19 +195,23 @@ def star_merge(
     gas = gas_hourly(tables["gas"])
     fw = forecast_weather_by_county(tables["forecast_weather"], tables["mapping"], compat_cloud=compat_cloud)
     hw = observed_weather_by_county(tables["historical_weather"], tables["mapping"])
-    if materialize_dims:
-        # Independent small jobs: run them concurrently from driver threads.
-        with ThreadPoolExecutor(max_workers=5) as pool:
-            client, electricity, gas, fw, hw = pool.map(
-                materialize, (client, electricity, gas, fw, hw))
+    # Fill values depend only on the joined rows at each instant, so both weather
+    # tables share one median aggregate.
+    weather = partial(join_weather_with_median_fill, weather=[(fw, FW_OUTPUT), (hw, HW_AGGREGATED)])
     if check_unique:
         for table, keys in ((client, CLIENT_JOIN_KEYS), (fw, WEATHER_JOIN_KEYS), (hw, WEATHER_JOIN_KEYS)):
             assert_unique(table, keys)
-    df = join_capacity(fact, client)
+    df = fact
+    if materialize_dims:
+        # Independent small jobs: run them concurrently from driver threads.
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            joined = pool.submit(weather, fact)
+            client, electricity, gas = pool.map(materialize, (client, electricity, gas))
+            df = joined.result()
+    df = join_capacity(df, client)
     df = join_price(df, electricity, "datetime", "electricity_price", "electricity_price", check_unique=check_unique)
     df = join_price(df, gas, "datetime", "gas_price", "gas_price", check_unique=check_unique)
-    # Fill values depend only on the joined rows at each instant, so both weather
-    # tables share one median aggregate.
-    df = join_weather_with_median_fill(df, [(fw, FW_OUTPUT), (hw, HW_AGGREGATED)])
+    if not materialize_dims:
+        df = weather(df, materialize_medians=False)
     df = df.withColumn("capacity_factor", safe_divide("power", "installed_capacity"))
     return df.select(*MERGED_COLUMNS)

@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import calendar as cal
 from ..functions.scalar import add_hours, epoch_to_timestamp, timestamp_to_epoch
-from ..operators.conform import conform, union_aligned
+from ..operators.conform import CORRUPT_COL, REASONS_COL, conform, conform_or_reject, union_aligned
 from ..operators.enrich import (
     forecast_weather_by_county,
     gas_hourly,
@@ -46,6 +46,7 @@ from ..operators.series import (
     upsert,
     upsert_unique_history,
 )
+from ..operators.runlog import RunLog, StreamLog
 from ..operators.evaluate import cv_summary, fold_scores, mae, numeric_params
 from ..operators.split import assign_folds, fold_frames
 from ..operators.encode import ordered_target_means
@@ -64,7 +65,7 @@ from ..schemas import (
 )
 from ..session import materialize, scratch_path
 from ..sources import analog
-from ..sources.files import county_names, source_audit
+from ..sources.files import county_names, read_csv_to_judge, source_audit, write_bucketed
 from ..sources.snapshots import read_snapshot, write_snapshot
 
 # Lags that fit the 30-day driver data (720 h would leave no row).
@@ -130,6 +131,39 @@ def conform_orders(spark, sf):
     return round_doubles(conform(derived, ORDERS_AS_CLIENT))
 
 
+def _orders_as_csv(spark, sf) -> DataFrame:
+    """The orders written as CSV lines and read again: some with an unknown time,
+    a county that doesn't fit, a flag that is none, no capacity, no date, or a
+    field too many."""
+    o = analog.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    odd = lambda n, bad, good: F.when(k % n == 0, F.lit(bad)).otherwise(good.cast("string"))
+    fields = [
+        k.cast("string"), odd(7, "xx", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")),
+        odd(19, "", F.date_format("o_orderdate", "yyyy-MM-dd")), odd(11, "300", F.col("o_custkey") % 16),
+        odd(17, "maybe", F.col("o_orderstatus") == "F"), (F.col("o_custkey") % 4).cast("string"), odd(5, "", F.col("o_totalprice")),
+        F.when(k % 13 == 0, F.lit("more")),
+    ]
+    path = scratch_path(spark, "csv", uuid.uuid4().hex)
+    lines = o.select(F.concat_ws(",", *fields).alias("line"))
+    lines.write.text(path)
+    return read_csv_to_judge(spark, path, ORDERS_AS_CLIENT, header="false")
+
+
+def _judged(spark, sf) -> tuple[DataFrame, DataFrame]:
+    return conform_or_reject(_orders_as_csv(spark, sf), ORDERS_AS_CLIENT, required=["row_id", "date"])
+
+
+def csv_conformed(spark, sf):
+    return round_doubles(_judged(spark, sf)[0])
+
+
+def csv_rejected(spark, sf):
+    rejected = _judged(spark, sf)[1]
+    line = F.substring_index(F.col(CORRUPT_COL), ",", 1)
+    return rejected.select(F.coalesce(line, F.col("row_id")).cast("long").alias("row_id"), F.array_join(REASONS_COL, "; ").alias("reasons"))
+
+
 PARSED = make_schema(
     ("row_id", SCHEMAS["power"]["row_id"].dataType),
     ("datetime", SCHEMAS["power"]["datetime"].dataType),
@@ -303,6 +337,26 @@ def time_lag(spark, sf):
     return round_doubles(add_time_lags(df, ["power"], DRIVER_LAGS))
 
 
+def bucketed_lags(spark, sf):
+    """The lags of ``lag_by_join`` over the fact bucketed by series: no exchange."""
+    df = _with_capacity(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "power")
+    name = f"fact_{uuid.uuid4().hex}"
+    fact = write_bucketed(df, name, scratch_path(spark, "bucketed", name), SERIES_KEYS, ["datetime", "row_id"], 8)
+    return round_doubles(add_positional_lags(fact, ["power"], DRIVER_LAGS, order=["datetime", "row_id"]))
+
+
+def lags_by_user(spark, sf):
+    """Lags and fills over a fact whose series grow with the data: one for each
+    user and kind of use, hours without an event missing."""
+    ev = analog.table(spark, sf, "events")
+    fact = ev.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp_ntz")).cast("timestamp_ntz").alias("datetime"),
+                      F.col("user_id").alias("prediction_unit_id"), F.col("event_type").isin("click", "view", "signup").alias("is_consumption"),
+                      ).agg(F.min("event_id").alias("row_id"), F.max("value").alias("power"))
+    known = fact.withColumn("power", F.when(F.col("power") < 150, F.col("power")))
+    filled = forward_fill(known, ["power"], order=["datetime", "row_id"])
+    return round_doubles(add_positional_lags(filled, ["power"], [1, 2, 24], order=["datetime", "row_id"]))
+
+
 def current_or_lag(spark, sf):
     df = _with_capacity(spark, sf).select("row_id", "datetime", *SERIES_KEYS, "capacity_factor")
     df = add_positional_lags(df, ["capacity_factor"], [12, 24], mode="current_or_lag")
@@ -528,6 +582,26 @@ def late_corrections(spark, sf):
     return round_doubles(loop.correct().select("row_id", "datetime", "prediction"))
 
 
+def run_log(spark, sf):
+    """What the log of a run knows afterwards: rows and unknown values of the
+    merged frame and of its features, and of each replayed day."""
+    log = RunLog(spark, scratch_path(spark, "runs", uuid.uuid4().hex), "run")
+    merged = log.stage("merged", star_merge(_tables(spark, sf)), ["power", "installed_capacity"])
+    log.stage("features", build_features(merged, "train", lags=DRIVER_LAGS), ["capacity_factor"])
+    loop, days = _loop(spark, sf)
+    loop.log = log
+    loop.seed_history(FIRST_LIVE_DAY)
+    progress = StreamLog(log)
+    spark.streams.addListener(progress)
+    try:
+        loop.run(days[:2])
+    finally:
+        progress.flush()
+        spark.streams.removeListener(progress)
+    known = log.read().filter(~F.col("metric").isin("seconds", "milliseconds"))
+    return known.select("stage", "step", "metric", "value")
+
+
 def snapshot_tiers(spark, sf):
     """The newest capacities after ten batches of three days in tiers of three:
     each batch sends its days and, one higher, those of two batches before; then
@@ -641,8 +715,8 @@ def category_means(spark, sf):
     """Time-ordered target means of categories of any number: the events' users
     and kinds, each row seeing earlier instants only."""
     ev = analog.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    # Sevenths: no mean lies halfway between two rounded values.
-    hour = ev.withColumn("value", F.col("value") / 7).withColumn("hour", F.date_trunc("hour", F.col("ts").cast("timestamp_ntz")).cast("timestamp_ntz"))
+    # In a unit that leaves no mean halfway between two rounded values.
+    hour = ev.withColumn("value", F.col("value") / 79.19).withColumn("hour", F.date_trunc("hour", F.col("ts").cast("timestamp_ntz")).cast("timestamp_ntz"))
     out = ordered_target_means(hour, ["user_id", "event_type"], "value", "hour")
     return round_doubles(out.select("event_id", "user_id_mean", "event_type_mean"))
 
@@ -684,6 +758,8 @@ def upsert_null_keys(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_orders": conform_orders,
     "parse_ts_text": parse_ts_text,
+    "csv_conformed": csv_conformed,
+    "csv_rejected": csv_rejected,
     "epoch_to_ts": epoch_to_ts,
     "align_union": align_union,
     "horizon_filter": horizon_filter,
@@ -706,6 +782,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lag_features": lag_features,
     "time_lag": time_lag,
     "current_or_lag": current_or_lag,
+    "bucketed_lags": bucketed_lags,
+    "lags_by_user": lags_by_user,
     "ffill_series": ffill_series,
     "ffill_global": ffill_global,
     "star_merge": star_merge_q,
@@ -732,6 +810,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_replay": incremental_replay,
     "late_corrections": late_corrections,
     "snapshot_tiers": snapshot_tiers,
+    "run_log": run_log,
     "null_key_folds": null_key_folds,
     "null_key_lags": null_key_lags,
     "null_key_fill": null_key_fill,

@@ -192,7 +192,8 @@ class SideModels:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Input rows with a ``_pred`` column (capacity factor)."""
+        """Input rows with a ``_pred`` column (capacity factor), null for a row
+        without a side."""
         if set(self.models) != set(SIDES):
             raise RuntimeError("fit() or load() the models first")
         if not self.features:
@@ -203,14 +204,20 @@ class SideModels:
             raise ValueError(f"Missing feature columns: {', '.join(missing)}")
         if self.encoded:
             df = apply_target_means(df, self.sums, self.encoded, [SIDE_COL])
-        prepared = prepare(df, self._inputs()).drop(*[encoded_name(c) for c in self.encoded])
-        outs = []
+        out = prepare(df, self._inputs()).drop(*[encoded_name(c) for c in self.encoded])
+        # Both sides' trees over one plan: the rows are read once and stay in
+        # their partitions, which a union of two filtered plans wouldn't allow.
+        names = {side: f"_pred_{side}" for side in SIDES}
+        for side, model in self.models.items():
+            if model is None:
+                out = out.withColumn(names[side], F.lit(None).cast("double"))
+            else:
+                scored = model.transform(out).withColumnRenamed(PREDICTION, names[side])
+                out = scored.drop(*[c for c in scored.columns if c.startswith("_ix_") or c == "_features"])
+        chosen = F.lit(None).cast("double")
         for side, flag in SIDES.items():
-            part = prepared.filter(F.col(SIDE_COL) == F.lit(flag))
-            model = self.models[side]
-            scored = part.withColumn(PREDICTION, F.lit(None).cast("double")) if model is None else model.transform(part)
-            outs.append(_drop_model_columns(scored))
-        return outs[0].unionByName(outs[1])
+            chosen = F.when(F.col(SIDE_COL) == F.lit(flag), F.col(names[side])).otherwise(chosen)
+        return _drop_model_columns(out.withColumn(PREDICTION, chosen).drop(*names.values()))
 
     def save(self, path: str) -> str:
         if set(self.models) != set(SIDES):

@@ -352,6 +352,22 @@ select o_orderkey as row_id,
        cast(strptime(strftime(o_orderdate, '%Y-%m-%d'), '%Y-%m-%d') as date) as date,
        cast(cast(o_orderdate as date) as timestamp) as day_start
 from orders"""
+    o["csv_conformed"] = """
+select o_orderkey as row_id, o_orderdate as datetime, cast(o_orderdate as date) as date,
+       cast(o_custkey % 16 as tinyint) as county, o_orderstatus = 'F' as is_business,
+       cast(o_custkey % 4 as tinyint) as product_type,
+       case when o_orderkey % 5 <> 0 then round(o_totalprice, 6) end as installed_capacity
+from orders
+where o_orderkey % 7 <> 0 and o_orderkey % 19 <> 0 and o_orderkey % 11 <> 0 and o_orderkey % 17 <> 0 and o_orderkey % 13 <> 0"""
+    o["csv_rejected"] = """
+select row_id, reasons from (
+  select o_orderkey as row_id, case when o_orderkey % 13 = 0 then 'malformed record' else concat_ws('; ',
+         case when o_orderkey % 7 = 0 then 'datetime: not a timestamp_ntz' end,
+         case when o_orderkey % 19 = 0 then 'date: missing' end,
+         case when o_orderkey % 11 = 0 then 'county: not a tinyint' end,
+         case when o_orderkey % 17 = 0 then 'is_business: not a boolean' end) end as reasons
+  from orders) r
+where reasons <> ''"""
     o["epoch_to_ts"] = """
 select event_id, epoch_us(ts) as epoch_us,
        make_timestamp(epoch_us(ts)) as ts_from_ns,
@@ -541,11 +557,32 @@ qualify datetime >= timestamp '2024-01-28 00:00:00'""")
 select row_id, datetime, prediction_unit_id, is_consumption, round(power, 6) as power,
        {', '.join(f"round({_lag('power', n)}, 6) as power_lag_{n}" for n in LAGS3)}
 from with_capacity""")
+    o["lags_by_user"] = f"""
+with f as (
+  select date_trunc('hour', ts) as datetime, user_id as prediction_unit_id, event_type in ('click', 'view', 'signup') as is_consumption,
+         min(event_id) as row_id, max(value) as power from events group by 1, 2, 3),
+g as (
+  select * replace (last_value(case when power < 150 then power end ignore nulls) over (
+           {SERIES_W} rows between unbounded preceding and current row) as power) from f)
+select datetime, prediction_unit_id, is_consumption, row_id, round(power, 6) as power,
+       {', '.join(f"round({_lag('power', n)}, 6) as power_lag_{n}" for n in (1, 2, 24))} from g"""
+    o["bucketed_lags"] = o["lag_by_join"]
     o["incremental_replay"] = o["incremental_days"]
     o["late_corrections"] = with_views(["fact"], f"""
 select row_id, datetime, round(coalesce(({_lag('power', 24)} + {_lag('power', 240)}) / 2, 0.0), 6) as prediction
 from fact
 qualify datetime >= timestamp '2024-01-28 00:00:00'""")
+    days = ["2024-01-28", "2024-01-29"]
+    logged = ["select 'merged' as stage, 'merged' as step, 'rows' as metric, cast(count(*) as double) as value from merged"]
+    logged += [f"select 'merged', 'merged', 'nulls.{c}', cast(count(*) filter (where {c} is null) as double) from merged" for c in ("power", "installed_capacity")]
+    cols, _ = feature_output_columns(LAGS3)
+    logged += ["select 'features', 'features', 'rows', cast(count(*) as double) from lagged where " + " and ".join(f"{c} is not null" for c in [*cols, "power"]),
+               "select 'features', 'features', 'nulls.capacity_factor', 0.0",
+               "select 'stream', 'batch 0', 'input_rows', 2.0"]
+    logged += [f"select '{d}', 'forecasts', '{m}', {v} from fact where cast(datetime as date) = date '{d}'" for d in days
+               for m, v in (("rows", "cast(count(*) as double)"), ("nulls.prediction", "0.0 * count(*)"))]
+    logged += [f"select 'revealed {days[0]}', 'rows', 'rows', cast(count(*) as double) from fact where cast(datetime as date) = date '{days[0]}'"]
+    o["run_log"] = with_views(["merged", "fact"], "\nunion all\n".join(logged), feature_ctes(LAGS3))
     o["snapshot_tiers"] = with_views(["client"], f"""
 select date, county, is_business, product_type, round(case
          when (date - {D0}) // 3 = 8 then installed_capacity * 2
@@ -588,7 +625,7 @@ from kept_rows group by is_consumption""", [*ctes.items(), ("kept_rows", rows)])
     before = "over (partition by {c} order by hour range between unbounded preceding and interval 1 microsecond preceding)"
     o["category_means"] = "select event_id, " + ", ".join(
         f"round((coalesce(sum(value) {w}, 0) + 0.5) / (count(value) {w} + 1), 6) as {c}_mean"
-        for c in ("user_id", "event_type") for w in [before.format(c=c)]) + "\nfrom (select event_id, user_id, event_type, value / 7 as value, date_trunc('hour', ts) as hour from events) e"
+        for c in ("user_id", "event_type") for w in [before.format(c=c)]) + "\nfrom (select event_id, user_id, event_type, value / 79.19 as value, date_trunc('hour', ts) as hour from events) e"
     return o
 
 

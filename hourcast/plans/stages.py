@@ -8,10 +8,11 @@ training path. ``run_*`` are the four stage entry points as plain functions.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.conform import conform_table
 from ..operators.enrich import star_merge
@@ -20,23 +21,63 @@ from .features import build_features
 from .model import SideModels, random_search
 
 
-class FeatureStage(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Merged frame -> feature frame for one mode. A history is passed in code and
-    isn't saved with the stage; set it again after loading."""
+class _FeatureStageWriter(MLWriter):
+    """Parameters, and the history as a Parquet table of the stage, if it has one."""
+
+    def __init__(self, instance: FeatureStage):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        history = self.instance.history
+        if history is not None and not self.instance.getOrDefault(self.instance.historyPath):
+            history.write.mode("overwrite").parquet(f"{path}/history")
+
+
+class _FeatureStageReader(MLReader):
+    def load(self, path: str) -> FeatureStage:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        stage = FeatureStage()._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(stage, metadata)
+        where = stage.getOrDefault(stage.historyPath)
+        try:
+            stage.history = self.sparkSession.read.parquet(where or f"{path}/history")
+        except AnalysisException:  # saved without a history
+            if where:
+                raise
+        return stage
+
+
+class FeatureStage(Transformer, MLReadable, MLWritable):
+    """Merged frame -> feature frame for one mode. ``history`` is the merged rows
+    before the frame (modes ``retrain`` and ``test``): a DataFrame is saved with
+    the stage as a table; ``history_path`` names a stored table, of which the
+    stage saves the name only and reads what it holds when the stage is loaded."""
 
     mode = Param(Params._dummy(), "mode", "train, retrain or test", TypeConverters.toString)
     lags = Param(Params._dummy(), "lags", "lag periods in hours", TypeConverters.toListInt)
+    historyPath = Param(Params._dummy(), "historyPath", "folder of a stored history", TypeConverters.toString)  # noqa: N815 - a Spark ML param
 
-    def __init__(self, mode: str = "train", lags=None, history: DataFrame | None = None):
+    def __init__(self, mode: str = "train", lags=None, history: DataFrame | None = None, history_path: str = ""):
         super().__init__()
-        self._setDefault(mode="train", lags=list(DEFAULT_LAGS))
-        self._set(mode=check_mode(mode), lags=list(lags or DEFAULT_LAGS))
+        self._setDefault(mode="train", lags=list(DEFAULT_LAGS), historyPath="")
+        self._set(mode=check_mode(mode), lags=list(lags or DEFAULT_LAGS), historyPath=history_path)
+        if history is None and history_path:
+            history = SparkSession.getActiveSession().read.parquet(history_path)
         self.history = history
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return build_features(dataset, self.getOrDefault(self.mode), history=self.history,
                               lags=self.getOrDefault(self.lags))
 
+    def write(self) -> MLWriter:
+        return _FeatureStageWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _FeatureStageReader()
+
 
 class _SideModelsWriter(MLWriter):
     def __init__(self, instance: SideModelsModel):

@@ -87,12 +87,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "hourcast", *parts])
 
 
-def materialize(df):
+def materialize(df, partition_by=()):
     """Write ``df`` once as Parquet in the shared checkpoint folder and continue
     from the written table. The lineage is cut, the files survive the loss of
     an executor, and later steps still prune columns and push filters into the
     scan. Use it for a stage output that later steps read several times."""
     spark = df.sparkSession
     path = scratch_path(spark, uuid.uuid4().hex)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fits_broadcast(written) -> bool:
+    """Whether a written table is below the session's broadcast threshold, by the
+    size of its files (the rule Spark itself applies to a scan)."""
+    limit = written.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit

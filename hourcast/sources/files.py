@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators.conform import CORRUPT_COL
 from ..schemas import COUNTY_NAMES, SCHEMAS
 
 # Source file of each table in a raw data folder.
@@ -40,6 +41,14 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, *
     return reader.csv(path)
 
 
+def read_csv_to_judge(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
+    """Headered CSV with every column as text, and the whole line in
+    ``CORRUPT_COL`` where its number of fields is wrong: the input of
+    :func:`hourcast.operators.conform.conform_or_reject`."""
+    wide = text_schema(schema).add(StructField(CORRUPT_COL, StringType(), True))
+    return read_csv(spark, path, wide, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT_COL, **options)
+
+
 def load_raw_tables(
     spark: SparkSession, data_dir: str, as_text: bool = True, files: Mapping[str, str] = RAW_FILES
 ) -> dict[str, DataFrame]:
@@ -66,6 +75,22 @@ def write_parquet(df: DataFrame, path: str, partition_by: Iterable[str] = (), mo
     w.parquet(path)
 
 
+def write_bucketed(
+    df: DataFrame, table: str, path: str, keys: Iterable[str], order: Iterable[str], buckets: int
+) -> DataFrame:
+    """Write ``df`` as the table ``table``, bucketed by ``keys`` and sorted by
+    ``order`` inside the buckets, under ``path`` (a shared folder), and read it.
+
+    Windows and aggregates over the keys, or over more columns than the keys,
+    then need no exchange: rows of a series lie in one bucket. Each bucket is
+    written by one task, so there is one file per bucket."""
+    keys = list(keys)
+    # The hash and the number are those of the buckets: one file each.
+    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys, *order)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*order).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "true").csv(path)
 

@@ -37,6 +37,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.runlog import RunLog, observed
 from ..operators.series import add_positional_lags, join_same
 from ..schemas import SERIES_KEYS, lag_name
 from ..sources.snapshots import read_snapshot, write_snapshot
@@ -86,6 +87,7 @@ class DailyLoop:
         features: Callable[..., DataFrame] | None = None,
         hidden: Sequence[str] | None = None,
         side_tables: Callable[[str], Mapping[str, DataFrame]] | None = None,
+        log: RunLog | None = None,
     ):
         """``root`` is a folder that the driver and all executors share.
         ``features(history, day_rows)`` builds the rows to score (e.g. test-mode
@@ -94,7 +96,8 @@ class DailyLoop:
         table) it is called as ``features(history, day_rows, tables)``, where
         ``tables(name)`` reads the newest version of every key so far.
         ``hidden`` columns are unknown for the day's rows and set to null
-        (default: the value)."""
+        (default: the value). With ``log`` every day's revealed rows and forecasts
+        are counted as they are written, in a stage named by the day."""
         self.spark = spark
         self.fact = fact if "_day" in fact.columns else fact.withColumn("_day", F.date_format(F.col(ts_col), "yyyy-MM-dd"))
         self.value_col, self.ts_col, self.keys = value_col, ts_col, list(keys)
@@ -107,6 +110,7 @@ class DailyLoop:
         self.hidden = list(hidden) if hidden is not None else [value_col]
         self.side_tables = side_tables
         self._gone: list[str] | None = None
+        self.log = log
 
     def seed_history(self, before_day: str) -> None:
         """History = every fact row before the first replayed day."""
@@ -123,6 +127,9 @@ class DailyLoop:
         ledger = [found.get(day, (0, None, None, day)) for day in days]
         self._put(self.spark.createDataFrame(ledger, LEDGER_SCHEMA), self.ledger)
         self._gone = sorted({*self._withdrawn(), *days} - found.keys())
+        if self.log is not None:
+            for day in days:
+                self.log.note(f"revealed {day}", {"rows": {"rows": found[day][0] if day in found else 0}})
 
     def _revealed(self) -> DataFrame:
         """The ledger: one row per revealed day."""
@@ -205,7 +212,12 @@ class DailyLoop:
             both = self._tail(day, good).withColumn("_new", F.lit(False)).unionByName(todo.withColumn("_new", F.lit(True)))
             feats = add_positional_lags(both, [self.value_col], self.lags, self.keys, [self.ts_col, "row_id"]).filter("_new")
         preds = feats.select("row_id", self.ts_col, F.coalesce(self.model(feats), F.lit(0.0)).alias("prediction"), F.lit(day).alias("_day"))
-        self._put(preds, self.output)
+        if self.log is None:
+            self._put(preds, self.output)
+            return
+        watched, metrics = observed(preds, f"forecasts of {day}", ["prediction"])
+        self._put(watched, self.output)
+        self.log.note(day, {"forecasts": metrics()})
 
     def run(self, days: Sequence[str]) -> DataFrame:
         """Replay ``days`` and return all forecasts, the newest for each day."""

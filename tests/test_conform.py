@@ -54,3 +54,27 @@ def test_align_and_union(spark):
     out = union_aligned([hist, new]).orderBy("row_id").collect()
     assert [tuple(r) for r in out] == [(1, 2.0), (2, None)]
     assert align_to(new, hist.schema).columns == ["row_id", "target"]
+
+
+def test_rows_are_conformed_or_rejected(spark, tmp_path):
+    from hourcast.operators.conform import CORRUPT_COL, MALFORMED, REASONS_COL, conform_or_reject
+    from hourcast.sources.files import read_csv_to_judge
+
+    lines = ["date,county,is_business,product_type,installed_capacity",
+             "2024-01-05,3,true,1,12.5", "2024-01-06,3,false,1,", "05.01.2024,3,true,1,1", "2024-01-07,300,perhaps,1,x", ",3,true,1,1",
+             "2024-01-08,3,true", "2024-01-09,3,true,1,1,more", '2024-01-10,3,"true",1,"2.5"']
+    path = tmp_path / "client.csv"
+    path.write_text("\n".join(lines) + "\n")
+    raw = read_csv_to_judge(spark, str(path), CLIENT_SCHEMA)
+    good, rejected = conform_or_reject(raw, CLIENT_SCHEMA, required=["date"])
+    assert good.schema == CLIENT_SCHEMA
+    assert sorted((str(r["date"]), r["installed_capacity"]) for r in good.collect()) == [("2024-01-05", 12.5), ("2024-01-06", None), ("2024-01-10", 2.5)]
+    found = sorted((r[REASONS_COL], r[CORRUPT_COL]) for r in rejected.collect())
+    assert found == sorted([
+        (["date: not a date"], None), (["county: not a tinyint", "is_business: not a boolean", "installed_capacity: not a double"], None),
+        (["date: missing"], None), ([MALFORMED], lines[6]), ([MALFORMED], lines[7])], key=lambda r: r[0])
+    typed = spark.createDataFrame([(None, 3), (7, 400)], "date int, county int").selectExpr("cast(null as date) date", "county", "true is_business", "1 product_type", "2.0 installed_capacity")
+    good, rejected = conform_or_reject(typed, CLIENT_SCHEMA)
+    assert good.count() == 1 and rejected.first()[REASONS_COL] == ["county: not a tinyint"]
+    good, rejected = conform_or_reject(raw.filter("false"), CLIENT_SCHEMA)
+    assert good.count() == rejected.count() == 0

@@ -80,3 +80,46 @@ def test_zero_and_missing_capacity(spark):
     assert out[1]["installed_capacity"] == 0.0 and out[1]["capacity_factor"] is None
     assert out[2]["capacity_factor"] == 0.5
     assert out[3]["installed_capacity"] == 10.0 and out[3]["capacity_factor"] == 0.5  # filled cap -> ratio
+
+
+def test_bucketed_series_need_no_exchange(spark, tmp_out):
+    from hourcast.operators.series import forward_fill, keep_last
+    from hourcast.schemas import SERIES_KEYS, TABLE_KEYS
+    from hourcast.sources.files import write_bucketed
+
+    power = analog.source_tables(spark, SF_SMALL)["power"]
+    fact = write_bucketed(power, "bucketed_fact", os.path.join(tmp_out, "fact"), SERIES_KEYS, ["datetime", "row_id"], 4)
+    try:
+        plain = {"lags": lambda d: add_positional_lags(d, ["target"], [12, 24], order=["datetime", "row_id"]),
+                 "fill": lambda d: forward_fill(d, ["target"], order=["datetime", "row_id"]),
+                 "last": lambda d: keep_last(d, TABLE_KEYS["power"], ["row_id"])}
+        for build in plain.values():
+            assert "Exchange" not in _physical(build(fact)) and "Exchange" in _physical(build(power))
+            assert sorted(map(tuple, build(fact).collect()), key=str) == sorted(map(tuple, build(power).collect()), key=str)
+        assert len(fact.inputFiles()) <= 4
+    finally:
+        spark.sql("drop table bucketed_fact")
+
+
+def test_recursion_rounds_have_no_exchange(spark):
+    from hourcast.plans.forecast import block_recursive_forecast, column_model
+    from hourcast.schemas import SERIES_KEYS
+
+    f = analog.source_tables(spark, SF_SMALL)["power"].withColumnRenamed("target", "power").select("row_id", "datetime", *SERIES_KEYS, "power")
+    cut = F.col("datetime") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")
+    out = block_recursive_forecast(f.filter(~cut), f.filter(cut), "power", column_model(lambda: F.col("power_lag_3")), [3])
+    plan = _physical(out)
+    # More than one round, one shuffle by series before them, no window and no join.
+    assert plan.count("Generate posexplode") > 3
+    assert len(re.findall(r"Exchange", plan)) == 1 and "Window" not in plan and "Join" not in plan
+    assert out.filter("prediction is not null").count() > 0
+
+
+def test_models_score_rows_without_a_union(spark):
+    from hourcast.plans.model import SideModels
+
+    df = spark.range(40).selectExpr("id % 2 = 0 as is_consumption", "cast(id % 7 as double) as x", "cast(id % 5 as double) as capacity_factor")
+    params = {"maxIter": 1, "maxDepth": 1}
+    models = SideModels(["x"], {"consumption": params, "production": params}).fit(df)
+    plan = _physical(models.transform(df.repartition(3, "x")))
+    assert "Union" not in plan and plan.count("Exchange") == 1

@@ -79,3 +79,36 @@ def test_folder_manifest_reports_a_missing_file(spark, tmp_out):
     assert got["client.csv"]["present"] and got["client.csv"]["n_bytes"] == 6
     assert not got["train.csv"]["present"] and got["train.csv"]["n_files"] is None
     assert [r["present"] for r in folder_manifest(spark, os.path.join(tmp_out, "none"), ["x"]).collect()] == [False]
+
+
+def test_saved_stages_keep_their_history(spark, tmp_out):
+    from pyspark.ml import PipelineModel
+
+    merged = star_merge(analog.source_tables(spark, SF_SMALL)).cache()
+    cut = F.col("datetime") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")
+    history, new = merged.filter(~cut), merged.filter(cut)
+    stored = os.path.join(tmp_out, "stored")
+    history.write.parquet(stored)
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    for k, (mode, how) in enumerate([("retrain", {"history": history}), ("test", {"history": history}), ("retrain", {"history_path": stored})]):
+        model = PipelineModel([FeatureStage(mode, [12, 24], **how)])
+        path = os.path.join(tmp_out, f"saved{k}")
+        model.write().overwrite().save(path)
+        want = rows(model.transform(new))
+        assert want and rows(PipelineModel.load(path).transform(new)) == want
+        # A reference is not a copy.
+        assert bool([f for f in os.listdir(f"{path}/stages") if os.path.exists(f"{path}/stages/{f}/history")]) == ("history" in how)
+
+
+def test_a_stage_is_logged_once(spark, tmp_out):
+    from hourcast.operators.runlog import RunLog
+
+    log = RunLog(spark, os.path.join(tmp_out, "runs"), "r1")
+    df = spark.createDataFrame([(1, None), (2, 3.0), (3, None)], "a int, b double")
+    assert log.stage("s", df, ["a", "b"]).count() == 3
+    log.stage("s", df.filter("a < 3"), ["a", "b"])
+    log.stage("empty", df.filter("false"), ["b"])
+    RunLog(spark, os.path.join(tmp_out, "runs"), "r2").note("s", {"x": {"m": 1}})
+    got = {(r["run_id"], r["stage"], r["metric"]): r["value"] for r in log.read().collect() if r["metric"] != "seconds"}
+    assert got == {("r1", "s", "rows"): 2, ("r1", "s", "nulls.a"): 0, ("r1", "s", "nulls.b"): 1,
+                   ("r1", "empty", "rows"): 0, ("r1", "empty", "nulls.b"): 0, ("r2", "s", "m"): 1}

@@ -33,7 +33,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -133,10 +132,9 @@ class DailyLoop:
 
     def _revealed(self) -> DataFrame:
         """The ledger: one row per revealed day."""
-        try:
-            return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger)
-        except AnalysisException:  # nothing revealed yet
+        if not self._days(self.ledger):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger)
 
     def _withdrawn(self) -> list[str]:
         """Revealed days that have no rows any more: one name per day, read once."""
@@ -149,19 +147,17 @@ class DailyLoop:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_day").parquet(folder)
 
     def _days(self, folder: str) -> list[str]:
-        """The days that a folder holds: one name per partition."""
-        try:
-            df = self.spark.read.parquet(folder)
-        except AnalysisException:  # nothing written yet
-            return []
-        return sorted(str(r[0]) for r in df.select(F.col("_day").cast("string")).distinct().collect())
+        """The days that a folder holds, by the names of its partitions."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+        return sorted(n.removeprefix("_day=") for n in names if n.startswith("_day="))
 
     def _read(self, folder: str) -> DataFrame:
-        try:
-            df = self.spark.read.parquet(folder)
-        except AnalysisException:  # nothing written yet
+        if not self._days(folder):  # nothing written yet
             empty = self.spark.createDataFrame([], self.fact.schema)
             return empty.withColumn("_of", F.col("_day")) if folder == self.tails else empty
+        df = self.spark.read.parquet(folder)
         df = df.withColumn("_day", F.col("_day").cast("string"))
         gone = self._withdrawn() if folder in (self.history, self.output) else []
         return df.filter(~F.col("_day").isin(gone)) if gone else df

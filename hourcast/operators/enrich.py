@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import abs_scaled, add_hours, floor_at_zero, mid_price, safe_divide, scale_and_cap
@@ -82,9 +82,20 @@ def gas_hourly(gas: DataFrame, ts_col: str = "forecast_date") -> DataFrame:
     ).select(add_hours("_day", F.col("_h")).alias("datetime"), "gas_price")
 
 
+GRID_UNITS = 10_000  # whole units of a degree: about ten metres
+
+
+def grid_key(axis: str) -> Column:
+    """A coordinate as a whole number, so that points meet whatever the rounding
+    of their last float digit."""
+    return F.round(F.col(axis).cast("double") * GRID_UNITS).cast("long")
+
+
 def map_to_county(weather: DataFrame, mapping: DataFrame) -> DataFrame:
     """Grid point -> county (left: unmapped points keep a null county)."""
-    return weather.join(mapping.select("latitude", "longitude", "county"), ["latitude", "longitude"], "left")
+    keys = {"_lat": grid_key("latitude"), "_lon": grid_key("longitude")}
+    points = mapping.withColumns(keys).select(*keys, "county")
+    return weather.withColumns(keys).join(points, list(keys), "left").drop(*keys)
 
 
 def grouped_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prefix: str) -> DataFrame:

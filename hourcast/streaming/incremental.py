@@ -87,6 +87,7 @@ class DailyLoop:
         hidden: Sequence[str] | None = None,
         side_tables: Callable[[str], Mapping[str, DataFrame]] | None = None,
         log: RunLog | None = None,
+        history_days: int | None = None,
     ):
         """``root`` is a folder that the driver and all executors share.
         ``features(history, day_rows)`` builds the rows to score (e.g. test-mode
@@ -95,7 +96,8 @@ class DailyLoop:
         table) it is called as ``features(history, day_rows, tables)``, where
         ``tables(name)`` reads the newest version of every key so far.
         ``hidden`` columns are unknown for the day's rows and set to null
-        (default: the value). With ``log`` every day's revealed rows and forecasts
+        (default: the value). ``history_days`` is how many days back ``features``
+        reads; older partitions are then not read (default: all are). With ``log`` every day's revealed rows and forecasts
         are counted as they are written, in a stage named by the day."""
         self.spark = spark
         self.fact = fact if "_day" in fact.columns else fact.withColumn("_day", F.date_format(F.col(ts_col), "yyyy-MM-dd"))
@@ -110,6 +112,7 @@ class DailyLoop:
         self.side_tables = side_tables
         self._gone: list[str] | None = None
         self.log = log
+        self.history_days = history_days
 
     def seed_history(self, before_day: str) -> None:
         """History = every fact row before the first replayed day."""
@@ -201,7 +204,11 @@ class DailyLoop:
             write_snapshot(self.side_tables(day), self.sides, number)
         todo = self.fact.filter(F.col("_day") == day).withColumns({c: F.lit(None).cast("double") for c in self.hidden})
         if self.features is not None:
-            history = self._read(self.history).filter(F.col("_day") < day).drop("_day")
+            history = self._read(self.history).filter(F.col("_day") < day)
+            if self.history_days is not None:
+                first = dt.date.fromisoformat(day) - dt.timedelta(days=self.history_days)
+                history = history.filter(F.col("_day") >= first.isoformat())
+            history = history.drop("_day")
             more = [lambda name: read_snapshot(self.spark, self.sides, name)] if self.side_tables is not None else []
             feats = self.features(history, todo.drop("_day"), *more)
         else:

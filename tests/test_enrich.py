@@ -101,3 +101,13 @@ def test_median_even_count(spark):
                               "county int, d string, x double").select("county", _ts("d").alias("datetime"), "x")
     out = {r["row_id"]: r["x"] for r in join_weather_with_median_fill(fact, w, ["x"]).collect()}
     assert out == {1: 1.0, 2: 3.0, 3: 2.0}
+
+
+def test_points_meet_over_float_rounding(spark):
+    from hourcast.operators.enrich import map_to_county
+
+    weather = spark.createDataFrame([(57.6, 21.7, 1), (57.3, -0.0, 2), (None, 21.7, 3), (57.0, 21.0, 4)], "latitude float, longitude float, id int")
+    mapping = spark.createDataFrame([(57.6, 21.7, 3), (57.3, 0.0, 4), (None, 21.7, 5)], "latitude double, longitude double, county int")
+    got = {r["id"]: r["county"] for r in map_to_county(weather, mapping).collect()}
+    assert got == {1: 3, 2: 4, 3: None, 4: None}
+    assert map_to_county(weather, mapping).columns == ["latitude", "longitude", "id", "county"]

@@ -83,7 +83,13 @@ def test_stream_with_feature_hook_equals_batch(spark, tmp_out):
         return to_power(seasonal_naive("capacity_factor", [24, 12]))
 
     days = ["2024-01-29", "2024-01-30"]
-    loop = DailyLoop(spark, merged, "power", model=model, features=features, hidden=hidden,
+    seen = []
+
+    def watched(history, rows):
+        seen.append(sorted(str(r[0]) for r in history.select(F.to_date("datetime")).distinct().collect()))
+        return features(history, rows)
+
+    loop = DailyLoop(spark, merged, "power", model=model, features=watched, hidden=hidden, history_days=20,
                      root=os.path.join(tmp_out, "loop2"))
     loop.seed_history(days[0])
     got = {r["row_id"]: r["prediction"] for r in loop.run(days).collect()}
@@ -96,6 +102,7 @@ def test_stream_with_feature_hook_equals_batch(spark, tmp_out):
         want.update({r["row_id"]: r["p"] for r in feats.select(
             "row_id", F.coalesce(model(feats), F.lit(0.0)).alias("p")).collect()})
     assert len(got) > 0 and got == want
+    assert [(s[0], s[-1]) for s in seen] == [("2024-01-09", "2024-01-28"), ("2024-01-10", "2024-01-29")]
 
 
 def small_fact(spark, seed=1, days=10):
